@@ -9,16 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from returnscope.config import TRANSACTION_KEYS, RunWindow
+from returnscope.config import TRANSACTION_KEYS
 from returnscope.functions.params import earliest
 from returnscope.functions.strings import UNKNOWN, channel_grouping, normalize_string
-from returnscope.operators.lookups import (
-    identity_lookup,
-    item_lookup,
-    session_lookup,
-    transaction_lookup,
-    valid_transactions,
-)
+from returnscope.operators.lookups import Lookups, valid_transactions
 from returnscope.sources.export import EventFrames
 
 REVENUE_AND_REFUND = ["purchase_revenue_in_usd", "purchase_revenue", "refund_value_in_usd", "refund_value"]
@@ -29,62 +23,63 @@ def _day():
     return F.col("event_day").alias("transaction_date")
 
 
-def transaction_totals(frames: EventFrames, window: RunWindow) -> DataFrame:
+def transaction_totals(frames: EventFrames, lookups: Lookups) -> DataFrame:
     """Amounts per (transaction, date); only events on that date count."""
     amounts = [*REVENUE_AND_REFUND, "unique_items", "shipping_value", "shipping_value_in_usd"]
     return (
         frames.events.filter(
             F.col("transaction_id").isNotNull()
-            & F.col("event_day").between(F.lit(window.transaction_start), F.lit(window.end))
+            & F.col("event_day").between(F.lit(lookups.window.transaction_start), F.lit(lookups.window.end))
         )
         .groupBy("transaction_id", _day())
         .agg(*[F.sum(a).alias(a) for a in amounts])
-        .join(transaction_lookup(frames, window), TRANSACTION_KEYS, "left_semi")
+        .join(lookups.transactions, TRANSACTION_KEYS, "left_semi")
     )
 
 
-def daily_totals(frames: EventFrames, window: RunWindow) -> DataFrame:
+def daily_totals(frames: EventFrames, lookups: Lookups) -> DataFrame:
     """Amounts of valid transactions per day."""
     return (
-        frames.events.transform(valid_transactions(window.end))
+        frames.events.transform(valid_transactions(lookups.window.end))
         .groupBy(_day())
         .agg(*[F.sum(a).alias(a) for a in REVENUE_AND_REFUND])
     )
 
 
-def transaction_item_stats(frames: EventFrames, window: RunWindow) -> DataFrame:
+def transaction_item_stats(frames: EventFrames, lookups: Lookups) -> DataFrame:
     """One row per (date, transaction, item id) with its attributes and amounts.
 
     Where an item occurs with several spellings of an attribute, the smallest is taken. The first
-    aggregation also keys on the raw item name, because the item filter applies to it.
+    aggregation keys on the raw spellings: the item filter applies to the raw name, and with only
+    numbers to aggregate it hashes instead of sorting.
     """
     descriptive = ["item_name", "item_brand", "item_variant", "item_category"]
     promotional = ["promotion_id", "promotion_name", "coupon"]
-    per_name = (
+    promoted = F.lit(False)
+    for c in promotional:
+        promoted = promoted | (F.coalesce(normalize_string(F.col(c)), F.lit(UNKNOWN)) != UNKNOWN)
+    spelled = (
         frames.items.filter(
             F.col("transaction_id").isNotNull()
             & F.col("item_name").isNotNull()
-            & F.col("event_day").between(F.lit(window.transaction_start), F.lit(window.end))
+            & F.col("event_day").between(F.lit(lookups.window.transaction_start), F.lit(lookups.window.end))
         )
-        .groupBy("transaction_id", _day(), "item_id", "item_name")
+        .groupBy("transaction_id", _day(), "item_id", *descriptive)
         .agg(
-            *[F.min(normalize_string(F.col(c))).alias(c) for c in [*descriptive[1:], *promotional]],
+            F.max(promoted).alias("promoted"),
             F.sum(F.coalesce("price", F.lit(0.0))).alias("price_sum"),
             F.count("*").alias("line_count"),
             F.sum("quantity").alias("quantity"),
             *[F.sum(a).alias(a) for a in ITEM_AMOUNTS],
         )
     )
-    discounted = F.lit(False)
-    for c in promotional:
-        discounted = discounted | (F.coalesce(F.min(c), F.lit(UNKNOWN)) != UNKNOWN)
     return (
-        per_name.join(item_lookup(frames, window), "item_name", "left_semi")
-        .join(transaction_lookup(frames, window), TRANSACTION_KEYS, "left_semi")
+        spelled.join(lookups.items, "item_name", "left_semi")
+        .join(lookups.transactions, TRANSACTION_KEYS, "left_semi")
         .groupBy(*TRANSACTION_KEYS, "item_id")
         .agg(
             *[F.coalesce(F.min(normalize_string(F.col(c))), F.lit(UNKNOWN)).alias(c) for c in descriptive],
-            discounted.alias("discounted_product_flag"),
+            F.max("promoted").alias("discounted_product_flag"),
             (F.sum("price_sum") / F.sum("line_count")).alias("price"),
             F.sum("quantity").alias("quantity"),
             *[F.sum(a).alias(a) for a in ITEM_AMOUNTS],
@@ -92,49 +87,49 @@ def transaction_item_stats(frames: EventFrames, window: RunWindow) -> DataFrame:
     )
 
 
-def product_daily(frames: EventFrames, window: RunWindow) -> DataFrame:
+def product_daily(frames: EventFrames, lookups: Lookups) -> DataFrame:
     """Amounts per (date, item name) over the whole history, without an upper date bound."""
     return (
         frames.items.filter(F.col("item_name").isNotNull())
         .groupBy(_day(), "item_name")
         .agg(*[F.sum(a).alias(a) for a in ITEM_AMOUNTS])
-        .join(item_lookup(frames, window), "item_name", "left_semi")
+        .join(lookups.items, "item_name", "left_semi")
     )
 
 
-def identity_daily(frames: EventFrames, window: RunWindow, identity: str) -> DataFrame:
+def identity_daily(frames: EventFrames, lookups: Lookups, identity: str) -> DataFrame:
     """Amounts per (date, user); a day without any purchase still gives a row."""
     return (
         frames.events.filter(F.col(identity).isNotNull())
         .groupBy(_day(), identity)
         .agg(*[F.sum(a).alias(a) for a in [*REVENUE_AND_REFUND, "unique_items"]])
-        .join(identity_lookup(frames, window, identity), identity, "left_semi")
+        .join(lookups.identity(identity), identity, "left_semi")
     )
 
 
-def identity_item_daily(frames: EventFrames, window: RunWindow, identity: str) -> DataFrame:
+def identity_item_daily(frames: EventFrames, lookups: Lookups, identity: str) -> DataFrame:
     """Amounts per (date, user, item name)."""
     return (
         frames.items.filter(F.col(identity).isNotNull() & F.col("item_name").isNotNull())
         .groupBy(_day(), identity, "item_name")
         .agg(*[F.sum(a).alias(a) for a in ITEM_AMOUNTS])
-        .join(identity_lookup(frames, window, identity), identity, "left_semi")
-        .join(item_lookup(frames, window), "item_name", "left_semi")
+        .join(lookups.identity(identity), identity, "left_semi")
+        .join(lookups.items, "item_name", "left_semi")
     )
 
 
-def demographics(frames: EventFrames, window: RunWindow, identity: str) -> DataFrame:
+def demographics(frames: EventFrames, lookups: Lookups, identity: str) -> DataFrame:
     """One country, city, device and language per user: the smallest recorded value."""
     columns = ["country", "city", "device_category", "operating_system", "language"]
     return (
         frames.events.filter(F.col(identity).isNotNull())
         .groupBy(identity)
         .agg(*[F.min(normalize_string(F.col(c))).alias(c) for c in columns])
-        .join(identity_lookup(frames, window, identity), identity, "left_semi")
+        .join(lookups.identity(identity), identity, "left_semi")
     )
 
 
-def session_event_facts(frames: EventFrames, window: RunWindow) -> DataFrame:
+def session_event_facts(frames: EventFrames, lookups: Lookups) -> DataFrame:
     """Mergeable facts per (session, event name), the base of both session tables.
 
     Every column is a sum, minimum or maximum, so a session is rolled up from these rows and the
@@ -154,7 +149,7 @@ def session_event_facts(frames: EventFrames, window: RunWindow) -> DataFrame:
             *[earliest(F.col(c), at).alias(c) for c in ["campaign", "medium", "source"]],
             F.min(channel_grouping(F.col("visit_source"), F.col("visit_medium"), F.col("visit_campaign"))).alias("channel"),
         )
-        .join(session_lookup(frames, window), "session_id", "left_semi")
+        .join(lookups.sessions, "session_id", "left_semi")
     )
 
 

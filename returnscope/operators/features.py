@@ -11,21 +11,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from returnscope.config import MAX_VOCABULARY, TRANSACTION_KEYS, RunWindow
+from returnscope.config import MAX_VOCABULARY, TRANSACTION_KEYS
 from returnscope.functions.rates import is_positive, smoothed_rate
 from returnscope.functions.strings import UNKNOWN, clean_string
-from returnscope.operators import aggregates, mappings
 from returnscope.operators.history import (
     DAY,
     ITEM_LEVELS,
     LEVEL_MEASURES,
     TRAFFIC_LEVELS,
     VISITOR_LEVELS,
-    level_daily,
+    levels_daily,
     strictly_before,
     with_prior,
 )
-from returnscope.operators.lookups import transaction_lookup
+from returnscope.operators.lookups import Lookups
 from returnscope.sources.export import EventFrames
 from returnscope.sources.tables import bounded_values
 
@@ -44,30 +43,65 @@ def targets(totals: DataFrame) -> DataFrame:
 # --- basket -----------------------------------------------------------------------------------
 
 
-def _repeat_summary(item_stats: DataFrame, keys: Sequence[str], what: str, flag: str) -> DataFrame:
-    quantity = F.col("quantity_of_key")
+def _by_variant(item_stats: DataFrame) -> DataFrame:
+    """Quantity per (transaction, item name, variant), partitioned by transaction.
+
+    Item statistics have one row per item id, so a transaction has no more rows than the catalogue
+    has items. One shuffle on the transaction then serves every further grouping below.
+    """
     return (
-        item_stats.groupBy(*TRANSACTION_KEYS, *keys)
-        .agg(F.sum("quantity").alias("quantity_of_key"))
-        .groupBy(*TRANSACTION_KEYS)
-        .agg(
-            F.max(quantity).alias(f"max_{what}"),
-            F.min(quantity).alias(f"min_{what}"),
-            F.avg(quantity).alias(f"avg_{what}"),
-            F.when(F.max(quantity) > 1, 1).otherwise(0).alias(flag),
-        )
+        item_stats.select(*TRANSACTION_KEYS, "item_name", "item_variant", "quantity")
+        .repartition(*TRANSACTION_KEYS)
+        .groupBy(*TRANSACTION_KEYS, "item_name", "item_variant")
+        .agg(F.sum("quantity").alias("quantity"))
     )
 
 
+def _repeats(counted: Column, fewest: Column, mean: Column, what: str, flag: str) -> list[Column]:
+    return [
+        counted.alias(f"max_{what}"),
+        fewest.alias(f"min_{what}"),
+        mean.alias(f"avg_{what}"),
+        F.when(counted > 1, 1).otherwise(0).alias(flag),
+    ]
+
+
 def same_item_summary(item_stats: DataFrame) -> DataFrame:
     """How often the same item name is repeated in a basket."""
-    return _repeat_summary(item_stats, ["item_name"], "same_item_item_quantity", "same_item_in_transaction_flag")
+    summaries = repeat_summaries(item_stats)
+    return summaries.select(*TRANSACTION_KEYS, *[c for c in summaries.columns if "same_item" in c and "variant" not in c])
 
 
 def same_variant_summary(item_stats: DataFrame) -> DataFrame:
     """As :func:`same_item_summary`, by item name and variant."""
-    return _repeat_summary(
-        item_stats, ["item_name", "item_variant"], "same_item_variant_quantity", "same_item_variant_in_transaction_flag"
+    summaries = repeat_summaries(item_stats)
+    return summaries.select(*TRANSACTION_KEYS, *[c for c in summaries.columns if "variant" in c])
+
+
+def repeat_summaries(item_stats: DataFrame) -> DataFrame:
+    """Repetition of items and of item variants within a basket, and its number of item names."""
+    by_name = (
+        _by_variant(item_stats)
+        .groupBy(*TRANSACTION_KEYS, "item_name")
+        .agg(
+            F.sum("quantity").alias("of_item"),
+            F.max("quantity").alias("most_of_variant"),
+            F.min("quantity").alias("least_of_variant"),
+            F.count("quantity").alias("variants"),
+        )
+    )
+    return by_name.groupBy(*TRANSACTION_KEYS).agg(
+        F.count("*").alias("unique_item_name_count"),
+        *_repeats(
+            F.max("of_item"), F.min("of_item"), F.avg("of_item"), "same_item_item_quantity", "same_item_in_transaction_flag"
+        ),
+        *_repeats(
+            F.max("most_of_variant"),
+            F.min("least_of_variant"),
+            F.try_divide(F.sum("of_item"), F.sum("variants")),
+            "same_item_variant_quantity",
+            "same_item_variant_in_transaction_flag",
+        ),
     )
 
 
@@ -120,9 +154,6 @@ def basket_description(item_stats: DataFrame, product_history: DataFrame, prior:
             F.count("*").alias("item_count"),
             # Item ids are unique within a basket, so a plain count is the distinct count.
             F.count("item_id").alias("unique_item_id_count"),
-            F.count_distinct("item_name").alias("unique_item_name_count"),
-            F.count_distinct("item_category").alias("unique_item_category_count"),
-            F.count_distinct("item_brand").alias("unique_item_brand_count"),
             *spread("price", "price"),
             *spread("item_revenue", "item_revenue"),
             *spread("quantity", "quantity"),
@@ -140,10 +171,15 @@ def basket_description(item_stats: DataFrame, product_history: DataFrame, prior:
             ),
         }
     )
+    # Distinct counts multiply their input rows, so they get a narrow aggregation of their own.
+    kinds = item_stats.groupBy(*TRANSACTION_KEYS).agg(
+        F.count_distinct("item_category").alias("unique_item_category_count"),
+        F.count_distinct("item_brand").alias("unique_item_brand_count"),
+    )
     return (
         rated.drop("prior_rate", "prior_amt", *PRODUCT_HISTORY)
-        .join(same_item_summary(item_stats), TRANSACTION_KEYS, "left")
-        .join(same_variant_summary(item_stats), TRANSACTION_KEYS, "left")
+        .join(repeat_summaries(item_stats), TRANSACTION_KEYS, "left")
+        .join(kinds, TRANSACTION_KEYS, "left")
     )
 
 
@@ -328,25 +364,19 @@ def past_identity_item(mapping: DataFrame, daily: DataFrame, prior: DataFrame, i
 
 
 def _level_rates(
-    rows: DataFrame, frames: EventFrames, window: RunWindow, prior: DataFrame, levels: Sequence[str], names: dict[str, str]
+    rows: DataFrame, daily: DataFrame, prior: DataFrame, levels: Sequence[str], names: dict[str, str]
 ) -> DataFrame:
     """Smoothed refund rates of a transaction's levels before its date, 0 where unknown.
 
-    ``rows`` has the transaction keys and one column per level. Levels are stacked into
-    (dimension, value) pairs, so all of them share one history window, one join and one
-    aggregation. Only the (value, date) pairs that occur are looked up, which is far less than
-    the full dates x levels table.
+    ``rows`` has the transaction keys and one column per level, ``daily`` comes from
+    :func:`levels_daily`. Levels are stacked into (dimension, value) pairs, so all of them share
+    one history window, one join and one aggregation. Only the (value, date) pairs that occur are
+    looked up, which is far less than the full dates x levels table.
     """
     stacked = rows.select(
         *TRANSACTION_KEYS,
         F.inline(F.array(*[F.struct(F.lit(c).alias("dimension"), F.col(c).alias("value")) for c in levels])),
     )
-    daily = None
-    for level in levels:
-        of_level = level_daily(frames, window, level).select(
-            F.lit(level).alias("dimension"), F.col(level).alias("value"), DAY, *LEVEL_MEASURES
-        )
-        daily = of_level if daily is None else daily.unionByName(of_level)
     wanted = stacked.filter(F.col("value").isNotNull()).select("dimension", "value", DAY).distinct()
     past = strictly_before(daily, wanted, ["dimension", "value"], LEVEL_MEASURES)
 
@@ -373,16 +403,19 @@ def _level_rates(
     return with_prior(summed, prior).select(*TRANSACTION_KEYS, *columns)
 
 
-def transaction_demographics(frames: EventFrames, window: RunWindow) -> DataFrame:
+def transaction_demographics(
+    lookups: Lookups, user_map: DataFrame, users: DataFrame, pseudo_map: DataFrame, pseudo_users: DataFrame
+) -> DataFrame:
     """Country, city, device and language per transaction: of the user, else of the pseudo-user.
 
     A transaction with several users has several rows.
     """
-    combined = transaction_lookup(frames, window)
-    for identity, prefix in (("user_pseudo_id", "pseudo_"), ("user_id", "user_")):
-        of_identity = mappings.transaction_identity(frames, window, identity).join(
-            aggregates.demographics(frames, window, identity), identity, "left"
-        )
+    combined = lookups.transactions
+    for identity, prefix, mapping, attributes in (
+        ("user_pseudo_id", "pseudo_", pseudo_map, pseudo_users),
+        ("user_id", "user_", user_map, users),
+    ):
+        of_identity = mapping.join(attributes, identity, "left")
         combined = combined.join(
             of_identity.select(*TRANSACTION_KEYS, *[F.col(c).alias(prefix + c) for c in VISITOR_LEVELS]),
             TRANSACTION_KEYS,
@@ -394,7 +427,8 @@ def transaction_demographics(frames: EventFrames, window: RunWindow) -> DataFram
     )
 
 
-def demographic_rates(frames: EventFrames, window: RunWindow, prior: DataFrame) -> DataFrame:
+def demographic_rates(of_transaction: DataFrame, frames: EventFrames, lookups: Lookups, prior: DataFrame) -> DataFrame:
+    """``of_transaction`` is the output of :func:`transaction_demographics`."""
     names = {
         "country": "country",
         "city": "city",
@@ -402,15 +436,15 @@ def demographic_rates(frames: EventFrames, window: RunWindow, prior: DataFrame)
         "operating_system": "device_operating_system",
         "language": "device_language",
     }
-    return _level_rates(transaction_demographics(frames, window), frames, window, prior, VISITOR_LEVELS, names)
+    return _level_rates(of_transaction, levels_daily(frames, lookups, VISITOR_LEVELS), prior, VISITOR_LEVELS, names)
 
 
-def brand_category_rates(item_stats: DataFrame, frames: EventFrames, window: RunWindow, prior: DataFrame) -> DataFrame:
+def brand_category_rates(item_stats: DataFrame, frames: EventFrames, lookups: Lookups, prior: DataFrame) -> DataFrame:
     names = {"item_brand": "brand", "item_category": "category"}
-    return _level_rates(item_stats, frames, window, prior, ITEM_LEVELS, names)
+    return _level_rates(item_stats, levels_daily(frames, lookups, ITEM_LEVELS), prior, ITEM_LEVELS, names)
 
 
-def traffic_rates(sessions: DataFrame, frames: EventFrames, window: RunWindow, prior: DataFrame) -> DataFrame:
+def traffic_rates(sessions: DataFrame, frames: EventFrames, lookups: Lookups, prior: DataFrame) -> DataFrame:
     """``sessions`` is the output of :func:`session_features`."""
     names = {c: f"traffic_{c}" for c in TRAFFIC_LEVELS}
-    return _level_rates(sessions, frames, window, prior, TRAFFIC_LEVELS, names)
+    return _level_rates(sessions, levels_daily(frames, lookups, TRAFFIC_LEVELS), prior, TRAFFIC_LEVELS, names)

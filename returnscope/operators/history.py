@@ -12,11 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from returnscope.config import ROLLING_WINDOWS, RunWindow
+from returnscope.config import ROLLING_WINDOWS
 from returnscope.functions.rates import is_positive
 from returnscope.functions.strings import UNKNOWN, normalize_string
 from returnscope.operators.aggregates import daily_totals
-from returnscope.operators.lookups import transaction_date_lookup, valid_transactions
+from returnscope.operators.lookups import Lookups, valid_transactions
 from returnscope.sources.export import EventFrames
 
 DAY = "transaction_date"
@@ -55,14 +55,14 @@ def strictly_before(daily: DataFrame, wanted: DataFrame, keys: Sequence[str], me
     )
 
 
-def past_global_history(frames: EventFrames, window: RunWindow) -> DataFrame:
+def past_global_history(frames: EventFrames, lookups: Lookups) -> DataFrame:
     """Totals over all earlier valid transactions per lookup date, and the two overall rates.
 
     The only window without a partition key; it runs over one row per day.
     """
     amounts = ["purchase_revenue_in_usd", "purchase_revenue", "refund_value_in_usd", "refund_value"]
     daily = (
-        frames.events.transform(valid_transactions(window.end))
+        frames.events.transform(valid_transactions(lookups.window.end))
         .groupBy(F.col("event_day").alias(DAY))
         .agg(
             *[F.sum(a).alias(a) for a in amounts],
@@ -76,7 +76,7 @@ def past_global_history(frames: EventFrames, window: RunWindow) -> DataFrame:
         *[F.sum(a).over(earlier).alias(f"past_{a}") for a in amounts],
         F.coalesce(F.sum("refund_count").over(earlier), F.lit(0)).alias("past_refund_count"),
         F.coalesce(F.sum("trans_count").over(earlier), F.lit(0)).alias("past_trans_count"),
-    ).filter(F.col(DAY) >= F.lit(window.transaction_start))
+    ).filter(F.col(DAY) >= F.lit(lookups.window.transaction_start))
     return past.withColumns(
         {
             "past_grand_avg_refund_amt_proportion": F.try_divide("past_refund_value", "past_purchase_revenue"),
@@ -106,50 +106,68 @@ ITEM_LEVELS = ["item_brand", "item_category"]
 TRAFFIC_LEVELS = ["source", "medium", "campaign"]
 
 
-def _level_daily(rows: DataFrame, level: Column, name: str, refund: Column, revenue: Column, fill: bool) -> DataFrame:
-    def total(value: Column) -> Column:
-        return F.coalesce(F.sum(value), F.lit(0.0)) if fill else F.sum(value)
+def level_value(level: str) -> Column:
+    """Value under which an event or item counts for a level.
 
-    return rows.groupBy(level.alias(name), F.col("event_day").alias(DAY)).agg(
-        total(refund).alias("past_refund_value"),
-        total(revenue).alias("past_purchase_revenue"),
-        F.sum(is_positive(refund)).alias("past_refund_count"),
-        F.sum(is_positive(revenue)).alias("past_trans_count"),
-    )
+    A missing visitor level is a NULL level of its own, an item without brand or category counts
+    as ``unknown``, and a missing traffic parameter makes the event not count.
+    """
+    if level in VISITOR_LEVELS:
+        return normalize_string(F.col(level))
+    if level in ITEM_LEVELS:
+        return F.coalesce(normalize_string(F.col(level)), F.lit(UNKNOWN))
+    return F.col(level)
 
 
-def level_daily(frames: EventFrames, window: RunWindow, level: str) -> DataFrame:
-    """Daily refund and revenue sums of one level.
+def levels_daily(frames: EventFrames, lookups: Lookups, levels: Sequence[str]) -> DataFrame:
+    """Daily refund and revenue sums per (dimension, value), for levels of one kind.
 
-    Visitor levels count valid transactions and keep the NULL level. Item and traffic levels read
-    every event of the window's history; items without a level count as ``unknown``, events without
-    a traffic parameter do not count.
+    Visitor levels count valid transactions; item and traffic levels read every event. All levels
+    come from one scan: rows are unfolded per level and shrink again in the partial aggregation.
     """
-    if level in VISITOR_LEVELS:
-        rows = frames.events.transform(valid_transactions(window.end))
-        return _level_daily(
-            rows, normalize_string(F.col(level)), level, F.col("refund_value"), F.col("purchase_revenue"), fill=False
-        )
-    if level in ITEM_LEVELS:
-        value = F.coalesce(normalize_string(F.col(level)), F.lit(UNKNOWN))
-        return _level_daily(frames.items, value, level, F.col("item_refund"), F.col("item_revenue"), fill=False)
-    if level in TRAFFIC_LEVELS:
-        rows = frames.events.filter(F.col(level).isNotNull())
-        return _level_daily(rows, F.col(level), level, F.col("refund_value"), F.col("purchase_revenue"), fill=True)
-    raise ValueError(f"unknown level {level!r}")
+    kinds = [VISITOR_LEVELS, ITEM_LEVELS, TRAFFIC_LEVELS]
+    kind = next((k for k in kinds if set(levels) <= set(k)), None)
+    if kind is None:
+        raise ValueError(f"levels must be of one kind, got {list(levels)}")
+    refund, revenue = F.col("refund_value"), F.col("purchase_revenue")
+    rows = frames.events
+    if kind is VISITOR_LEVELS:
+        rows = rows.transform(valid_transactions(lookups.window.end))
+    if kind is ITEM_LEVELS:
+        rows, refund, revenue = frames.items, F.col("item_refund"), F.col("item_revenue")
+
+    unfolded = rows.select(
+        F.col("event_day").alias(DAY),
+        refund.alias("refund"),
+        revenue.alias("revenue"),
+        F.inline(F.array(*[F.struct(F.lit(c).alias("dimension"), level_value(c).alias("value")) for c in levels])),
+    )
+    if kind is TRAFFIC_LEVELS:
+        unfolded = unfolded.filter(F.col("value").isNotNull())
+
+    def total(column: str) -> Column:
+        return F.coalesce(F.sum(column), F.lit(0.0)) if kind is TRAFFIC_LEVELS else F.sum(column)
+
+    return unfolded.groupBy("dimension", "value", DAY).agg(
+        total("refund").alias("past_refund_value"),
+        total("revenue").alias("past_purchase_revenue"),
+        F.sum(is_positive(F.col("refund"))).alias("past_refund_count"),
+        F.sum(is_positive(F.col("revenue"))).alias("past_trans_count"),
+    )
 
 
-def past_by_level(frames: EventFrames, window: RunWindow, level: str) -> DataFrame:
+def past_by_level(frames: EventFrames, lookups: Lookups, level: str) -> DataFrame:
     """(lookup date, level): sums over all strictly earlier days, for every level seen before.
 
     A running total of a level holds from the day after it was reached until its next change;
     each such stretch is unfolded to its dates and kept where the date is a lookup date. That
     gives dates x levels rows as required, without an inequality or cross join.
     """
-    dates = transaction_date_lookup(frames, window)
+    dates = lookups.dates
     last = dates.agg(F.max(DAY)).scalar()
     by_day = Window.partitionBy(level).orderBy(DAY)
-    running = level_daily(frames, window, level).select(
+    daily = levels_daily(frames, lookups, [level]).withColumnRenamed("value", level)
+    running = daily.select(
         level,
         F.col(DAY).alias("reached"),
         *[F.sum(m).over(by_day.rowsBetween(Window.unboundedPreceding, 0)).alias(m) for m in LEVEL_MEASURES],
@@ -160,15 +178,15 @@ def past_by_level(frames: EventFrames, window: RunWindow, level: str) -> DataFra
     )
     result = unfolded.join(broadcast_daily(dates), DAY, "left_semi")
     if level in VISITOR_LEVELS:
-        result = result.unionByName(_dates_without_history(frames, window, dates, level))
+        result = result.unionByName(_dates_without_history(frames, lookups, level))
     names = {"past_refund_value": "past_item_refund", "past_purchase_revenue": "past_item_revenue", "past_trans_count": "past_transaction_count"}
     return result.withColumnsRenamed(names) if level in ITEM_LEVELS else result
 
 
-def _dates_without_history(frames: EventFrames, window: RunWindow, dates: DataFrame, level: str) -> DataFrame:
+def _dates_without_history(frames: EventFrames, lookups: Lookups, level: str) -> DataFrame:
     """The earliest date has nothing before it and yields a single row with a NULL level."""
-    first = frames.events.transform(valid_transactions(window.end)).agg(F.min("event_day")).scalar()
-    return dates.filter(F.col(DAY) <= first).select(
+    first = frames.events.transform(valid_transactions(lookups.window.end)).agg(F.min("event_day")).scalar()
+    return lookups.dates.filter(F.col(DAY) <= first).select(
         DAY,
         F.lit(None).cast("string").alias(level),
         F.lit(None).cast("double").alias("past_refund_value"),
@@ -178,13 +196,13 @@ def _dates_without_history(frames: EventFrames, window: RunWindow, dates: DataFr
     )
 
 
-def rolling_refunds(frames: EventFrames, window: RunWindow, calendar_days: bool = False) -> DataFrame:
+def rolling_refunds(frames: EventFrames, lookups: Lookups, calendar_days: bool = False) -> DataFrame:
     """Revenue and refunds over the preceding 3, 7 and 30 days that had transactions.
 
     The frame counts rows of the daily table, so days without transactions are skipped; with
     ``calendar_days`` the frame counts calendar days instead. Runs over one row per day.
     """
-    daily = daily_totals(frames, window)
+    daily = daily_totals(frames, lookups)
     columns: list[Column] = [F.col(DAY)]
     for n in ROLLING_WINDOWS:
         if calendar_days:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from returnscope.config import RunWindow
 from returnscope.functions.strings import NOT_SET
 from returnscope.sources.export import EventFrames
+from returnscope.sources.tables import no_stage
 
 
 def is_valid_transaction(end: dt.date) -> Column:
@@ -78,3 +80,34 @@ def item_lookup(frames: EventFrames, window: RunWindow) -> DataFrame:
         .select("item_name")
         .distinct()
     )
+
+
+@dataclass(frozen=True)
+class Lookups:
+    """The key sets of a run, shared by all operators that restrict a scan to them."""
+
+    window: RunWindow
+    transactions: DataFrame
+    dates: DataFrame
+    users: DataFrame
+    pseudo_users: DataFrame
+    sessions: DataFrame
+    items: DataFrame
+
+    @classmethod
+    def build(
+        cls, frames: EventFrames, window: RunWindow, keep: Callable[[DataFrame, str], DataFrame] = no_stage
+    ) -> Lookups:
+        """``keep`` may write each key set once; by default they stay part of the plan."""
+        return cls(
+            window,
+            keep(transaction_lookup(frames, window), "transaction_lookup"),
+            keep(transaction_date_lookup(frames, window), "transaction_date_lookup"),
+            keep(identity_lookup(frames, window, "user_id"), "user_lookup"),
+            keep(identity_lookup(frames, window, "user_pseudo_id"), "pseudo_user_lookup"),
+            keep(session_lookup(frames, window), "session_lookup"),
+            keep(item_lookup(frames, window), "item_lookup"),
+        )
+
+    def identity(self, identity: str) -> DataFrame:
+        return {"user_id": self.users, "user_pseudo_id": self.pseudo_users}[identity]

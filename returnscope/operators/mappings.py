@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from returnscope.config import TRANSACTION_KEYS, RunWindow
-from returnscope.operators.lookups import identity_lookup, item_lookup, session_lookup, transaction_lookup
+from returnscope.operators.lookups import Lookups
 from returnscope.sources.export import EventFrames
 
 
@@ -27,29 +27,29 @@ def _keyed(rows: DataFrame, window: RunWindow, *others: str) -> DataFrame:
     )
 
 
-def transaction_identity(frames: EventFrames, window: RunWindow, identity: str) -> DataFrame:
+def transaction_identity(frames: EventFrames, lookups: Lookups, identity: str) -> DataFrame:
     """(transaction, date) to ``user_id`` or ``user_pseudo_id``."""
     return (
-        _keyed(frames.events, window, identity)
-        .join(transaction_lookup(frames, window), TRANSACTION_KEYS, "left_semi")
-        .join(identity_lookup(frames, window, identity), identity, "left_semi")
+        _keyed(frames.events, lookups.window, identity)
+        .join(lookups.transactions, TRANSACTION_KEYS, "left_semi")
+        .join(lookups.identity(identity), identity, "left_semi")
     )
 
 
-def transaction_identity_item(frames: EventFrames, window: RunWindow, identity: str) -> DataFrame:
+def transaction_identity_item(frames: EventFrames, lookups: Lookups, identity: str) -> DataFrame:
     """(transaction, date, item name) to ``user_id`` or ``user_pseudo_id``."""
     return (
-        _keyed(frames.items, window, identity, "item_name")
-        .join(transaction_lookup(frames, window), TRANSACTION_KEYS, "left_semi")
-        .join(item_lookup(frames, window), "item_name", "left_semi")
-        .join(identity_lookup(frames, window, identity), identity, "left_semi")
+        _keyed(frames.items, lookups.window, identity, "item_name")
+        .join(lookups.transactions, TRANSACTION_KEYS, "left_semi")
+        .join(lookups.items, "item_name", "left_semi")
+        .join(lookups.identity(identity), identity, "left_semi")
     )
 
 
-def transaction_session(frames: EventFrames, window: RunWindow) -> DataFrame:
+def transaction_session(frames: EventFrames, lookups: Lookups) -> DataFrame:
     """(transaction, date) to session."""
     return (
-        _keyed(frames.events, window, "session_id")
-        .join(transaction_lookup(frames, window), TRANSACTION_KEYS, "left_semi")
-        .join(session_lookup(frames, window), "session_id", "left_semi")
+        _keyed(frames.events, lookups.window, "session_id")
+        .join(lookups.transactions, TRANSACTION_KEYS, "left_semi")
+        .join(lookups.sessions, "session_id", "left_semi")
     )

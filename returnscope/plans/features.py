@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame
 from returnscope.config import RunWindow
 from returnscope.operators import aggregates, features, history, mappings
 from returnscope.operators.assemble import assemble_features
+from returnscope.operators.lookups import Lookups
 from returnscope.sources.export import EventFrames
 from returnscope.sources.tables import no_stage, stage
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
+IDENTITIES = {"user_id": "user", "user_pseudo_id": "pseudo_user"}
+
 
 @dataclass(frozen=True)
 class FeatureRun:
@@ -41,44 +44,47 @@ def build_features(
     ``keep`` handles the nodes that several tables read; :func:`stage` writes them once, and
     :func:`no_stage` leaves them in the plan. A prediction run passes the training vocabulary.
     """
-    prior = keep(history.past_global_history(frames, window), "prior")
-    item_stats = keep(aggregates.transaction_item_stats(frames, window), "item_stats")
-    session_map = keep(mappings.transaction_session(frames, window), "transaction_session")
-    facts = keep(aggregates.session_event_facts(frames, window), "session_event_facts")
-
-    sessions = features.session_features(session_map, aggregates.session_traffic(facts))
+    lookups = Lookups.build(frames, window, keep)
+    prior = keep(history.past_global_history(frames, lookups), "prior")
+    item_stats = keep(aggregates.transaction_item_stats(frames, lookups), "item_stats")
+    session_map = mappings.transaction_session(frames, lookups)
+    facts = keep(aggregates.session_event_facts(frames, lookups), "session_event_facts")
+    maps = {i: keep(mappings.transaction_identity(frames, lookups, i), f"transaction_{i}") for i in IDENTITIES}
+    who = {i: aggregates.demographics(frames, lookups, i) for i in IDENTITIES}
+
+    sessions = keep(features.session_features(session_map, aggregates.session_traffic(facts)), "session")
     observed = keep(features.web_events(session_map, aggregates.session_events(facts)), "web_events")
     names = list(vocabulary) if vocabulary is not None else features.event_vocabulary(observed)
-
+    of_transaction = keep(
+        features.transaction_demographics(lookups, maps["user_id"], who["user_id"], maps["user_pseudo_id"], who["user_pseudo_id"]),
+        "transaction_demographics",
+    )
     parts = {
         "basket": features.basket_description(
-            item_stats, features.past_product_history(item_stats, aggregates.product_daily(frames, window)), prior
+            item_stats, features.past_product_history(item_stats, aggregates.product_daily(frames, lookups)), prior
         ),
         "session": sessions,
         "event_count": features.pivot_events(observed, "event_count", names),
         "event_length": features.pivot_events(observed, "event_length_in_seconds", names),
-        "rolling": history.rolling_refunds(frames, window),
-        "demographics": features.demographic_rates(frames, window, prior),
-        "brand_category": features.brand_category_rates(item_stats, frames, window, prior),
-        "traffic": features.traffic_rates(sessions, frames, window, prior),
+        "rolling": history.rolling_refunds(frames, lookups),
+        "demographics": features.demographic_rates(of_transaction, frames, lookups, prior),
+        "brand_category": features.brand_category_rates(item_stats, frames, lookups, prior),
+        "traffic": features.traffic_rates(sessions, frames, lookups, prior),
     }
-    for identity, name in (("user_id", "user"), ("user_pseudo_id", "pseudo_user")):
+    for identity, name in IDENTITIES.items():
         parts[name] = features.past_identity(
-            mappings.transaction_identity(frames, window, identity),
-            aggregates.identity_daily(frames, window, identity),
-            prior,
-            identity,
+            maps[identity], aggregates.identity_daily(frames, lookups, identity), prior, identity
         )
         parts[f"{name}_item"] = features.past_identity_item(
-            mappings.transaction_identity_item(frames, window, identity),
-            aggregates.identity_item_daily(frames, window, identity),
+            mappings.transaction_identity_item(frames, lookups, identity),
+            aggregates.identity_item_daily(frames, lookups, identity),
             prior,
             identity,
         )
-    targets = features.targets(aggregates.transaction_totals(frames, window))
+    targets = features.targets(aggregates.transaction_totals(frames, lookups))
     # The feature tables are written one by one: each is then planned and run on its own, and the
     # assembly is a plain join of narrow tables.
-    parts = {name: table if name == "rolling" else keep(table, name) for name, table in parts.items()}
+    parts = {name: table if name in {"rolling", "session"} else keep(table, name) for name, table in parts.items()}
     return FeatureRun(assemble_features(targets, parts), names)
 
 
