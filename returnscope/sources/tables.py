@@ -24,11 +24,15 @@ def limited(df: DataFrame, limit: int | None = None, order_by: Sequence[str] = (
     return df if not limit else df.limit(limit)
 
 
-def write_table(df: DataFrame, name: str, append: bool = False, bucket_by: Sequence[str] = (), buckets: int = 0) -> None:
+def write_table(
+    df: DataFrame, name: str, append: bool = False, bucket_by: Sequence[str] = (), buckets: int = 0, path: str | None = None
+) -> None:
     """Replace (default) or extend a table; bucketing keeps later key joins free of a shuffle."""
     writer = df.write.mode("append" if append else "overwrite").format("parquet")
     if bucket_by and buckets:
         writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+    if path:
+        writer = writer.option("path", path)
     writer.saveAsTable(name)
 
 
@@ -78,6 +82,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return _local_dirs[application]
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A fresh path for this application in the shared folder."""
+    return f"{checkpoint_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate once and read it back.
 
@@ -85,7 +94,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     executors, and each consumer prunes them to what it needs.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    path = stage_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
