@@ -6,6 +6,6 @@ from registry.base import Query
 
 
 def all_queries() -> dict[str, Query]:
-    from registry import events
+    from registry import events, tables
 
-    return events.queries()
+    return {**events.queries(), **tables.queries()}

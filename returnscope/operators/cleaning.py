@@ -118,8 +118,8 @@ def drop_invalid_rows_and_columns(
     df: DataFrame, ids: Sequence[str], labels: Sequence[str], row_threshold: float = 0.5, column_threshold: float = 0.95
 ) -> DataFrame:
     """Both shares are judged on the same input, before anything is removed."""
-    keep_row = row_invalid_share(df) <= row_threshold
-    return drop_invalid_columns(df.withColumn("_keep", keep_row), ids, labels, column_threshold).filter("_keep").drop("_keep")
+    kept = drop_invalid_columns(df, ids, labels, column_threshold).columns
+    return drop_invalid_rows(df, row_threshold).select(*kept)
 
 
 def invalid_summary(df: DataFrame, row_threshold: float = 0.5, column_threshold: float = 0.95) -> DataFrame:

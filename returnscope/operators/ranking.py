@@ -76,10 +76,10 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str, descending: bool
     All counts are within the keys. Equal values are counted before ordering, so a value shared by
     most rows is one row here.
     """
+    if not keys:
+        return value_ranks(df.withColumn("_all", F.lit(0)), ["_all"], value, descending).drop("_all")
     counts = df.groupBy(*keys, value).agg(F.count("*").alias("ties"))
     order = [*[F.col(k) for k in keys], F.col(value).desc() if descending else F.col(value).asc()]
     ranked = running_total(counts, order, "ties", "_running")
     groups = ranked.groupBy(*keys).agg(F.min("_running").alias("_start"), F.sum("ties").alias("total"))
-    if not keys:
-        return ranked.withColumnRenamed("_running", "before").drop("_start")
     return ranked.join(groups, list(keys)).withColumn("before", F.col("_running") - F.col("_start")).drop("_running", "_start")

@@ -63,7 +63,7 @@ def rank_test(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     spread = F.try_divide(F.col("r0") * F.col("r0"), n - n1) + F.try_divide(F.col("r1") * F.col("r1"), n1)
     raw = F.lit(12.0) / (n * (n + 1)) * spread - F.lit(3.0) * (n + 1)
     corrected = F.try_divide(raw, F.lit(1.0) - F.try_divide(F.col("tied"), n * n * n - n))
-    return sums.select("feature", corrected.alias("h")).withColumn("p_value", _erfc(F.sqrt(F.greatest(F.col("h"), F.lit(0.0)) / 2)))
+    return sums.select("feature", corrected.alias("h")).withColumn("p_value", _erfc(F.sqrt(F.when(F.col("h") < 0, 0.0).otherwise(F.col("h")) / 2)))
 
 
 def _erfc(x: Column) -> Column:
