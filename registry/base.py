@@ -15,6 +15,7 @@ from returnscope.config import RunWindow
 from returnscope.operators.lookups import Lookups
 from returnscope.sources.bindings import shop_frames, web_frames
 from returnscope.sources.export import EventFrames
+from returnscope.sources.tables import no_stage, stage
 
 SHOP_WINDOW = RunWindow(dt.date(1995, 1, 1), dt.date(1995, 1, 1), dt.date(2001, 12, 31))
 WEB_WINDOW = RunWindow(dt.date(2024, 1, 1), dt.date(2024, 1, 1), dt.date(2024, 1, 31))
@@ -70,13 +71,20 @@ def event_query(
     body: str,
     digits: dict[str, int] | None = None,
     dates: Sequence[str] = ("transaction_date",),
+    staged: bool = False,
 ) -> Query:
-    """Query over the flat event frames of a source."""
+    """Query over the flat event frames of a source.
+
+    ``staged`` writes the frames and key sets that the job uses once, as a feature run does; worth
+    it for jobs that read them several times.
+    """
     src, digits = SOURCES[source], digits or {}
 
     def run(spark: SparkSession, directory: str) -> DataFrame:
         frames = src.frames(spark, directory)
-        return comparable(build(frames, Lookups.build(frames, src.window)), digits)
+        if staged:
+            frames = frames.kept(stage)
+        return comparable(build(frames, Lookups(frames, src.window, stage if staged else no_stage)), digits)
 
     sql = statement(comparable_sql(body, digits, dates), {**src.blocks, **BLOCKS})
     for name, day in (("start", src.window.start), ("tstart", src.window.transaction_start), ("end", src.window.end)):

@@ -14,12 +14,14 @@ from returnscope.operators import aggregates as agg
 from returnscope.operators import assemble, features, history, mappings
 from returnscope.operators import lookups as keys
 from returnscope.operators.lookups import Lookups
-from returnscope.plans.features import build_features, no_stage, stage, stage_frames
+from returnscope.plans.features import build_features, no_stage, stage
 from returnscope.sources.bindings import web_export
 from returnscope.sources.export import EventFrames, explode_items, within_dates
 from returnscope.sources.tables import drop_tables, read_table, stage_path, write_table
 
 RATE = 6
+# Jobs that read the flat frames many times.
+STAGED = ("assemble", "segment", "pivot", "event_grid", "traffic_rates", "prefer", "customer_type")
 VOCABULARY = ["click", "error", "purchase", "signup", "view"]
 
 
@@ -91,8 +93,14 @@ def _user_item(identity: str):
     )
 
 
-def _product(f, l):
-    return features.past_product_history(_stats(f, l), agg.product_daily(f, l))
+def _product(f, l, stats=None):
+    stats = stats if stats is not None else stage(_stats(f, l), "item_stats")
+    return features.past_product_history(stats, agg.product_daily(f, l))
+
+
+def _basket(f, l):
+    stats = stage(_stats(f, l), "item_stats")
+    return features.basket_description(stats, _product(f, l, stats), _prior(f, l))
 
 
 def _sessions(f, l):
@@ -122,7 +130,7 @@ def _preferred(f, l):
 
 def _vocabulary_of(f: EventFrames, window) -> list[str]:
     """Event names of a training run, here over the whole source."""
-    return features.event_vocabulary(_web_events(f, Lookups.build(f, window)))
+    return features.event_vocabulary(_web_events(f, Lookups(f, window)))
 
 
 def _wide(source: str, vocabulary: list[str] | None = None):
@@ -130,7 +138,7 @@ def _wide(source: str, vocabulary: list[str] | None = None):
         names = vocabulary
         if names is None:
             names = _vocabulary_of(f, SOURCES["web"].window) if source.startswith("web") else []
-        return build_features(stage_frames(f), l.window, vocabulary=names, keep=stage).rows
+        return build_features(f, l.window, vocabulary=names, keep=stage).rows
 
     return rows
 
@@ -164,7 +172,7 @@ def _event_queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
 
     def add(name, source, build, body, digits=None, dates=("transaction_date",)):
-        q[name] = event_query(source, build, body, digits, dates)
+        q[name] = event_query(source, build, body, digits, dates, staged=name.startswith(STAGED))
 
     # Lookups.
     valid = ["event_day", "transaction_id", "user_id", "user_pseudo_id", "purchase_revenue", "refund_value"]
@@ -197,12 +205,12 @@ def _event_queries() -> dict[str, Query]:
         add(f"same_item_summary{suffix}", source, lambda f, l: features.same_item_summary(_stats(f, l)), "SELECT * FROM f_same_item", {"avg_same_item_item_quantity": RATE})
         add(f"same_variant_summary{suffix}", source, lambda f, l: features.same_variant_summary(_stats(f, l)), "SELECT * FROM f_same_variant", {"avg_same_item_variant_quantity": RATE})
         add(f"past_product_history{suffix}", source, _product, "SELECT * FROM f_product")
-        add(f"basket_description{suffix}", source, lambda f, l: features.basket_description(_stats(f, l), _product(f, l), _prior(f, l)), "SELECT * FROM f_basket", BASKET_DIGITS)
+        add(f"basket_description{suffix}", source, _basket, "SELECT * FROM f_basket", BASKET_DIGITS)
         add(f"rolling_refunds{suffix}", source, history.rolling_refunds, "SELECT * FROM f_rolling", ROLLING_RATES)
         add(f"past_user{suffix}", source, _user("user_id"), "SELECT * FROM f_user", USER_RATES)
         add(f"past_user_item{suffix}", source, _user_item("user_id"), "SELECT * FROM f_user_item", USER_ITEM_RATES)
-        add(f"demographic_rates{suffix}", source, lambda f, l: features.demographic_rates(_demographics(f, l), f, l, _prior(f, l)), "SELECT * FROM f_demo", DEMO_RATES)
-        add(f"brand_category_rates{suffix}", source, lambda f, l: features.brand_category_rates(_stats(f, l), f, l, _prior(f, l)), "SELECT * FROM f_brand", BRAND_RATES)
+        add(f"demographic_rates{suffix}", source, lambda f, l: features.demographic_rates(stage(_demographics(f, l), "demographics"), f, l, _prior(f, l)), "SELECT * FROM f_demo", DEMO_RATES)
+        add(f"brand_category_rates{suffix}", source, lambda f, l: features.brand_category_rates(stage(_stats(f, l), "item_stats"), f, l, _prior(f, l)), "SELECT * FROM f_brand", BRAND_RATES)
         for level in history.VISITOR_LEVELS:
             add(f"past_by_{level}{suffix}", source, lambda f, l, level=level: history.past_by_level(f, l, level), f"SELECT * FROM past_{level}")
         for level in history.ITEM_LEVELS:
@@ -223,7 +231,7 @@ def _event_queries() -> dict[str, Query]:
     add("event_grid", "web_recent", lambda f, l: features.event_grid(_web_events(f, l), _vocabulary_of(f, SOURCES["web"].window)), GRID_SQL, {"event_length_in_seconds": 3})
     add("past_pseudo_user", "web", _user("user_pseudo_id"), "SELECT * FROM f_pseudo", USER_RATES)
     add("past_pseudo_user_item", "web", _user_item("user_pseudo_id"), "SELECT * FROM f_pseudo_item", USER_ITEM_RATES)
-    add("traffic_rates", "web", lambda f, l: features.traffic_rates(_sessions(f, l), f, l, _prior(f, l)), "SELECT * FROM f_traffic", TRAFFIC_RATES)
+    add("traffic_rates", "web", lambda f, l: features.traffic_rates(stage(_sessions(f, l), "sessions"), f, l, _prior(f, l)), "SELECT * FROM f_traffic", TRAFFIC_RATES)
     add("prefer_user_over_pseudo", "web", _preferred, PREFERRED_SQL, USER_RATES)
     add("basket_lists", "shop", lambda f, l: features.basket_lists(_stats(f, l)), "SELECT transaction_id, transaction_date, " + ", ".join(f"string_agg({c}, ',' ORDER BY {c}) AS {n}" for n, c in features.BASKET_LISTS.items()) + " FROM istats GROUP BY 1, 2")
 
@@ -245,8 +253,7 @@ def _event_queries() -> dict[str, Query]:
     add("segment_first_purchase", "web", lambda f, l: assemble.first_time_purchases(_wide("web")(f, l)), _segment_sql("first time purchase", assemble.PAST_USER_COLUMNS), first_digits)
 
     # Functions.
-    visit = [F.col("visit_source"), F.col("visit_medium"), F.col("visit_campaign")]
-    add("channel_grouping", "web", lambda f, l: f.events.select("session_id", "event_timestamp", channel_grouping(*visit).alias("channel")), f"SELECT session_id, event_timestamp, {CHANNEL} AS channel FROM ev", dates=())
+    add("channel_grouping", "web", lambda f, l: f.events.select("session_id", "event_timestamp", channel_grouping(F.col("visit_source"), F.col("visit_medium"), F.col("visit_campaign")).alias("channel")), f"SELECT session_id, event_timestamp, {CHANNEL} AS channel FROM ev", dates=())
     add("channel_grouping_params", "web", lambda f, l: f.events.select("event_timestamp", channel_grouping(F.col("source"), F.col("medium"), F.col("campaign")).alias("channel")), f"SELECT event_timestamp, {CHANNEL.replace('visit_', '')} AS channel FROM ev", dates=())
     add("normalize_string", "web", lambda f, l: f.events.select("event_timestamp", *[normalize_string(F.col(c)).alias(c) for c in ("country", "city")]), "SELECT event_timestamp, CASE WHEN country IN ('(not set)', '') THEN NULL ELSE country END AS country, CASE WHEN city IN ('(not set)', '') THEN NULL ELSE city END AS city FROM ev", dates=())
     add("clean_string", "web", lambda f, l: f.events.select("event_timestamp", *[clean_string(F.col(c)).alias(c) for c in ("campaign", "medium")]), "SELECT event_timestamp, CASE WHEN campaign IN ('(none)', '(not set)', '(data deleted)') THEN 'unknown' ELSE campaign END AS campaign, CASE WHEN medium IN ('(none)', '(not set)', '(data deleted)') THEN 'unknown' ELSE medium END AS medium FROM ev", dates=())
@@ -267,29 +274,33 @@ def _event_queries() -> dict[str, Query]:
 
 def _export_queries() -> dict[str, Query]:
     """Scans of the nested export itself."""
-    flat = [
-        "event_date",
-        "event_timestamp",
-        "event_name",
-        "user_id",
-        "user_pseudo_id",
-        F.col("ecommerce.transaction_id").alias("transaction_id"),
-        F.col("geo.country").alias("country"),
-        F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("item_rows"),
-    ]
+    def flat(export: DataFrame) -> DataFrame:
+        return export.select(
+            "event_date",
+            "event_timestamp",
+            "event_name",
+            "user_id",
+            "user_pseudo_id",
+            F.col("ecommerce.transaction_id").alias("transaction_id"),
+            F.col("geo.country").alias("country"),
+            F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("item_rows"),
+        )
+
     scan = """
         SELECT strftime(e.event_day, '%Y%m%d') AS event_date, e.event_timestamp, e.event_name, e.user_id, e.user_pseudo_id,
                e.transaction_id, e.country, CASE WHEN e.event_name = 'purchase' THEN e.unique_items ELSE 0 END AS item_rows
         FROM ev e"""
-    items = ["event_date", "event_timestamp", *[F.col(f"item.{c}").alias(c) for c in ("item_id", "item_name", "quantity", "item_revenue")]]
+    def items(export: DataFrame) -> DataFrame:
+        columns = ("item_id", "item_name", "quantity", "item_revenue")
+        return explode_items(export).select("event_date", "event_timestamp", *[F.col(f"item.{c}").alias(c) for c in columns])
 
     def windowed(s, d):
-        return within_dates(web_export(s, d), WEB_RECENT.start, WEB_RECENT.end).select(*flat)
+        return flat(within_dates(web_export(s, d), WEB_RECENT.start, WEB_RECENT.end))
 
     def cleanup(s, d):
         """Write the event table and an intermediate, drop all but the kept vocabulary table."""
         frames = SOURCES["web"].frames(s, d)
-        lookups = Lookups.build(frames, SOURCES["web"].window)
+        lookups = Lookups(frames, SOURCES["web"].window)
         kept, gone = "returnscope_training_web_events", "returnscope_training_transaction_lookup"
         write_table(_web_events(frames, lookups), kept, path=stage_path(s, kept))
         write_table(lookups.transactions, gone, path=stage_path(s, gone))
@@ -297,10 +308,10 @@ def _export_queries() -> dict[str, Query]:
         return read_table(s, kept)
 
     return {
-        "scan_events": table_query(lambda s, d: web_export(s, d).select(*flat), scan, blocks=WEB),
+        "scan_events": table_query(lambda s, d: flat(web_export(s, d)), scan, blocks=WEB),
         "windowed_scan": table_query(windowed, f"{scan} WHERE e.event_day BETWEEN DATE '{WEB_RECENT.start}' AND DATE '{WEB_RECENT.end}'", blocks=WEB),
         "explode_items": table_query(
-            lambda s, d: explode_items(web_export(s, d)).select(*items),
+            lambda s, d: items(web_export(s, d)),
             """SELECT strftime(c.day, '%Y%m%d') AS event_date, epoch_us(c.ts) AS event_timestamp,
                       CASE WHEN (k + i) % 17 = 0 THEN '(not set)' ELSE 'I' || ((k * 7 + i * 13) % 40) END AS item_id,
                       CASE WHEN (k + i) % 19 = 0 THEN '(not set)' ELSE 'Name ' || ((k * 7 + i * 13) % 20) END AS item_name,

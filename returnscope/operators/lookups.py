@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,32 +82,43 @@ def item_lookup(frames: EventFrames, window: RunWindow) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
 class Lookups:
-    """The key sets of a run, shared by all operators that restrict a scan to them."""
-
-    window: RunWindow
-    transactions: DataFrame
-    dates: DataFrame
-    users: DataFrame
-    pseudo_users: DataFrame
-    sessions: DataFrame
-    items: DataFrame
-
-    @classmethod
-    def build(
-        cls, frames: EventFrames, window: RunWindow, keep: Callable[[DataFrame, str], DataFrame] = no_stage
-    ) -> Lookups:
-        """``keep`` may write each key set once; by default they stay part of the plan."""
-        return cls(
-            window,
-            keep(transaction_lookup(frames, window), "transaction_lookup"),
-            keep(transaction_date_lookup(frames, window), "transaction_date_lookup"),
-            keep(identity_lookup(frames, window, "user_id"), "user_lookup"),
-            keep(identity_lookup(frames, window, "user_pseudo_id"), "pseudo_user_lookup"),
-            keep(session_lookup(frames, window), "session_lookup"),
-            keep(item_lookup(frames, window), "item_lookup"),
-        )
+    """The key sets of a run, shared by all operators that restrict a scan to them.
+
+    Each is built when first used. ``keep`` may write it once for all its readers; by default the
+    key sets stay part of the plan.
+    """
+
+    def __init__(
+        self, frames: EventFrames, window: RunWindow, keep: Callable[[DataFrame, str], DataFrame] = no_stage
+    ) -> None:
+        self.window = window
+        self._frames = frames
+        self._keep = keep
+
+    @cached_property
+    def transactions(self) -> DataFrame:
+        return self._keep(transaction_lookup(self._frames, self.window), "transaction_lookup")
+
+    @cached_property
+    def dates(self) -> DataFrame:
+        return self._keep(transaction_date_lookup(self._frames, self.window), "transaction_date_lookup")
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return self._keep(identity_lookup(self._frames, self.window, "user_id"), "user_lookup")
+
+    @cached_property
+    def pseudo_users(self) -> DataFrame:
+        return self._keep(identity_lookup(self._frames, self.window, "user_pseudo_id"), "pseudo_user_lookup")
+
+    @cached_property
+    def sessions(self) -> DataFrame:
+        return self._keep(session_lookup(self._frames, self.window), "session_lookup")
+
+    @cached_property
+    def items(self) -> DataFrame:
+        return self._keep(item_lookup(self._frames, self.window), "item_lookup")
 
     def identity(self, identity: str) -> DataFrame:
-        return {"user_id": self.users, "user_pseudo_id": self.pseudo_users}[identity]
+        return {"user_id": lambda: self.users, "user_pseudo_id": lambda: self.pseudo_users}[identity]()

@@ -28,12 +28,12 @@ class FeatureRun:
 
 
 def stage_frames(frames: EventFrames) -> EventFrames:
-    """Write the flat frames once, so that the nested export is parsed once per run.
+    """Write each flat frame when it is first used, so that the nested export is parsed once.
 
-    Worth it whenever a whole feature run follows: some twenty operators read these frames, each
-    with a handful of columns.
+    Worth it whenever a feature run follows: some twenty operators read these frames, each with a
+    handful of columns.
     """
-    return EventFrames(stage(frames.events, "events"), stage(frames.items, "items"))
+    return frames.kept(stage)
 
 
 def build_features(
@@ -44,7 +44,7 @@ def build_features(
     ``keep`` handles the nodes that several tables read; :func:`stage` writes them once, and
     :func:`no_stage` leaves them in the plan. A prediction run passes the training vocabulary.
     """
-    lookups = Lookups.build(frames, window, keep)
+    lookups = Lookups(frames, window, keep)
     prior = keep(history.past_global_history(frames, lookups), "prior")
     item_stats = keep(aggregates.transaction_item_stats(frames, lookups), "item_stats")
     session_map = mappings.transaction_session(frames, lookups)

@@ -40,18 +40,8 @@ def order_lines(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
-def shop_frames(spark: SparkSession, directory: str) -> EventFrames:
-    """One purchase event per order, one item per line."""
-    lines = order_lines(spark, directory)
-    nation = table(spark, directory, "nation").join(
-        table(spark, directory, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    customers = (
-        table(spark, directory, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .select("c_custkey", F.col("n_name").alias("country"), F.col("c_mktsegment").alias("city"), F.col("r_name").alias("language"))
-    )
-    order_totals = lines.groupBy("l_orderkey").agg(
+def _shop_headers(spark: SparkSession, directory: str) -> DataFrame:
+    order_totals = order_lines(spark, directory).groupBy("l_orderkey").agg(
         F.sum("item_revenue").alias("purchase_revenue"),
         F.sum("item_refund").alias("refund_value"),
         F.count("*").alias("unique_items"),
@@ -63,18 +53,32 @@ def shop_frames(spark: SparkSession, directory: str) -> EventFrames:
         F.col("o_orderpriority").alias("device_category"),
         F.col("o_orderstatus").alias("operating_system"),
     )
-    headers = orders.join(order_totals, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    identity = [F.col("o_custkey").cast("string").alias(c) for c in ["user_id", "user_pseudo_id"]]
-    transaction = F.col("o_orderkey").cast("string").alias("transaction_id")
-    events = headers.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left").select(
+    return orders.join(order_totals, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
+
+
+def _shop_keys() -> list[Column]:
+    customer, order = F.col("o_custkey").cast("string"), F.col("o_orderkey").cast("string")
+    return [customer.alias("user_id"), customer.alias("user_pseudo_id"), order.alias("transaction_id")]
+
+
+def _shop_events(spark: SparkSession, directory: str) -> DataFrame:
+    nation = table(spark, directory, "nation").join(
+        table(spark, directory, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    customers = (
+        table(spark, directory, "customer")
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .select("c_custkey", F.col("n_name").alias("country"), F.col("c_mktsegment").alias("city"), F.col("r_name").alias("language"))
+    )
+    headers = _shop_headers(spark, directory)
+    return headers.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left").select(
         "event_day",
         (F.unix_date("event_day").cast("long") * 86_400_000_000).alias("event_timestamp"),
         F.lit("purchase").alias("event_name"),
-        *identity,
+        *_shop_keys(),
         *[_missing().alias(c) for c in ["session_id", "session_engaged", "campaign", "medium", "source"]],
         *[_missing().alias(c) for c in ["visit_source", "visit_medium", "visit_campaign"]],
         _missing("long").alias("engagement_time_msec"),
-        transaction,
         "purchase_revenue",
         F.col("purchase_revenue").alias("purchase_revenue_in_usd"),
         "refund_value",
@@ -88,12 +92,14 @@ def shop_frames(spark: SparkSession, directory: str) -> EventFrames:
         "operating_system",
         "language",
     )
-    parts = table(spark, directory, "part")
-    items = (
-        headers.drop("l_orderkey")
-        .select("event_day", *identity, transaction, "purchase_revenue", "o_orderkey")
-        .join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+
+
+def _shop_items(spark: SparkSession, directory: str) -> DataFrame:
+    return (
+        _shop_headers(spark, directory)
+        .select("event_day", *_shop_keys(), "purchase_revenue", "o_orderkey")
+        .join(order_lines(spark, directory), F.col("o_orderkey") == F.col("l_orderkey"))
+        .join(table(spark, directory, "part"), F.col("l_partkey") == F.col("p_partkey"), "left")
         .select(
             "event_day",
             "user_id",
@@ -116,7 +122,11 @@ def shop_frames(spark: SparkSession, directory: str) -> EventFrames:
             F.col("item_refund").alias("item_refund_in_usd"),
         )
     )
-    return EventFrames(events, items)
+
+
+def shop_frames(spark: SparkSession, directory: str) -> EventFrames:
+    """One purchase event per order, one item per line."""
+    return EventFrames(lambda: _shop_events(spark, directory), lambda: _shop_items(spark, directory))
 
 
 # --- web: a click stream as a nested export ----------------------------------------------------

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from returnscope.functions.params import param_int, param_string
 from returnscope.sources.schema import ECOMMERCE_FIELDS, EVENT_SCHEMA, ITEM_FIELDS
 
 
-@dataclass(frozen=True)
 class EventFrames:
     """Flat view of the events: one row per event, and one row per item of an event.
 
@@ -21,8 +21,20 @@ class EventFrames:
     column by column.
     """
 
-    events: DataFrame
-    items: DataFrame
+    def __init__(self, events: Callable[[], DataFrame], items: Callable[[], DataFrame]) -> None:
+        self._events, self._items = events, items
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return self._events()
+
+    @cached_property
+    def items(self) -> DataFrame:
+        return self._items()
+
+    def kept(self, keep: Callable[[DataFrame, str], DataFrame]) -> EventFrames:
+        """Frames that pass through ``keep`` when first used, for instance to be written once."""
+        return EventFrames(lambda: keep(self.events, "events"), lambda: keep(self.items, "items"))
 
 
 def read_export(spark: SparkSession, path: str, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
@@ -50,17 +62,26 @@ def explode_items(export: DataFrame) -> DataFrame:
 
 def flatten(export: DataFrame) -> EventFrames:
     """Typed, flat event and item frames of a nested export."""
+    return EventFrames(lambda: _flat_events(export), lambda: _flat_items(export))
+
+
+def _day_and_identity() -> list[Column]:
+    return [
+        F.to_date("event_date", "yyyyMMdd").alias("event_day"),
+        F.col("user_id").cast("string").alias("user_id"),
+        F.col("user_pseudo_id").cast("string").alias("user_pseudo_id"),
+    ]
+
+
+def _flat_events(export: DataFrame) -> DataFrame:
     params = F.col("event_params")
-    day = F.to_date("event_date", "yyyyMMdd").alias("event_day")
     session_number = param_int(params, "ga_session_id")
     # concat, not concat_ws: a missing half must make the session id NULL.
     session_id = F.concat(F.col("user_pseudo_id"), F.lit("_"), session_number.cast("string"))
-    identity = [F.col("user_id").cast("string").alias("user_id"), F.col("user_pseudo_id").cast("string").alias("user_pseudo_id")]
-    events = export.select(
-        day,
+    return export.select(
+        *_day_and_identity(),
         "event_timestamp",
         "event_name",
-        *identity,
         session_id.alias("session_id"),
         param_string(params, "session_engaged").alias("session_engaged"),
         param_int(params, "engagement_time_msec").alias("engagement_time_msec"),
@@ -77,15 +98,18 @@ def flatten(export: DataFrame) -> EventFrames:
         F.col("device.operating_system").alias("operating_system"),
         F.col("device.language").alias("language"),
     )
-    items = explode_items(
+
+
+def _flat_items(export: DataFrame) -> DataFrame:
+    exploded = explode_items(
         export.select(
-            day,
-            *identity,
+            *_day_and_identity(),
             F.col("ecommerce.transaction_id").alias("transaction_id"),
             F.col("ecommerce.purchase_revenue").alias("purchase_revenue"),
             "items",
         )
-    ).select(
+    )
+    return exploded.select(
         "event_day",
         "user_id",
         "user_pseudo_id",
@@ -93,4 +117,3 @@ def flatten(export: DataFrame) -> EventFrames:
         "purchase_revenue",
         *[F.col(f"item.{name}").alias(name) for name in ITEM_FIELDS],
     )
-    return EventFrames(events, items)

@@ -57,7 +57,7 @@ def frames(export):
 
 @pytest.fixture(scope="module")
 def lookups(frames):
-    return Lookups.build(frames, WINDOW)
+    return Lookups(frames, WINDOW)
 
 
 def keyed(df, *columns):
