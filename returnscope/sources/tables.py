@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Sequence
 
@@ -10,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
-_local_dirs: dict[str, str] = {}
+_staged: dict[str, list[str]] = {}
 
 
 def read_table(spark: SparkSession, name: str, limit: int | None = None, order_by: Sequence[str] = ()) -> DataFrame:
@@ -68,18 +67,10 @@ def read_csv(spark: SparkSession, path: str, schema: str, date_format: str = "yy
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for staged data: the session's ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of its own; on a cluster the executors would
-    not see it, so a missing setting is an error there.
+    Where it is unset, a folder in the warehouse, which all executors share as well.
     """
     configured = spark.conf.get(CHECKPOINT_CONF, None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
-    application = spark.sparkContext.applicationId
-    if application not in _local_dirs:
-        _local_dirs[application] = tempfile.mkdtemp(prefix="returnscope-")
-    return _local_dirs[application]
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged").rstrip("/")
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
@@ -96,9 +87,31 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = stage_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder through the file system that holds it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def staged_paths(spark: SparkSession) -> list[str]:
+    """What this application has staged and not yet released, oldest first."""
+    return list(_staged.get(spark.sparkContext.applicationId, []))
+
+
+def release_staged(spark: SparkSession, paths: Iterable[str] | None = None) -> list[str]:
+    """Delete staged data (all of it by default) once nothing reads it any more; returns what went."""
+    known = _staged.get(spark.sparkContext.applicationId, [])
+    gone = [p for p in (list(known) if paths is None else paths) if p in known]
+    for path in gone:
+        delete_path(spark, path)
+        known.remove(path)
+    return gone
+
+
 def no_stage(df: DataFrame, name: str) -> DataFrame:
     """Stand-in for :func:`stage` that keeps everything in one lazy plan."""
     return df
