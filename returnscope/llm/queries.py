@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from returnscope.llm import decontamination, exact_dedup
+from returnscope.llm import decontamination, exact_dedup, near_dedup
 from returnscope.llm.common import read
 
 
@@ -23,6 +23,15 @@ def op3_decontamination(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op4_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    """The contract's set is of four words."""
+    groups = near_dedup.near_groups(read(spark, directory, "documents"), kind="words", k=4, percent=80)
+    kept = F.col("id").eqNullSafe(F.col("component"))
+    return groups.select(
+        F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), F.col("component").alias("component_id"), kept.alias("kept")
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
     groups = exact_dedup.exact_groups(read(spark, directory, "documents"))
     kept = F.col("id").eqNullSafe(F.col("keep_id"))
@@ -62,6 +71,7 @@ FROM n
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
+    "op4_near_dedup": op4_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
 }
 SQL: dict[str, str] = {"op3_decontamination": OP3_SQL, "op6_exact_dedup": OP6_SQL}
