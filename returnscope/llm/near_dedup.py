@@ -2,16 +2,19 @@
 
 1. A text's signature takes one hash per shingle; empty bins are filled by optimal densification.
    Texts with the same shingle set are one class, stood for by its smallest id.
-2. Classes meet in band buckets. A bucket of n classes makes n - 1 candidates: a star around its
-   smallest id. Candidates are confirmed on the full shingle sets.
-3. A star can miss a link between two of its rays. So buckets that still hold several components
-   are taken up again: those of their classes outside the bucket's largest component are compared with
-   the bucket's classes of other components. Inside a component no further link matters.
+2. Classes meet in band buckets. A bucket of n classes makes n - 1 candidates: a star around the
+   class that meets the most others in all its buckets, as an original does among its edited copies.
+   Candidates are confirmed on the full shingle sets.
+3. A star can miss a link between two of its rays. So the classes of buckets that still hold several
+   components are taken up again, by an exact set join: shingles are ordered by how few of these
+   classes have them, and a similar pair must share one of the first ``n - ceil(s * n) + 1`` of each.
+   What a bucket has in common without being similar, a passage say, comes last in that order. Only
+   pairs across components are compared; inside a component no further link matters.
 4. Connected components over the confirmed links.
 
-Thus a pair that shares a bucket is either compared or already connected: nothing is capped, and the
-pairs stay near the number of bucket entries. With ``bands`` of ``rows`` bins, a pair of similarity s
-shares no bucket with probability (1 - s**rows)**bands: 5e-8 for 0.8 with the defaults.
+Thus every pair that shares a band bucket is compared, connected otherwise, or proven dissimilar:
+nothing is capped. With ``bands`` of ``rows`` bins, a pair of similarity s shares no bucket with
+probability (1 - s**rows)**bands: 5e-8 for 0.8 with the defaults.
 
 Cases: texts without shingles (null, empty, white space) are linked with nothing, and so are rows
 without an id. Rows that repeat an id are one node. Empty tables give empty results.
@@ -24,6 +27,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from returnscope.llm import shingles
 from returnscope.llm.components import components
@@ -85,36 +89,75 @@ def near_groups(
 
     banded = usable.join(member.filter("id = rep").select("id"), "id", "left_semi")
     entries = banded.select("id", F.explode("bands").alias("bucket"))
-    hubs = entries.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub != last").select("bucket", "hub")
-    shared = stage(entries.join(hubs, "bucket").distinct(), "buckets")
-    stars = stage(shared.filter("id != hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), "stars")
-
-    ends = stars.select(F.col("a").alias("id")).unionByName(stars.select(F.col("b").alias("id"))).distinct()
+    sizes = entries.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    met = stage(entries.join(sizes, "bucket").distinct(), "met")
+    degree = met.groupBy("id").agg(F.sum("n").alias("degree"))
+    shared = met.join(degree, "id").select("bucket", "id", "degree")
+    shared = stage(shared, "buckets")
+    hubs = shared.groupBy("bucket").agg(F.max_by("id", _rank()).alias("hub"))
+    stars = shared.join(hubs, "bucket").filter("id != hub").select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b"))
+    compared = stage(stars.distinct(), "stars")
+
+    ends = compared.select(F.col("a").alias("id")).unionByName(compared.select(F.col("b").alias("id"))).distinct()
     texts = source.join(ends, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
     texts = stage(texts, "candidate_texts")
-    links = stage(_confirmed(stars, texts, kind, k, percent), "links_by_star")
-    found = components(links, "a", "b")
-
-    rest = _missed(shared, found, stars)
-    if rest is not None:
-        links = stage(_confirmed(rest, texts, kind, k, percent).unionByName(links), "links_by_bucket")
-        found = components(links, "a", "b")
+    links = stage(_confirmed(compared, texts, kind, k, percent), "links")
+    found = stage(components(links, "a", "b"), "components")
+    pairs = _missed(shared.select("bucket", "id"), found, compared, texts, kind, k, percent)
+    if pairs is not None:
+        links = links.unionByName(stage(_confirmed(pairs, texts, kind, k, percent), "links"))
+        found = stage(components(links, "a", "b"), "components")
     grouped = member.join(found, member["rep"] == found["node"], "left").select("id", F.coalesce("component", "rep").alias("component"))
     return signed.select("id", "size").join(grouped.distinct(), "id", "left").select("id", "size", F.coalesce("component", "id").alias("component"))
 
 
-def _missed(shared: DataFrame, found: DataFrame, compared: DataFrame) -> DataFrame | None:
-    """Pairs of a bucket that are in different components and weren't compared; None if there are none."""
-    placed = shared.join(found, shared["id"] == found["node"], "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
-    held = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    mixed = held.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main"))
-    mixed = mixed.filter("parts > 1").select("bucket", "main")
-    rows = stage(placed.join(mixed, "bucket"), "mixed_buckets")
-    if rows.isEmpty():
+def _rank():
+    """Order of a bucket's classes as centres of a star."""
+    return F.struct("degree", -F.col("id"))
+
+
+def _tokens(kind: str, k: int):
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0)
+            for first, data, offsets in shingles.chunks(batch.column(1)):
+                keys = shingles.distinct(*shingles.SHINGLERS[kind](data, offsets, k))
+                owner = pa.array((keys >> shingles.np.uint64(shingles.HASH_BITS)).astype("int64"))
+                token = pa.array((keys & shingles.HASH_MASK).view("int64"))
+                yield pa.RecordBatch.from_arrays([ids.slice(first, len(offsets) - 1).take(owner), token], ["id", "token"])
+
+    return split
+
+
+def _missed(
+    shared: DataFrame, found: DataFrame, compared: DataFrame, texts: DataFrame, kind: str, k: int, percent: int
+) -> DataFrame | None:
+    """Pairs of different components that the stars left open; None if no bucket holds two components."""
+    labels = found.select(F.col("node").alias("id"), "component")
+    placed = shared.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 != c2").select("bucket")
+    open_ids = stage(placed.join(mixed, "bucket", "left_semi").select("id", "component").distinct(), "open_classes")
+    if open_ids.isEmpty():
         return None
-    one = rows.filter("component != main").select("bucket", F.col("id").alias("x"), F.col("component").alias("cx"))
-    two = rows.select("bucket", F.col("id").alias("y"), F.col("component").alias("cy"), "main")
-    across = one.join(two, "bucket").filter((F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))))
+    tokens = texts.join(open_ids.select("id"), "id", "left_semi").select("id", "text").mapInArrow(_tokens(kind, k), "id long, token long")
+    tokens = stage(tokens, "open_shingles")
+    common = tokens.groupBy("token").agg(F.count("*").alias("df"))
+    ordered = tokens.join(common, "token")
+    place = Window.partitionBy("id").orderBy("df", "token")
+    whole = Window.partitionBy("id")
+    prefix = ordered.withColumn("r", F.row_number().over(place)).withColumn("n", F.count("*").over(whole))
+    prefix = prefix.filter(F.col("r") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).filter("df > 1")
+    entries = prefix.join(open_ids, "id").select("token", "id", "component", "n")
+    held = entries.groupBy("token", "component").agg(F.count("*").alias("m"))
+    main = held.groupBy("token").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("m", "component")).alias("main"))
+    rows = stage(entries.join(main.filter("parts > 1").select("token", "main"), "token"), "open_prefixes")
+    one = rows.filter("component != main").select("token", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"))
+    two = rows.select("token", F.col("id").alias("y"), F.col("component").alias("cy"), F.col("n").alias("ny"), "main")
+    across = one.join(two, "token").filter(
+        (F.col("cx") != F.col("cy"))
+        & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y")))
+        & (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent)
+    )
     pairs = across.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
     return stage(pairs.join(compared, ["a", "b"], "left_anti"), "pairs_across")
 

@@ -7,10 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from returnscope.llm import decontamination, exact_dedup, near_dedup
+from returnscope.llm import decontamination, exact_dedup, mixing, near_dedup, toxicity
 from returnscope.llm.common import read
 
 
+def held_out(doc_id: str = "doc_id"):
+    """The fold that labels aren't learnt from."""
+    return F.crc32(F.col(doc_id).cast("string")) % 5 == 0
+
+
+def learnt_from(labels: DataFrame) -> DataFrame:
+    return labels.filter(~held_out())
+
+
 def op3_decontamination(spark: SparkSession, directory: str) -> DataFrame:
     found = decontamination.contamination(read(spark, directory, "documents"), read(spark, directory, "benchmark"))
     return found.select(
@@ -38,6 +47,18 @@ def op6_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), "keep_id", "group_size", kept.alias("kept"), "text_sha256")
 
 
+def op8_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    docs = read(spark, directory, "documents")
+    model = toxicity.train(docs, learnt_from(read(spark, directory, "labels")))
+    scored = toxicity.score(docs, model).withColumnRenamed("id", "doc_id")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_mixing(spark: SparkSession, directory: str) -> DataFrame:
+    mixed = mixing.mix(read(spark, directory, "documents"))
+    return mixed.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "copies", "taken")
+
+
 OP3_SQL = r"""
 WITH dw AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -73,5 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op4_near_dedup": op4_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_toxicity": op8_toxicity,
+    "op10_mixing": op10_mixing,
 }
 SQL: dict[str, str] = {"op3_decontamination": OP3_SQL, "op6_exact_dedup": OP6_SQL}
