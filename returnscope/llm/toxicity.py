@@ -49,7 +49,7 @@ IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
 WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
 MAX_ROWS = 20_000
-MAX_FEATURES = 1_000
+MAX_FEATURES = 500
 MIN_TEXTS = 5
 CACHE = 200_000
 
@@ -63,13 +63,9 @@ def words_in(text: str | None) -> set[str]:
 
 
 def swaps(words: set[str], terms: Sequence[Sequence[str]]) -> list[set[str]]:
-    """The text's words with the terms of one kind swapped, for each kind it mentions."""
-    out = []
-    for kind in terms:
-        if found := [t for t in kind if t in words]:
-            after = {kind[(kind.index(t) + 1) % len(kind)] for t in found}
-            out.append((words - set(found)) | after)
-    return out
+    """The text's words with every group's term swapped; nothing for a text that names none."""
+    found = {t: kind[(i + 1) % len(kind)] for kind in terms for i, t in enumerate(kind) if t in words}
+    return [(words - found.keys()) | set(found.values())] if found else []
 
 
 def features_of(words: Iterable[str]) -> set[str]:
@@ -98,53 +94,49 @@ class Model:
     weights: dict[str, float]
 
 
-class Rows:
-    """Sparse 0/1 rows."""
-
-    def __init__(self, rows: Sequence[Sequence[int]], columns: int):
-        self.lengths = np.array([len(r) for r in rows], np.int64)
-        self.index = np.array([j for r in rows for j in r], np.int64)
-        self.row = np.repeat(np.arange(len(rows)), self.lengths)
-        self.n, self.columns = len(rows), columns
-
-    def dot(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, weights=w[self.index], minlength=self.n)
-
-    def back(self, g: np.ndarray) -> np.ndarray:
-        return np.bincount(self.index, weights=g[self.row], minlength=self.columns)
+def _dense(rows: Sequence[Sequence[int]], columns: int) -> np.ndarray:
+    out = np.zeros((len(rows), columns + 1), np.float32)
+    for i, row in enumerate(rows):
+        out[i, list(row)] = 1
+    return out
 
 
 def fit(
     own: Sequence[Sequence[int]], y: np.ndarray, pairs: Sequence[tuple[Sequence[int], Sequence[int]]], columns: int,
-    penalty: float = 10.0, ridge: float = 1e-4, steps: int = 400,
+    penalty: float = 10.0, ridge: float = 1e-4, steps: int = 40,
 ) -> tuple[float, np.ndarray]:
     """Intercept and weights: mean log loss, ``ridge``, and ``penalty`` times the mean squared change by a swap.
 
-    Accelerated gradient steps of a size the losses' curvature allows.
+    Newton steps, halved until the loss falls. Rows are 0/1 and given by their columns.
     """
-    x = Rows(own, columns)
-    before, after = Rows([p[0] for p in pairs], columns), Rows([p[1] for p in pairs], columns)
-    share = min(max(float(y.mean()), 1e-6), 1 - 1e-6)
-    w, b = np.zeros(columns), math.log(share / (1 - share))
-    widest = max(1, int(x.lengths.max(initial=1)))
-    # Features are rare, so the curvature along most of them is far below the bound: scale each by its own.
-    scale = x.back(np.full(x.n, 1.0 / max(1, x.n)))
+    x, n = _dense(own, columns), len(own)
+    x[:, columns] = 1  # the intercept, neither shrunk nor changed by swaps
+    fixed = np.diag(np.append(np.full(columns, ridge), 0.0))
     if pairs:
-        change = before.back(np.full(before.n, 1.0)) + after.back(np.full(after.n, 1.0))
-        scale = scale + 8 * penalty * change / max(1, len(pairs))
-    bound = 0.25 * np.minimum(widest, 64) * scale + ridge
-    vw, vb, t = w.copy(), b, 1.0
+        change = _dense([p[1] for p in pairs], columns) - _dense([p[0] for p in pairs], columns)
+        fixed += 2 * penalty / len(pairs) * (change.T @ change).astype(float)
+
+    def loss(w: np.ndarray) -> float:
+        z = (x @ w.astype(np.float32)).astype(float)
+        return float(np.mean(np.logaddexp(0, z) - y * z) + 0.5 * w @ fixed @ w)
+
+    share = min(max(float(y.mean()), 1e-6), 1 - 1e-6)
+    w = np.zeros(columns + 1)
+    w[columns] = math.log(share / (1 - share))
+    now = loss(w)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x.dot(vw) + vb, -40, 40)))
-        grad = x.back((p - y) / x.n) + ridge * vw
-        if pairs:
-            moved = after.dot(vw) - before.dot(vw)
-            grad += 2 * penalty / len(pairs) * (after.back(moved) - before.back(moved))
-        nw, nb = vw - grad / bound, vb - 4 * float((p - y).mean()) / np.minimum(widest, 64)
-        following = (1 + math.sqrt(1 + 4 * t * t)) / 2
-        vw, vb = nw + (t - 1) / following * (nw - w), nb + (t - 1) / following * (nb - b)
-        w, b, t = nw, nb, following
-    return b, w
+        p = 1 / (1 + np.exp(-(x @ w.astype(np.float32)).astype(float)))
+        gradient = x.T @ ((p - y) / n).astype(np.float32) + fixed @ w
+        curvature = (x * (p * (1 - p) / n).astype(np.float32)[:, None]).T @ x + fixed
+        move = np.linalg.solve(curvature + 1e-9 * np.eye(columns + 1), gradient)
+        step = 1.0
+        while step > 1e-6 and loss(w - step * move) > now:
+            step /= 2
+        w = w - step * move
+        before, now = now, loss(w)
+        if before - now < 1e-9:
+            break
+    return float(w[columns]), w[:columns]
 
 
 def train(
