@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from returnscope.llm import decontamination, exact_dedup, mixing, near_dedup, toxicity
+from returnscope.llm import decontamination, exact_dedup, mixing, near_dedup, quality, toxicity, url_filter
 from returnscope.llm.common import read
 
 
@@ -47,6 +47,21 @@ def op6_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), "keep_id", "group_size", kept.alias("kept"), "text_sha256")
 
 
+# Verdict, host and path of each rule.
+URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
+
+
+def op5_url_filter(spark: SparkSession, directory: str) -> DataFrame:
+    return url_filter.verdicts(read(spark, directory, "pages"), URL_RULES).withColumnRenamed("id", "page_id")
+
+
+def op7_quality(spark: SparkSession, directory: str) -> DataFrame:
+    described = quality.describe(read(spark, directory, "documents"))
+    model = quality.train(described, learnt_from(read(spark, directory, "labels")))
+    scored = quality.score(described, model).withColumnRenamed("id", "doc_id")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op8_toxicity(spark: SparkSession, directory: str) -> DataFrame:
     docs = read(spark, directory, "documents")
     model = toxicity.train(docs, learnt_from(read(spark, directory, "labels")))
@@ -90,11 +105,27 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
 FROM n
 """
 
+# The tables have no alias links, so that the rules decide alone; tests cover equivalence.
+OP5_SQL = r"""
+WITH u AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path FROM pages),
+rules(verdict, h, p) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+fit AS (
+  SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
+  FROM u JOIN rules ON (host = h OR host LIKE '%.' || h) AND starts_with(path, p) GROUP BY 1)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict, CAST(NULL AS VARCHAR) AS class_url
+FROM u LEFT JOIN fit USING (page_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op4_near_dedup": op4_near_dedup,
+    "op5_url_filter": op5_url_filter,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_quality": op7_quality,
     "op8_toxicity": op8_toxicity,
     "op10_mixing": op10_mixing,
 }
-SQL: dict[str, str] = {"op3_decontamination": OP3_SQL, "op6_exact_dedup": OP6_SQL}
+SQL: dict[str, str] = {"op3_decontamination": OP3_SQL, "op5_url_filter": OP5_SQL, "op6_exact_dedup": OP6_SQL}
