@@ -116,15 +116,17 @@ def _rank():
     return F.struct("degree", -F.col("id"))
 
 
-def _tokens(kind: str, k: int):
+def _sets(kind: str, k: int):
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
             for first, data, offsets in shingles.chunks(batch.column(1)):
+                n = len(offsets) - 1
                 keys = shingles.distinct(*shingles.SHINGLERS[kind](data, offsets, k))
-                owner = pa.array((keys >> shingles.np.uint64(shingles.HASH_BITS)).astype("int64"))
-                token = pa.array((keys & shingles.HASH_MASK).view("int64"))
-                yield pa.RecordBatch.from_arrays([ids.slice(first, len(offsets) - 1).take(owner), token], ["id", "token"])
+                size = shingles.set_digests(keys, n)[0]
+                edges = pa.array(shingles.np.concatenate(([0], shingles.np.cumsum(size))), pa.int32())
+                lists = pa.ListArray.from_arrays(edges, pa.array((keys & shingles.HASH_MASK).view("int64")))
+                yield pa.RecordBatch.from_arrays([ids.slice(first, n), lists], ["id", "own"])
 
     return split
 
@@ -139,26 +141,33 @@ def _missed(
     open_ids = stage(placed.join(mixed, "bucket", "left_semi").select("id", "component").distinct(), "open_classes")
     if open_ids.isEmpty():
         return None
-    tokens = texts.join(open_ids.select("id"), "id", "left_semi").select("id", "text").mapInArrow(_tokens(kind, k), "id long, token long")
-    tokens = stage(tokens, "open_shingles")
+    sets = texts.join(open_ids.select("id"), "id", "left_semi").select("id", "text").mapInArrow(_sets(kind, k), "id long, own array<long>")
+    sets = stage(sets, "open_sets")
+    tokens = sets.select("id", F.explode("own").alias("token"))
     common = tokens.groupBy("token").agg(F.count("*").alias("df"))
     ordered = tokens.join(common, "token")
     place = Window.partitionBy("id").orderBy("df", "token")
     whole = Window.partitionBy("id")
-    prefix = ordered.withColumn("r", F.row_number().over(place)).withColumn("n", F.count("*").over(whole))
-    prefix = prefix.filter(F.col("r") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).filter("df > 1")
-    entries = prefix.join(open_ids, "id").select("token", "id", "component", "n")
-    held = entries.groupBy("token", "component").agg(F.count("*").alias("m"))
-    main = held.groupBy("token").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("m", "component")).alias("main"))
-    rows = stage(entries.join(main.filter("parts > 1").select("token", "main"), "token"), "open_prefixes")
-    one = rows.filter("component != main").select("token", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"))
-    two = rows.select("token", F.col("id").alias("y"), F.col("component").alias("cy"), F.col("n").alias("ny"), "main")
+    ranked = ordered.withColumn("r", F.row_number().over(place)).withColumn("n", F.count("*").over(whole))
+    ranked = ranked.withColumn("s", F.sum((F.col("df") > 1).cast("long")).over(whole))
+    prefix = ranked.filter(F.col("r") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).filter("df > 1")
+    entries = prefix.join(open_ids, "id").select("token", "id", "component", "n", "s")
+    several = entries.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 != c2").select("token")
+    rows = stage(entries.join(several, "token", "left_semi"), "open_prefixes").join(sets, "id")
+    # Of a similar pair's shingles, percent / (100 + percent) are in both sets. Were fewer than twice that
+    # share of each set shared with anyone at all, it could not be: so one of the two has as many.
+    shared_enough = F.col("s") * (100 + percent) >= 2 * percent * F.col("n")
+    one = rows.filter(shared_enough).select("token", *[F.col(c).alias(c + "x") for c in ("id", "component", "n", "s", "own")])
+    two = rows.select("token", *[F.col(c).alias(c + "y") for c in ("id", "component", "n", "s", "own")], shared_enough.alias("also"))
+    needed = (F.col("nx") + F.col("ny")) * percent
     across = one.join(two, "token").filter(
-        (F.col("cx") != F.col("cy"))
-        & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y")))
+        (F.col("componentx") != F.col("componenty"))
+        & (~F.col("also") | (F.col("idx") < F.col("idy")))
         & (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent)
+        & (F.least("sx", "sy") * (100 + percent) >= needed)
+        & (F.size(F.array_intersect("ownx", "owny")) * (100 + percent) >= needed)
     )
-    pairs = across.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+    pairs = across.select(F.greatest("idx", "idy").alias("a"), F.least("idx", "idy").alias("b")).distinct()
     return stage(pairs.join(compared, ["a", "b"], "left_anti"), "pairs_across")
 
 

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from returnscope.llm import decontamination, exact_dedup, mixing, near_dedup, quality, toxicity, url_filter
+from returnscope.llm import (
+    decontamination, exact_dedup, html_text, line_dedup, mixing, near_dedup, quality, token_counts, toxicity, url_filter,
+)
 from returnscope.llm.common import read
 
 
@@ -20,6 +22,14 @@ def learnt_from(labels: DataFrame) -> DataFrame:
     return labels.filter(~held_out())
 
 
+def op1_token_counts(spark: SparkSession, directory: str) -> DataFrame:
+    return token_counts.by_limit(token_counts.histogram(token_counts.encoded_lengths(read(spark, directory, "documents"))))
+
+
+def op2_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    return line_dedup.line_groups(read(spark, directory, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op3_decontamination(spark: SparkSession, directory: str) -> DataFrame:
     found = decontamination.contamination(read(spark, directory, "documents"), read(spark, directory, "benchmark"))
     return found.select(
@@ -69,6 +79,11 @@ def op8_toxicity(spark: SparkSession, directory: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op9_html_text(spark: SparkSession, directory: str) -> DataFrame:
+    found = html_text.main_texts(read(spark, directory, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_mixing(spark: SparkSession, directory: str) -> DataFrame:
     mixed = mixing.mix(read(spark, directory, "documents"))
     return mixed.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "copies", "taken")
@@ -120,12 +135,15 @@ FROM u LEFT JOIN fit USING (page_id)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
+    "op2_line_dedup": op2_line_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_near_dedup": op4_near_dedup,
     "op5_url_filter": op5_url_filter,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_quality": op7_quality,
     "op8_toxicity": op8_toxicity,
+    "op9_html_text": op9_html_text,
     "op10_mixing": op10_mixing,
 }
 SQL: dict[str, str] = {"op3_decontamination": OP3_SQL, "op5_url_filter": OP5_SQL, "op6_exact_dedup": OP6_SQL}
