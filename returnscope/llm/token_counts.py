@@ -75,12 +75,12 @@ def by_limit(counts: DataFrame) -> DataFrame:
 
     ``share_within`` is the share of documents of this length or less: the quantile it answers.
     """
-    total = counts.agg(F.sum("n_docs").alias("all_docs"), F.sum("n_tokens").alias("all_tokens"))
-    within = F.col("all_docs") - F.col("docs_above")
-    return counts.join(F.broadcast(total)).select(
+    docs, tokens = counts.agg(F.sum("n_docs"), F.sum("n_tokens")).first()
+    within = F.lit(docs or 0) - F.col("docs_above")
+    return counts.select(
         "length", "n_docs", "n_tokens", "docs_above", "tokens_above", within.alias("docs_within"),
-        (F.col("all_tokens") - F.col("tokens_above") + F.col("docs_above") * F.col("length")).alias("kept_tokens"),
-        (within / F.col("all_docs")).alias("share_within"),
+        (F.lit(tokens or 0) - F.col("tokens_above") + F.col("docs_above") * F.col("length")).alias("kept_tokens"),
+        (within / F.lit(docs or 1)).alias("share_within"),
     )
 
 
