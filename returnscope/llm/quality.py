@@ -126,10 +126,10 @@ def train(
     id_column: str = "doc_id", label_column: str = "quality",
 ) -> Model:
     """Fit on all labelled rows given; leave out those to be held out beforehand."""
-    spread = described.agg(Summarizer.metrics("mean", "std").summary(array_to_vector("stats")).alias("s")).first()
-    empty = spread["s"] is None or not len(spread["s"]["mean"])
-    mean = np.zeros(len(NAMES)) if empty else np.array(spread["s"]["mean"])
-    scale = np.ones(len(NAMES)) if empty else np.array(spread["s"]["std"])
+    mean, scale = np.zeros(len(NAMES)), np.ones(len(NAMES))
+    if not described.isEmpty():
+        spread = described.agg(Summarizer.metrics("mean", "std").summary(array_to_vector("stats")).alias("s")).first()["s"]
+        mean, scale = np.array(spread["mean"]), np.array(spread["std"])
     scale = np.where(scale > 1e-12, scale, 1.0)
     random = np.random.default_rng(seed)
     start = Model(mean, scale, random.normal(0, 1 / width, (len(NAMES), features)), random.uniform(0, 2 * math.pi, features), np.zeros(0), np.zeros(0), np.zeros(0))

@@ -100,7 +100,7 @@ def word_shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.nda
     factor = 1
     for j in range(k):
         shifted = np.zeros(len(words), np.uint64)
-        shifted[: len(words) - j] = words[j:]
+        shifted[: max(0, len(words) - j)] = words[j:]
         out += np.where(left > j, shifted, np.uint64(0)) * np.uint64(factor)
         factor = factor * 0xD6E8FEB86659FD93 % (1 << 64)
     whole = (left >= k) | ((length[texts] < k) & (left == length[texts]))
