@@ -116,17 +116,24 @@ def _rank():
     return F.struct("degree", -F.col("id"))
 
 
+def _lists(keys, n: int, mask: int, kind: str) -> pa.ListArray:
+    size = shingles.set_digests(keys, n)[0]
+    edges = pa.array(shingles.np.concatenate(([0], shingles.np.cumsum(size))), pa.int32())
+    return pa.ListArray.from_arrays(edges, pa.array((keys & shingles.np.uint64(mask)).astype(f"u{kind}").view(kind)))
+
+
 def _sets(kind: str, k: int):
+    """``own`` has a text's shingles, ``brief`` their distinct last 16 bits."""
+
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
             for first, data, offsets in shingles.chunks(batch.column(1)):
                 n = len(offsets) - 1
                 keys = shingles.distinct(*shingles.SHINGLERS[kind](data, offsets, k))
-                size = shingles.set_digests(keys, n)[0]
-                edges = pa.array(shingles.np.concatenate(([0], shingles.np.cumsum(size))), pa.int32())
-                lists = pa.ListArray.from_arrays(edges, pa.array((keys & shingles.HASH_MASK).view("int64")))
-                yield pa.RecordBatch.from_arrays([ids.slice(first, n), lists], ["id", "own"])
+                last = shingles.distinct(keys >> shingles.np.uint64(shingles.HASH_BITS), keys & shingles.np.uint64(0xFFFF))
+                lists = [_lists(keys, n, int(shingles.HASH_MASK), "int64"), _lists(last, n, 0xFFFF, "int16")]
+                yield pa.RecordBatch.from_arrays([ids.slice(first, n), *lists], ["id", "own", "brief"])
 
     return split
 
@@ -141,7 +148,7 @@ def _missed(
     open_ids = stage(placed.join(mixed, "bucket", "left_semi").select("id", "component").distinct(), "open_classes")
     if open_ids.isEmpty():
         return None
-    sets = texts.join(open_ids.select("id"), "id", "left_semi").select("id", "text").mapInArrow(_sets(kind, k), "id long, own array<long>")
+    sets = texts.join(open_ids.select("id"), "id", "left_semi").select("id", "text").mapInArrow(_sets(kind, k), "id long, own array<long>, brief array<smallint>")
     sets = stage(sets, "open_sets")
     tokens = sets.select("id", F.explode("own").alias("token"))
     common = tokens.groupBy("token").agg(F.count("*").alias("df"))
@@ -152,20 +159,25 @@ def _missed(
     ranked = ranked.withColumn("s", F.sum((F.col("df") > 1).cast("long")).over(whole))
     prefix = ranked.filter(F.col("r") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).filter("df > 1")
     entries = prefix.join(open_ids, "id").select("token", "id", "component", "n", "s")
-    several = entries.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 != c2").select("token")
-    rows = stage(entries.join(several, "token", "left_semi"), "open_prefixes").join(sets, "id")
-    # Of a similar pair's shingles, percent / (100 + percent) are in both sets. Were fewer than twice that
-    # share of each set shared with anyone at all, it could not be: so one of the two has as many.
-    shared_enough = F.col("s") * (100 + percent) >= 2 * percent * F.col("n")
-    one = rows.filter(shared_enough).select("token", *[F.col(c).alias(c + "x") for c in ("id", "component", "n", "s", "own")])
-    two = rows.select("token", *[F.col(c).alias(c + "y") for c in ("id", "component", "n", "s", "own")], shared_enough.alias("also"))
+    # Of a similar pair's shingles, percent / (100 + percent) are in both sets. So each must share percent
+    # of its own with anyone at all, and one of the two twice the former share.
+    entries = entries.filter(F.col("s") * 100 >= F.col("n") * percent).withColumn("ample", F.col("s") * (100 + percent) >= 2 * percent * F.col("n"))
+    several = entries.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.max("ample").alias("any"))
+    several = several.filter("c1 != c2 AND any").select("token")
+    brief = sets.select("id", "brief", (F.size("own") - F.size("brief")).alias("lost"))
+    rows = stage(entries.join(several, "token", "left_semi"), "open_prefixes").join(brief, "id")
+    columns = ("id", "component", "n", "s", "brief", "lost")
+    one = rows.filter("ample").select("token", *[F.col(c).alias(c + "x") for c in columns])
+    two = rows.select("token", *[F.col(c).alias(c + "y") for c in columns], "ample")
     needed = (F.col("nx") + F.col("ny")) * percent
+    # Shingles with the same 16 bits count once, so what they hide is added: never less than the overlap.
+    at_most = F.size(F.array_intersect("briefx", "briefy")) + F.least("lostx", "losty")
     across = one.join(two, "token").filter(
         (F.col("componentx") != F.col("componenty"))
-        & (~F.col("also") | (F.col("idx") < F.col("idy")))
+        & (~F.col("ample") | (F.col("idx") < F.col("idy")))
         & (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent)
         & (F.least("sx", "sy") * (100 + percent) >= needed)
-        & (F.size(F.array_intersect("ownx", "owny")) * (100 + percent) >= needed)
+        & (at_most * (100 + percent) >= needed)
     )
     pairs = across.select(F.greatest("idx", "idy").alias("a"), F.least("idx", "idy").alias("b")).distinct()
     return stage(pairs.join(compared, ["a", "b"], "left_anti"), "pairs_across")
