@@ -80,12 +80,12 @@ def _invalid_marks(df: DataFrame) -> dict[str, Column]:
 
 
 def row_invalid_share(df: DataFrame) -> Column:
-    """Share of a row's number and string columns that are invalid."""
+    """Share of a row's number and string columns that are invalid.
+
+    Summed over an array: a chain of additions nests as deep as there are columns and overflows.
+    """
     marks = list(_invalid_marks(df).values())
-    total = marks[0]
-    for mark in marks[1:]:
-        total = total + mark
-    return total / F.lit(len(marks))
+    return F.aggregate(F.array(*marks), F.lit(0), lambda total, mark: total + mark) / F.lit(len(marks))
 
 
 def column_invalid_shares(df: DataFrame) -> DataFrame:

@@ -178,3 +178,9 @@ def test_constant_label_is_refused(spark, ten):
         cleaning.drop_constant_columns(ten.withColumn("refund_flag", F.lit(1.0)), IDS, LABELS.all)
     kept = cleaning.drop_constant_columns(ten.withColumn("transaction_id", F.lit("1")).withColumn("x", F.lit(2.0)), IDS, LABELS.all)
     assert "transaction_id" in kept.columns and "x" not in kept.columns
+
+
+def test_wide_rows_are_cleaned(spark):
+    wide = spark.range(3).select("id", *[F.when(F.col("id") > i % 3, 1.0).alias(f"c{i}") for i in range(900)])
+    # Of 900 columns, row 1 has a value in a third, row 2 in two thirds.
+    assert [r["id"] for r in cleaning.drop_invalid_rows(wide, 0.5).select("id").collect()] == [2]
