@@ -199,12 +199,12 @@ def score_regression(model: Transformer, df: DataFrame, label: str | None = None
 
 
 def score_classifier(model: Transformer, df: DataFrame, cutoff: float = 0.5) -> DataFrame:
-    """One row per (transaction, class) whose probability is above the cut-off."""
+    """One row per (transaction, class) whose probability is above the cut-off; class 1 also at the cut-off."""
     extra = [SPLIT_COLUMN] if SPLIT_COLUMN in df.columns else []
     return (
         model.transform(df)
         .select(*TRANSACTION_KEYS, *extra, F.posexplode(vector_to_array("probability")).alias("label", "probability"))
-        .filter(F.col("probability") > cutoff)
+        .filter((F.col("probability") > cutoff) | ((F.col("probability") == cutoff) & (F.col("label") == 1)))
     )
 
 

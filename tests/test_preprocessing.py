@@ -1,10 +1,11 @@
 """Small vectors with known results for cleaning, selection, splitting, resampling and encoding."""
 
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from returnscope.config import LabelType, Labels
-from returnscope.operators import cleaning, resampling, selection, splitting
+from returnscope.operators import cleaning, modeling, resampling, selection, splitting
 from returnscope.operators.encoding import Encoder
 from returnscope.operators.resampling import Strategy, choose
 from returnscope.plans.preprocess import FittedPreprocessing, prepare_prediction, prepare_training
@@ -184,3 +185,13 @@ def test_wide_rows_are_cleaned(spark):
     wide = spark.range(3).select("id", *[F.when(F.col("id") > i % 3, 1.0).alias(f"c{i}") for i in range(900)])
     # Of 900 columns, row 1 has a value in a third, row 2 in two thirds.
     assert [r["id"] for r in cleaning.drop_invalid_rows(wide, 0.5).select("id").collect()] == [2]
+
+
+def test_tied_classes_keep_their_transaction(spark):
+    class Fitted:
+        def transform(self, df):
+            return df.withColumn("probability", array_to_vector(F.array(1 - F.col("p"), F.col("p"))))
+
+    rows = spark.createDataFrame([("a", "2024-01-01", 0.5), ("b", "2024-01-01", 0.25), ("c", "2024-01-01", 0.75)], "transaction_id string, transaction_date string, p double")
+    scored = modeling.score_classifier(Fitted(), rows).select("transaction_id", "label").collect()
+    assert sorted(map(tuple, scored)) == [("a", 1), ("b", 0), ("c", 1)]
