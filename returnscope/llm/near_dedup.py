@@ -25,8 +25,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -117,14 +118,23 @@ def _rank():
     return F.struct("degree", -F.col("id"))
 
 
-def _lists(keys, n: int, mask: int, kind: str) -> pa.ListArray:
-    size = shingles.set_digests(keys, n)[0]
-    edges = pa.array(shingles.np.concatenate(([0], shingles.np.cumsum(size))), pa.int32())
-    return pa.ListArray.from_arrays(edges, pa.array((keys & shingles.np.uint64(mask)).astype(f"u{kind}").view(kind)))
+def _parities(keys: np.ndarray, size: np.ndarray) -> pa.ListArray:
+    """A text's set as bits, one where an odd number of its shingles fall.
+
+    There are two to four bits a shingle and a power of two of them, so that the two halves of a
+    longer list, combined by exclusive or, compare with a shorter one.
+    """
+    words = 1 << np.ceil(np.log2(np.maximum(size, 32) / 32)).astype(np.int64)
+    edges = np.concatenate(([0], np.cumsum(words)))
+    owner = (keys >> np.uint64(shingles.HASH_BITS)).astype(np.int64)
+    bit = keys & (words[owner] * 64 - 1).astype(np.uint64)
+    out = np.zeros(edges[-1], np.uint64)
+    np.bitwise_xor.at(out, edges[owner] + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(out.view(np.int64)))
 
 
 def _sets(kind: str, k: int):
-    """``own`` has a text's shingles, ``brief`` their distinct last 16 bits."""
+    """``own`` has a text's shingles, ``parity`` their parities."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,13 +142,28 @@ def _sets(kind: str, k: int):
             for first, data, offsets in shingles.chunks(batch.column(1)):
                 n = len(offsets) - 1
                 keys = shingles.distinct(*shingles.SHINGLERS[kind](data, offsets, k))
-                last = shingles.distinct(keys >> shingles.np.uint64(shingles.HASH_BITS), keys & shingles.np.uint64(0xFFFF))
-                lists = [_lists(keys, n, int(shingles.HASH_MASK), "int64"), _lists(last, n, 0xFFFF, "int16")]
-                yield pa.RecordBatch.from_arrays([ids.slice(first, n), *lists], ["id", "own", "brief"])
+                size = shingles.set_digests(keys, n)[0]
+                edges = pa.array(np.concatenate(([0], np.cumsum(size))), pa.int32())
+                own = pa.ListArray.from_arrays(edges, pa.array((keys & shingles.HASH_MASK).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([ids.slice(first, n), own, _parities(keys, size)], ["id", "own", "parity"])
 
     return split
 
 
+def _at_least_apart(one: str, two: str) -> Column:
+    """Shingles that only one of two sets has, at least: their parities differ in no more places."""
+    x, y = F.col(one), F.col(two)
+    either = lambda left, right: F.zip_with(left, right, lambda u, v: u.bitwiseXOR(v))
+    ones = lambda bits: F.aggregate(bits, F.lit(0), lambda n, word: n + F.bit_count(word))
+    halved = lambda bits, half: either(F.slice(bits, 1, half), F.slice(bits, half + 1, half))
+    return (
+        F.when(F.size(x) == F.size(y), ones(either(x, y)))
+        .when(F.size(x) == 2 * F.size(y), ones(either(halved(x, F.size(y)), y)))
+        .when(F.size(y) == 2 * F.size(x), ones(either(halved(y, F.size(x)), x)))
+        .otherwise(F.lit(0))
+    )
+
+
 def _missed(
     shared: DataFrame, found: DataFrame, compared: DataFrame, texts: DataFrame, kind: str, k: int, percent: int
 ) -> DataFrame | None:
@@ -163,7 +188,7 @@ def _missed(
         direct = across.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
         return stage(direct.join(compared, ["a", "b"], "left_anti"), "pairs_across")
     open_ids = stage(placed.join(mixed.select("bucket"), "bucket", "left_semi").select("id", "component").distinct(), "open_classes")
-    sets = texts.join(open_ids.select("id"), "id", "left_semi").select("id", "text").mapInArrow(_sets(kind, k), "id long, own array<long>, brief array<smallint>")
+    sets = texts.join(open_ids.select("id"), "id", "left_semi").select("id", "text").mapInArrow(_sets(kind, k), "id long, own array<long>, parity array<long>")
     sets = stage(sets, "open_sets")
     tokens = sets.select("id", F.explode("own").alias("token"))
     common = tokens.groupBy("token").agg(F.count("*").alias("df"))
@@ -179,20 +204,17 @@ def _missed(
     entries = entries.filter(F.col("s") * 100 >= F.col("n") * percent).withColumn("ample", F.col("s") * (100 + percent) >= 2 * percent * F.col("n"))
     several = entries.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.max("ample").alias("any"))
     several = several.filter("c1 != c2 AND any").select("token")
-    brief = sets.select("id", "brief", (F.size("own") - F.size("brief")).alias("lost"))
-    rows = stage(entries.join(several, "token", "left_semi"), "open_prefixes").join(brief, "id")
-    columns = ("id", "component", "n", "s", "brief", "lost")
+    rows = stage(entries.join(several, "token", "left_semi"), "open_prefixes").join(sets.select("id", "parity"), "id")
+    columns = ("id", "component", "n", "s", "parity")
     one = rows.filter("ample").select("token", *[F.col(c).alias(c + "x") for c in columns])
     two = rows.select("token", *[F.col(c).alias(c + "y") for c in columns], "ample")
-    needed = (F.col("nx") + F.col("ny")) * percent
-    # Shingles with the same 16 bits count once, so what they hide is added: never less than the overlap.
-    at_most = F.size(F.array_intersect("briefx", "briefy")) + F.least("lostx", "losty")
+    both = F.col("nx") + F.col("ny")
     across = one.join(two, "token").filter(
         (F.col("componentx") != F.col("componenty"))
         & (~F.col("ample") | (F.col("idx") < F.col("idy")))
         & (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent)
-        & (F.least("sx", "sy") * (100 + percent) >= needed)
-        & (at_most * (100 + percent) >= needed)
+        & (F.least("sx", "sy") * (100 + percent) >= both * percent)
+        & ((both - _at_least_apart("parityx", "parityy")) * (100 + percent) >= 2 * percent * both)
     )
     pairs = across.select(F.greatest("idx", "idy").alias("a"), F.least("idx", "idy").alias("b")).distinct()
     return stage(pairs.join(compared, ["a", "b"], "left_anti"), "pairs_across")

@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from returnscope.llm import (
-    components, decontamination, exact_dedup, html_text, line_dedup, mixing, near_dedup, quality, token_counts, toxicity, url_filter,
+    components, decontamination, exact_dedup, html_text, line_dedup, mixing, near_dedup, quality, shingles, token_counts, toxicity,
+    url_filter,
 )
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -122,6 +123,22 @@ def test_near_groups_agree_with_brute_force(spark, k):
     assert got == brute_groups(texts, k, 80)
 
 
+def test_parities_never_claim_more_than_the_difference(spark):
+    rng = np.random.default_rng(5)
+    sets = [set(range(n)) | set(rng.integers(10**6, 2 * 10**6, extra).tolist()) for n in (0, 1, 31, 33, 250, 260, 900) for extra in (0, 8, 40)]
+    numbers = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    keys = shingles.distinct(numbers, shingles.mix(np.array([v for s in sets for v in sorted(s)], np.uint64)))
+    parity = near_dedup._parities(keys, shingles.set_digests(keys, len(sets))[0]).to_pylist()
+    pairs = [(x, y) for x in range(len(sets)) for y in range(len(sets))]
+    rows = spark.createDataFrame([(x, y, parity[x], parity[y]) for x, y in pairs], "x int, y int, px array<long>, py array<long>")
+    apart = {(r["x"], r["y"]): r["apart"] for r in rows.select("x", "y", near_dedup._at_least_apart("px", "py").alias("apart")).collect()}
+    truth = {(x, y): len(sets[x] ^ sets[y]) for x, y in pairs}
+    assert all(apart[p] <= truth[p] for p in pairs)
+    # Sets of like size that differ in a tenth to a fifth of their shingles are told apart nearly in full.
+    close = [p for p in pairs if 20 <= truth[p] <= 100 and min(len(sets[p[0]]), len(sets[p[1]])) >= 200]
+    assert close and all(apart[p] >= 0.7 * truth[p] for p in close)
+
+
 def test_one_per_group_keeps_columns_and_rows_without_id(spark):
     docs = documents(spark, ["a b c d e f", "a b c d e f", "other words here", None, "a b c d e f"], ids=[2, 1, 3, 4, None])
     kept = near_dedup.one_per_group(docs)
