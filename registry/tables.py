@@ -131,7 +131,7 @@ _SHARES = " UNION ALL ".join(
 )
 _HASH = "CAST('0x' || substr(md5('{seed}|' || transaction_id), 1, 8) AS BIGINT)"
 _SPLIT = """CASE WHEN row_number() OVER (ORDER BY transaction_date DESC, transaction_id DESC)
-    <= (SELECT CASE WHEN count(*) >= 100000 THEN 10000 ELSE CAST(floor(0.1 * count(*)) AS BIGINT) END FROM {rows}) THEN 'test' ELSE 'train' END"""
+    <= (SELECT CAST(floor(0.1 * count(*)) AS BIGINT) FROM {rows}) THEN 'test' ELSE 'train' END"""
 _LEVELS = {"priority": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"], "status": ["open", "unknown"]}
 
 
@@ -308,7 +308,7 @@ def _two_step_sql(gate: str) -> str:
 _ERRORS = "sqrt(avg((actual - prediction) * (actual - prediction))) AS rmse, avg(abs(actual - prediction)) AS mae"
 _SPEARMAN = """SELECT train_test, corr(ra, rp) AS spearman_rank_correlation_score FROM (
     SELECT train_test, rank() OVER (ORDER BY actual DESC) AS ra, rank() OVER (ORDER BY prediction DESC) AS rp FROM sc) GROUP BY 1"""
-_NAMED = {"Hello World!": "hello_world", "  SALES % ": "sales", "Order--Key": "order_key", "_Total__Price_": "total_price"}
+_NAMED = {"Order key (o)": "order_key_o", " Status/now ": "status_now", "Cust--No.": "cust_no", "_Total__Price_": "total_price"}
 
 
 def _renamed(s: SparkSession, d: str) -> DataFrame:
@@ -325,8 +325,8 @@ def queries() -> dict[str, Query]:
     # Sources, sinks and names.
     add("read_limit", lambda s, d: limited(table(s, d, "orders").select("o_orderkey", "o_totalprice"), 100, ["o_orderkey"]), "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 100")
     add("write_table", _read_back, "SELECT c_custkey, c_mktsegment FROM customer UNION ALL SELECT c_custkey, c_mktsegment FROM customer")
-    add("clean_column_names", lambda s, d: clean_column_names(_renamed(s, d)), "SELECT o_orderkey AS hello_world, o_orderstatus AS sales, o_custkey AS order_key, o_totalprice AS total_price FROM orders")
-    add("sink_safe_columns", lambda s, d: sink_safe_columns(_renamed(s, d)), "SELECT o_orderkey AS hello_world_, o_orderstatus AS sales___, o_custkey AS order__key, o_totalprice AS total__price_ FROM orders")
+    add("clean_column_names", lambda s, d: clean_column_names(_renamed(s, d)), "SELECT o_orderkey AS order_key_o, o_orderstatus AS status_now, o_custkey AS cust_no, o_totalprice AS total_price FROM orders")
+    add("sink_safe_columns", lambda s, d: sink_safe_columns(_renamed(s, d)), "SELECT o_orderkey AS order_key__o_, o_orderstatus AS status_now_, o_custkey AS cust__no_, o_totalprice AS total__price_ FROM orders")
 
     # Scalar functions.
     add(

@@ -13,9 +13,6 @@ SPLIT_COLUMN = "train_test"
 # Fixed values.
 SMOOTHING_WEIGHT = 0.2
 IMBALANCE_RATIO = 5.0
-MIN_ROWS_FOR_UNDERSAMPLING = 10_000
-LARGE_SPLIT_ROWS = 100_000
-LARGE_SPLIT_TEST_ROWS = 10_000
 ROLLING_WINDOWS = (3, 7, 30)
 MAX_COLUMN_NAME = 128
 

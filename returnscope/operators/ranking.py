@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from returnscope.functions.hashing import row_hash
+from returnscope.sources.tables import stage
 
 # Hash positions use the upper half of the 32-bit hash as bucket.
 BUCKET_BITS = 16
@@ -25,15 +25,11 @@ def running_total(df: DataFrame, order_by: Sequence[Column], amount: str, name:
 
     The order must be unique per row, which also keeps the range partitions balanced: equal
     values have been counted into one row, or an id breaks the tie. The partitioned rows are
-    persisted because the offsets and the rows must come from the same partitioning; a lost
-    partition is recomputed with the same range bounds.
+    staged because the offsets and the rows must come from the same partitioning, also after
+    executors are lost.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = (
-        df.repartitionByRange(parts, *order_by)
-        .withColumn("_part", F.spark_partition_id())
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    placed = stage(df.repartitionByRange(parts, *order_by).withColumn("_part", F.spark_partition_id()), "range_partitions")
     by_part = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_part")

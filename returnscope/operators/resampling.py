@@ -8,7 +8,7 @@ from enum import Enum
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from returnscope.config import IMBALANCE_RATIO, MIN_ROWS_FOR_UNDERSAMPLING, LabelType
+from returnscope.config import IMBALANCE_RATIO, LabelType
 from returnscope.operators.ranking import hash_position
 
 
@@ -28,29 +28,23 @@ def class_counts(df: DataFrame, label: str, kind: LabelType) -> DataFrame:
     return df.groupBy(label_class(label, kind).alias("label_class")).agg(F.count("*").alias("row_count"))
 
 
-def choose(counts: dict[int, int]) -> Strategy:
-    """Balanced enough or single-class: none; else undersample large and oversample small data."""
-    if len(counts) < 2 or max(counts.values()) / min(counts.values()) <= IMBALANCE_RATIO:
-        return Strategy.NONE
-    return Strategy.UNDER if sum(counts.values()) > MIN_ROWS_FOR_UNDERSAMPLING else Strategy.OVER
-
-
-def resampling_strategy(df: DataFrame, label: str, kind: LabelType) -> tuple[Strategy, dict[int, int]]:
-    counts = {r[0]: r[1] for r in class_counts(df, label, kind).collect()}
-    return choose(counts), counts
+def choose(counts: dict[int, int], wanted: Strategy) -> Strategy:
+    """The wanted strategy, or none if the classes are balanced enough or there is a single one."""
+    balanced = len(counts) < 2 or max(counts.values()) / min(counts.values()) <= IMBALANCE_RATIO
+    return Strategy.NONE if balanced else wanted
 
 
 def resample(
-    df: DataFrame, label: str, kind: LabelType, ids: Sequence[str], seed: int = 0, strategy: Strategy | None = None
+    df: DataFrame, label: str, kind: LabelType, ids: Sequence[str], strategy: Strategy, seed: int = 0, always: bool = True
 ) -> DataFrame:
-    """Bring the classes to the same size, exactly and reproducibly.
+    """Bring the classes to the same size, exactly and reproducibly; unless ``always``, only unbalanced ones.
 
     Which rows are dropped or repeated follows from a seeded hash of their ids. Undersampling keeps
     as many majority rows as there are minority rows; oversampling repeats every minority row
     equally often and gives the remainder one copy more.
     """
-    decided, counts = resampling_strategy(df, label, kind)
-    strategy = strategy or decided
+    counts = {r[0]: r[1] for r in class_counts(df, label, kind).collect()}
+    strategy = strategy if always else choose(counts, strategy)
     if strategy is Strategy.NONE or len(counts) < 2:
         return df
     few, many = min(counts, key=counts.get), max(counts, key=counts.get)

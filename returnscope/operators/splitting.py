@@ -7,30 +7,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from returnscope.config import LARGE_SPLIT_ROWS, LARGE_SPLIT_TEST_ROWS, SPLIT_COLUMN, Split
+from returnscope.config import SPLIT_COLUMN, Split
 from returnscope.functions.hashing import row_hash, row_uniform
+from returnscope.operators.ranking import running_total
 
 
-def number_of_test_rows(rows: int, share: float) -> int:
-    """Share of a small table, a fixed number of a large one; never none and never all."""
-    wanted = LARGE_SPLIT_TEST_ROWS if rows >= LARGE_SPLIT_ROWS else int(share * rows)
+def number_of_test_rows(rows: int, share: float, fixed: int | None = None) -> int:
+    """The share at every size, or a fixed number if asked for; never none and never all."""
+    wanted = int(share * rows) if fixed is None else fixed
     return max(1, min(wanted, rows - 1))
 
 
-def split_ordered(df: DataFrame, order_by: Sequence[str], ids: Sequence[str], share: float = 0.1, latest: bool = True) -> DataFrame:
+def split_ordered(df: DataFrame, order_by: Sequence[str], ids: Sequence[str], share: float = 0.1, latest: bool = True, test_rows: int | None = None) -> DataFrame:
     """The last rows in the given order are the test set: the latest ones, or the earliest.
 
-    Ids break ties, so they must identify a row. Only the boundary row is looked up, by a top-k
-    over at most ``LARGE_SPLIT_ROWS`` rows' share; every row is then tagged by comparing with it,
-    without a global sort or a join.
+    Ids break ties, so they must identify a row. The boundary row is found over range partitions of
+    the positions alone; every row is then tagged by comparing with it. ``test_rows`` sets a number
+    instead of the share.
     """
     rows = df.count()
     if rows < 2:
         raise ValueError("a split needs at least two rows")
     position = F.struct(*[F.col(c) for c in dict.fromkeys([*order_by, *ids])])
-    tail = df.select(position.alias("position")).orderBy(F.col("position").desc() if latest else F.col("position").asc())
-    tail = tail.limit(number_of_test_rows(rows, share))
-    boundary = tail.agg((F.min if latest else F.max)("position").alias("position")).scalar()
+    order = F.col("position").desc() if latest else F.col("position").asc()
+    placed = running_total(df.select(position.alias("position"), F.lit(1).alias("one")), [order], "one", "before")
+    last = placed.filter(F.col("before") == number_of_test_rows(rows, share, test_rows) - 1)
+    boundary = last.agg(F.min("position").alias("position")).scalar()
     is_test = position >= boundary if latest else position <= boundary
     return df.withColumn(SPLIT_COLUMN, _tag(is_test))
 

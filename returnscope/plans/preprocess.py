@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from returnscope.config import SPLIT_COLUMN, Labels, LabelType, Split
 from returnscope.operators.cleaning import clean, describe, drop_constant_columns, feature_columns
 from returnscope.operators.encoding import Encoder, load_text, save_text
-from returnscope.operators.resampling import resample
+from returnscope.operators.resampling import Strategy, resample
 from returnscope.operators.selection import MIN_CORRELATION, FeatureSelector
 from returnscope.operators.splitting import split_ordered
 from returnscope.sources.columns import clean_column_names
@@ -68,14 +68,14 @@ def prepare_training(
     row_threshold: float = 0.5,
     column_threshold: float = 0.95,
     min_correlation: float = MIN_CORRELATION,
-    balance: bool = False,
+    balance: Strategy = Strategy.NONE,
     vocabulary: Sequence[str] = (),
     keep=no_stage,
 ) -> TrainingData:
     """Clean, drop constants, select, split, encode and scale.
 
     Features are selected on all rows, before the split. Encoders are fitted on training rows
-    only. ``balance`` resamples the training rows of each label; ``keep`` may write the cleaned
+    only. ``balance`` says how to resample the training rows of a label with unbalanced classes; ``keep`` may write the cleaned
     rows, which every later step reads.
     """
     if not labels.numeric or not labels.categorical:
@@ -89,9 +89,9 @@ def prepare_training(
         is_train = split[SPLIT_COLUMN] == Split.TRAIN.value
         train = split.filter(is_train)
         encoders[label] = Encoder.fit(train, *feature_columns(chosen, ids, [label]))
-        if balance:
+        if balance is not Strategy.NONE:
             kind = LabelType.NUMERICAL if label in labels.numeric else LabelType.CATEGORICAL
-            split = resample(train, label, kind, ids).unionByName(split.filter(~is_train))
+            split = resample(train, label, kind, ids, balance, always=False).unionByName(split.filter(~is_train))
         tables[label] = encoders[label].transform(split, [*ids, label, SPLIT_COLUMN])
     fitted = FittedPreprocessing(list(ids), labels, selector, encoders, list(vocabulary))
     return TrainingData(tables, describe(cleaned, labels.all), fitted)

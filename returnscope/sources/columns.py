@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +18,16 @@ def clean_name(name: object) -> str:
     return "_".join(w for w in words if w)
 
 
+def refuse_clashes(names: Sequence[str]) -> None:
+    clashes = sorted({n for n in names if names.count(n) > 1})
+    if clashes:
+        raise ValueError(f"columns collide after renaming: {clashes}")
+
+
 def clean_column_names(df: DataFrame) -> DataFrame:
-    return df.toDF(*[clean_name(c) for c in df.columns])
+    names = [clean_name(c) for c in df.columns]
+    refuse_clashes(names)
+    return df.toDF(*names)
 
 
 def sink_name(name: str) -> str:
@@ -28,9 +37,7 @@ def sink_name(name: str) -> str:
 def sink_safe_columns(df: DataFrame) -> DataFrame:
     """Names any warehouse accepts, and zoned timestamps as plain wall-clock timestamps."""
     names = [sink_name(c) for c in df.columns]
-    clashes = sorted({n for n in names if names.count(n) > 1})
-    if clashes:
-        raise ValueError(f"columns collide after renaming: {clashes}")
+    refuse_clashes(names)
     renamed = df.toDF(*names)
     return renamed.select(
         *[

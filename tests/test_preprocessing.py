@@ -1,5 +1,8 @@
 """Small vectors with known results for cleaning, selection, splitting, resampling and encoding."""
 
+import math
+
+import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
@@ -9,6 +12,7 @@ from returnscope.operators import cleaning, modeling, resampling, selection, spl
 from returnscope.operators.encoding import Encoder
 from returnscope.operators.resampling import Strategy, choose
 from returnscope.plans.preprocess import FittedPreprocessing, prepare_prediction, prepare_training
+from returnscope.sources.columns import clean_column_names
 
 IDS = ["transaction_id", "transaction_date"]
 LABELS = Labels(("refund_value", "refund_proportion"), ("refund_flag",))
@@ -16,46 +20,39 @@ COLUMNS = (
     "transaction_id, transaction_date, transaction_value, refund_value, refund_flag, refund_proportion, shipping_value, item_count,"
     " min_price, max_price, event_count_click, event_count_first_visit, event_count_purchase"
 ).split(", ")
-THREE = [
-    ("1234", "2020-12-31", 100.0, 0.0, 0.0, 0.0, 0.0, 1.0, 100.0, 100.0, 10.0, 0.0, 1.0, "jeans,tshirt"),
-    ("312312", "2020-12-31", 300.0, 100.0, 1.0, 0.3333333333, 0.0, 3.0, 50.0, 150.0, 10.0, 1.0, 1.0, None),
-    ("54232", "2020-12-31", 90.0, 20.0, 1.0, 0.2222222222, 5.0, 1.0, 90.0, 90.0, 5.0, 1.0, 1.0, None),
-]
-TEN = [
-    (1001, "2023-02-14", 55.65, 38.09, 1.0, 0.0, 11.25, 2.0, 5.73, 223.53, 11.0, 1.0, 1.0),
-    (1002, "2023-04-08", 57.76, 17.78, 0.0, 0.0, 4.32, 1.0, 15.39, 157.92, 6.0, 0.0, 1.0),
-    (1003, "2023-05-15", 198.15, 7.21, 0.0, 0.2, 12.61, 2.0, 28.76, 103.95, 6.0, 2.0, 1.0),
-    (1004, "2023-11-14", 132.03, 6.4, 0.0, 0.0, 10.85, 1.0, 9.65, 155.45, 10.0, 0.0, 0.0),
-    (1005, "2023-04-12", 17.5, 33.56, 1.0, 0.0, 9.26, 4.0, 23.05, 221.31, 14.0, 3.0, 2.0),
-    (1006, "2023-12-10", 179.11, 38.86, 0.0, 0.12, 9.03, 1.0, 18.25, 201.53, 3.0, 3.0, 0.0),
-    (1007, "2023-09-05", 90.59, 1.88, 0.0, 0.0, 6.99, 3.0, 28.67, 102.19, 10.0, 1.0, 2.0),
-    (1008, "2023-03-03", 78.04, 35.09, 1.0, 0.27, 11.1, 1.0, 16.27, 93.29, 11.0, 1.0, 2.0),
-    (1009, "2023-06-25", 133.22, 11.3, 1.0, 0.0, 3.26, 3.0, 17.79, 64.91, 16.0, 1.0, 2.0),
-    (1010, "2023-04-26", 37.38, 19.2, 1.0, 0.0, 6.37, 2.0, 15.32, 236.6, 14.0, 1.0, 2.0),
-]
-
-
-def _frame(spark, rows, extra=()):
-    types = ["string" if c == "transaction_id" else "string" if c == "transaction_date" else "double" for c in COLUMNS]
-    schema = ", ".join(f"{c} {t}" for c, t in zip(COLUMNS, types)) + "".join(f", {c} string" for c in extra)
-    rows = [(str(r[0]), *r[1:]) for r in rows]
-    return spark.createDataFrame(rows, schema).withColumn("transaction_date", F.to_date("transaction_date"))
+def _row(i):
+    """One of twelve rows with scattered values, one a day."""
+    return (
+        f"t{i:02d}", f"2024-03-{i + 1:02d}", 30.0 + 11 * (7 * i % 12), 2 + 1.5 * ((5 * i + 3) % 12), float(7 * i % 12 > 6), i * i % 7 / 10,
+        1.0 + 3 * i % 5, 1.0 + i % 4, 5.0 + i * i % 11, 40.0 + i**3 % 13, 3.0 + 5 * i % 9, 1.0 + i % 2, 1.0 + 7 * i % 3,
+    )
 
 
-@pytest.fixture(scope="module")
-def three(spark):
-    return _frame(spark, THREE, ["past_product_returned_descriptions"])
+ROWS = [_row(i) for i in range(12)]
+
+
+def values(column):
+    return np.array([r[COLUMNS.index(column)] for r in ROWS])
+
+
+def following(label, least=0.1):
+    """Numeric features whose correlation with the label is large enough, none of them a close call."""
+    found = {c: abs(np.corrcoef(values(c), values(label))[0, 1]) for c in COLUMNS[2:] if c not in LABELS.all}
+    assert all(abs(r - least) > 1e-3 for r in found.values())
+    return [c for c, r in found.items() if r > least]
 
 
 @pytest.fixture(scope="module")
-def ten(spark):
-    return _frame(spark, TEN)
+def twelve(spark):
+    schema = ", ".join(f"{c} {'double' if c not in IDS else 'string'}" for c in COLUMNS)
+    return spark.createDataFrame(ROWS, schema).withColumn("transaction_date", F.to_date("transaction_date"))
 
 
-def test_invalid_columns_and_rows(three):
-    assert set(cleaning.invalid_columns(three, 0.5)) == {"shipping_value", "past_product_returned_descriptions"}
-    bad = three.filter(cleaning.row_invalid_share(three) > 0.3).select("transaction_id").collect()
-    assert [r[0] for r in bad] == ["1234"]
+def test_invalid_columns_and_rows(spark):
+    rows = [("p", 1.0, 0.0, None), ("q", 2.0, 0.0, "unknown"), ("r", 0.0, 3.0, "x"), ("s", 4.0, 0.0, None)]
+    df = spark.createDataFrame(rows, "id string, a double, b double, s string")
+    assert set(cleaning.invalid_columns(df, 0.5)) == {"b", "s"}
+    assert {r.id for r in df.filter(cleaning.row_invalid_share(df) > 0.3).collect()} == {"p", "q", "s"}
 
 
 def test_row_and_column_removal(spark):
@@ -74,43 +71,42 @@ def test_coercion_and_imputation(spark):
 
 
 def test_describe_interpolates(spark):
-    df = spark.createDataFrame([(10.5, 12.0), (20.0, 18.5), (15.75, 16.0), (0.0, 2.5), (5.2, 4.8)], "prediction double, actual double")
-    got = {r.statistic: (r.prediction, r.actual) for r in cleaning.describe(df, ["prediction", "actual"]).collect()}
-    assert got["count"] == (5.0, 5.0) and got["50%"] == (10.5, 12.0) and got["25%"] == (5.2, 4.8)
-    four = {r.statistic: r.prediction for r in cleaning.describe(df.filter("prediction > 0"), ["prediction"]).collect()}
-    assert four["25%"] == pytest.approx(9.175) and four["75%"] == pytest.approx(16.8125)
+    df = spark.createDataFrame([(8.0, 1.0), (2.0, 9.0), (32.0, 5.0), (4.0, 3.0), (16.0, 7.0)], "x double, y double")
+    got = {r.statistic: (r.x, r.y) for r in cleaning.describe(df, ["x", "y"]).collect()}
+    assert got["count"] == (5.0, 5.0) and got["50%"] == (8.0, 5.0) and got["25%"] == (4.0, 3.0)
+    four = {r.statistic: r.x for r in cleaning.describe(df.filter("x > 2"), ["x"]).collect()}
+    assert four["25%"] == pytest.approx(7.0) and four["75%"] == pytest.approx(20.0)
 
 
-def test_pearson_filter(three, ten):
-    numbers, _ = cleaning.feature_columns(three, IDS, LABELS.all)
+def test_pearson_filter(twelve):
+    numbers, _ = cleaning.feature_columns(twelve, IDS, LABELS.all)
     for label in LABELS.numeric:
-        assert set(selection.correlated_features(three, numbers, label, 0.5)) == {
-            "transaction_value", "item_count", "min_price", "max_price", "event_count_first_visit",
-        }
-    numbers, _ = cleaning.feature_columns(ten, IDS, LABELS.all)
-    kept = selection.correlated_features(ten, numbers, "refund_value")
-    assert [c for c in numbers if c not in kept] == ["event_count_click", "event_count_purchase"]
+        for least in (0.1, 0.2):
+            assert selection.correlated_features(twelve, numbers, label, least) == following(label, least)
 
 
 def test_rank_test(spark):
-    rows = list(zip([0.5, 0.5, 1, 1, 4, 4, 7.0], [5, 4, 2, 1, 3, 2, 1.0], [0, 0, 0, 0, 1, 1, 1], [0, 1, 0, 1, 0, 1, 0], [3.0] * 7))
+    rows = list(zip([1.0, 1, 2, 3, 5, 6, 6, 8], [4.0, 1, 3, 2, 2, 3, 1, 4], [0] * 4 + [1] * 4, [0, 1] * 4, [3.0] * 8))
     rows = [(float(a), float(b), *rest) for a, b, *rest in rows]
     df = spark.createDataFrame(rows, "f1 double, f2 double, y int, y2 int, same double")
     got = {r.feature: (r.h, r.p_value) for r in selection.rank_test(df, ["f1", "f2", "same"], "y").collect()}
-    assert got["f1"] == (pytest.approx(4.7547, abs=1e-4), pytest.approx(0.02922, abs=1e-5))
-    assert got["f2"] == (pytest.approx(0.5185, abs=1e-4), pytest.approx(0.4715, abs=1e-4))
+    # Rank sums 10 and 26 of eight rows; two pairs of ties.
+    h = (12 / 72 * (10**2 / 4 + 26**2 / 4) - 27) / (1 - 12 / 504)
+    assert got["f1"] == (pytest.approx(h), pytest.approx(math.erfc(math.sqrt(h / 2))))
+    assert got["f2"] == (pytest.approx(0.0, abs=1e-9), pytest.approx(1.0, abs=1e-4))
     assert got["same"][0] is None
     assert selection.discriminating_features(df, ["f1", "f2", "same"], "y") == ["f1"]
     assert selection.discriminating_features(df, ["f1", "f2"], "y2") == []
 
 
 def test_selector(spark):
-    rows = [(1, 10, 0, 1.1, 5, "X"), (2, 20, 1, 2.2, 10, "Y"), (3, 30, 1, 3.3, 15, "Z"), (4, 40, 0, 4.4, 20, "W")]
-    df = spark.createDataFrame(rows, "id long, num int, cat int, a double, b int, s string")
-    fitted = selection.FeatureSelector.fit(df, ["id"], Labels(("num",), ("cat",)), 0.5)
-    assert fitted.columns == {"num": ["a", "b", "num", "id", "s"], "cat": ["cat", "id", "s"]}
+    # u follows the amount; v does not.
+    rows = [(11, 3, 0, 7.0, 11, "m"), (12, 9, 1, 19.0, 12, "n"), (13, 4, 1, 9.0, 10, "n"), (14, 12, 0, 25.0, 10, "m"), (15, 7, 1, 15.0, 7, "k")]
+    df = spark.createDataFrame(rows, "id long, amount int, late int, u double, v int, note string")
+    fitted = selection.FeatureSelector.fit(df, ["id"], Labels(("amount",), ("late",)), 0.5)
+    assert fitted.columns == {"amount": ["u", "amount", "id", "note"], "late": ["late", "id", "note"]}
     with pytest.raises(ValueError, match="missing"):
-        fitted.transform(df.drop("a"))
+        fitted.transform(df.drop("u"))
 
 
 def test_split_sizes_and_order(spark):
@@ -119,7 +115,8 @@ def test_split_sizes_and_order(spark):
     assert {i for i, t in tags.items() if t == "test"} == {6, 7, 8, 9}
     early = {r.id for r in splitting.split_ordered(df, ["day"], ["id"], 0.4, latest=False).filter("train_test = 'test'").collect()}
     assert early == {0, 1, 2, 3}
-    assert splitting.number_of_test_rows(5, 0.1) == 1 and splitting.number_of_test_rows(200_000, 0.3) == 10_000
+    assert splitting.number_of_test_rows(5, 0.1) == 1 and splitting.number_of_test_rows(200_000, 0.3) == 60_000
+    assert splitting.number_of_test_rows(200_000, 0.3, 500) == 500 and splitting.number_of_test_rows(4, 0.3, 500) == 3
 
 
 def test_hash_split_does_not_depend_on_partitioning(spark):
@@ -130,10 +127,11 @@ def test_hash_split_does_not_depend_on_partitioning(spark):
 
 
 def test_resampling(spark):
-    assert choose({0: 3}) is Strategy.NONE and choose({0: 5, 1: 5}) is Strategy.NONE
-    assert choose({0: 6, 1: 1}) is Strategy.OVER and choose({0: 50_000, 1: 50}) is Strategy.UNDER
+    for wanted in (Strategy.OVER, Strategy.UNDER):
+        assert choose({0: 3}, wanted) is Strategy.NONE and choose({0: 5, 1: 5}, wanted) is Strategy.NONE
+        assert choose({0: 6, 1: 1}, wanted) is wanted and choose({0: 50_000, 1: 50}, wanted) is wanted
     df = spark.range(700).select("id", F.when(F.col("id") < 60, 1.5).otherwise(0.0).alias("y"))
-    over = resampling.resample(df, "y", LabelType.NUMERICAL, ["id"])
+    over = resampling.resample(df, "y", LabelType.NUMERICAL, ["id"], Strategy.OVER)
     assert {r[0]: r[1] for r in resampling.class_counts(over, "y", LabelType.NUMERICAL).collect()} == {0: 640, 1: 640}
     assert over.filter("y > 0").groupBy("id").count().agg(F.min("count"), F.max("count")).first()[:] == (10, 11)
     under = resampling.resample(df, "y", LabelType.NUMERICAL, ["id"], strategy=Strategy.UNDER)
@@ -150,34 +148,35 @@ def test_encoder(spark):
         Encoder.fit(train, [], ["colour"], limit=2)
     with pytest.raises(ValueError, match="at least one"):
         Encoder.fit(train, [], [])
+    with pytest.raises(ValueError, match="collide"):
+        Encoder.fit(spark.createDataFrame([("A-B",), ("A B",)], "c string"), [], ["c"])
+    with pytest.raises(ValueError, match="collide"):
+        clean_column_names(spark.sql("select 1 as `a b`, 2 as `a-b`"))
 
 
-def test_training_end_to_end(spark, ten, tmp_path):
-    data = prepare_training(ten, IDS, LABELS)
+def test_training_end_to_end(spark, twelve, tmp_path):
+    data = prepare_training(twelve, IDS, LABELS)
     assert list(data.tables) == LABELS.all
-    rows = {r.transaction_id: r for r in data.tables["refund_value"].orderBy("transaction_date").collect()}
-    assert [r.train_test for r in rows.values()] == ["train"] * 9 + ["test"]
-    expected = {
-        "1001": (0.2111818433434819, 0.8545454545454545, 0.3333333333333333, 0.0, 0.9238744248354593, 0.3333333333333333),
-        "1005": (0.0, 0.6417112299465241, 1.0, 0.7520625271385151, 0.9109441435144738, 1.0),
-        "1006": (0.8946028231386659, 0.6171122994652406, 0.0, 0.54363873208858, 0.7957365018347022, 1.0),
-    }
-    names = ["transaction_value", "shipping_value", "item_count", "min_price", "max_price", "event_count_first_visit"]
-    for key, values in expected.items():
-        assert [rows[key][f"num_{n}"] for n in names] == pytest.approx(values)
-    assert set(data.tables["refund_value"].columns) == {*IDS, "refund_value", "train_test", *[f"num_{n}" for n in names]}
+    table = data.tables["refund_value"]
+    rows = table.orderBy("transaction_date").collect()
+    assert [r.train_test for r in rows] == ["train"] * 11 + ["test"]
+    names = following("refund_value")
+    assert names and set(table.columns) == {*IDS, "refund_value", "train_test", *[f"num_{n}" for n in names]}
+    scaled = {n: (values(n) - values(n)[:11].min()) / np.ptp(values(n)[:11]) for n in names}
+    for n in names:
+        assert [r[f"num_{n}"] for r in rows] == pytest.approx(scaled[n].tolist())
 
     data.fitted.save(spark, str(tmp_path / "fitted"))
     loaded = FittedPreprocessing.load(spark, str(tmp_path / "fitted"))
     assert loaded == data.fitted
-    again = {r.transaction_id: r.num_max_price for r in prepare_prediction(ten, loaded)["refund_value"].collect()}
-    assert again["1006"] == pytest.approx(0.7957365018347022)
+    again = prepare_prediction(twelve, loaded)["refund_value"].orderBy("transaction_date").collect()
+    assert [r[f"num_{names[0]}"] for r in again] == pytest.approx(scaled[names[0]].tolist())
 
 
-def test_constant_label_is_refused(spark, ten):
+def test_constant_label_is_refused(spark, twelve):
     with pytest.raises(ValueError, match="single value"):
-        cleaning.drop_constant_columns(ten.withColumn("refund_flag", F.lit(1.0)), IDS, LABELS.all)
-    kept = cleaning.drop_constant_columns(ten.withColumn("transaction_id", F.lit("1")).withColumn("x", F.lit(2.0)), IDS, LABELS.all)
+        cleaning.drop_constant_columns(twelve.withColumn("refund_flag", F.lit(1.0)), IDS, LABELS.all)
+    kept = cleaning.drop_constant_columns(twelve.withColumn("transaction_id", F.lit("1")).withColumn("x", F.lit(2.0)), IDS, LABELS.all)
     assert "transaction_id" in kept.columns and "x" not in kept.columns
 
 
