@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _staged: dict[str, list[str]] = {}
 
 
@@ -82,11 +83,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate once and read it back.
 
     Cuts lineage at a node that several consumers read: the written columns survive the loss of
-    executors, and each consumer prunes them to what it needs.
+    executors, and each consumer prunes them to what it needs. The shuffle files behind it are
+    removed as soon as it is written, since nothing reads them again.
     """
     spark = df.sparkSession
     path = stage_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
+    earlier = spark.conf.get(CLEANUP_CONF, None)
+    spark.conf.set(CLEANUP_CONF, "true")
+    try:
+        df.write.mode("errorifexists").parquet(path)
+    finally:
+        if earlier is None:
+            spark.conf.unset(CLEANUP_CONF)
+        else:
+            spark.conf.set(CLEANUP_CONF, earlier)
     _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
