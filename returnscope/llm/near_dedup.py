@@ -13,6 +13,8 @@
    pairs across components are compared; inside a component no further link matters.
 4. Connected components over the confirmed links.
 
+What later steps don't read is deleted from the shared folder as soon as its readers are written.
+
 Thus every pair that shares a band bucket is compared, connected otherwise, or proven dissimilar:
 nothing is capped. With ``bands`` of ``rows`` bins, a pair of similarity s shares no bucket with
 probability (1 - s**rows)**bands: 5e-8 for 0.8 with the defaults.
@@ -33,7 +35,7 @@ from pyspark.sql.window import Window
 
 from returnscope.llm import shingles
 from returnscope.llm.components import components
-from returnscope.sources.tables import stage
+from returnscope.sources.tables import release_staged, stage, staged_paths
 
 SIGNATURE = "id long, size long, key1 long, key2 long, bands array<long>"
 
@@ -82,20 +84,30 @@ def near_groups(
     percent: int = 80, bands: int = 32, rows: int = 4,
 ) -> DataFrame:
     """``id, size, component`` for every row: size of its shingle set, smallest id reachable by links."""
+    spark = docs.sparkSession
+    earlier = set(staged_paths(spark))
+
+    def release(*keep: str) -> None:
+        """Delete what has been staged here, other than tables of the given names."""
+        release_staged(spark, [p for p in staged_paths(spark) if p not in earlier and p.rsplit("/", 1)[1].rsplit("-", 1)[0] not in keep])
+
     source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     signed = stage(source.mapInArrow(_signer(kind, k, bands, rows), SIGNATURE), "signatures")
     usable = signed.filter((F.col("size") > 0) & F.col("id").isNotNull())
     classes = usable.groupBy("key1", "key2", "size").agg(F.min("id").alias("rep"))
     member = usable.select("id", "key1", "key2", "size").join(classes, ["key1", "key2", "size"]).select("id", "rep", "size")
     member = stage(member.distinct(), "members")
+    sizes = stage(signed.select("id", "size"), "sizes")
 
     banded = usable.join(member.filter("id = rep").select("id"), "id", "left_semi")
     entries = banded.select("id", F.explode("bands").alias("bucket"))
-    sizes = entries.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    met = stage(entries.join(sizes, "bucket").distinct(), "met")
+    filled = entries.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    met = stage(entries.join(filled, "bucket").distinct(), "met")
+    release("members", "sizes", "met")
     degree = met.groupBy("id").agg(F.sum("n").alias("degree"))
     shared = met.join(degree, "id").select("bucket", "id", "degree")
     shared = stage(shared, "buckets")
+    release("members", "sizes", "buckets")
     hubs = shared.groupBy("bucket").agg(F.max_by("id", _rank()).alias("hub"))
     stars = shared.join(hubs, "bucket").filter("id != hub").select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b"))
     compared = stage(stars.distinct(), "stars")
@@ -103,14 +115,19 @@ def near_groups(
     ends = compared.select(F.col("a").alias("id")).unionByName(compared.select(F.col("b").alias("id"))).distinct()
     texts = source.join(ends, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
     texts = stage(texts, "candidate_texts")
-    links = stage(_confirmed(compared, texts, kind, k, percent), "links")
+    links = stage(_confirmed(compared, texts, kind, k, percent), "confirmed")
     found = stage(components(links, "a", "b"), "components")
+    kept = ("members", "sizes", "candidate_texts", "confirmed", "components")
+    release(*kept, "buckets", "stars")
     pairs = _missed(shared.select("bucket", "id"), found, compared, texts, kind, k, percent)
+    release(*kept, "pairs_across")
     if pairs is not None:
-        links = links.unionByName(stage(_confirmed(pairs, texts, kind, k, percent), "links"))
-        found = stage(components(links, "a", "b"), "components")
+        links = links.unionByName(stage(_confirmed(pairs, texts, kind, k, percent), "confirmed"))
+        release("members", "sizes", "confirmed")
+        found = stage(components(links, "a", "b"), "all_components")
+    release("members", "sizes", "components" if pairs is None else "all_components")
     grouped = member.join(found, member["rep"] == found["node"], "left").select("id", F.coalesce("component", "rep").alias("component"))
-    return signed.select("id", "size").join(grouped.distinct(), "id", "left").select("id", "size", F.coalesce("component", "id").alias("component"))
+    return sizes.join(grouped.distinct(), "id", "left").select("id", "size", F.coalesce("component", "id").alias("component"))
 
 
 def _rank():
@@ -189,15 +206,15 @@ def _missed(
         return stage(direct.join(compared, ["a", "b"], "left_anti"), "pairs_across")
     open_ids = stage(placed.join(mixed.select("bucket"), "bucket", "left_semi").select("id", "component").distinct(), "open_classes")
     sets = texts.join(open_ids.select("id"), "id", "left_semi").select("id", "text").mapInArrow(_sets(kind, k), "id long, own array<long>, parity array<long>")
-    sets = stage(sets, "open_sets")
+    sets = stage(sets.withColumn("n", F.size("own").cast("long")), "open_sets")
     tokens = sets.select("id", F.explode("own").alias("token"))
     common = tokens.groupBy("token").agg(F.count("*").alias("df"))
-    ordered = tokens.join(common, "token")
-    place = Window.partitionBy("id").orderBy("df", "token")
+    # A shingle of one class comes first in that order and meets nothing, so the rest is ranked behind it.
+    ordered = tokens.join(common.filter("df > 1"), "token")
     whole = Window.partitionBy("id")
-    ranked = ordered.withColumn("r", F.row_number().over(place)).withColumn("n", F.count("*").over(whole))
-    ranked = ranked.withColumn("s", F.sum((F.col("df") > 1).cast("long")).over(whole))
-    prefix = ranked.filter(F.col("r") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).filter("df > 1")
+    ranked = ordered.withColumn("r", F.row_number().over(whole.orderBy("df", "token"))).withColumn("s", F.count("*").over(whole))
+    behind = ranked.join(sets.select("id", "n"), "id").withColumn("r", F.col("n") - F.col("s") + F.col("r"))
+    prefix = behind.filter(F.col("r") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
     entries = prefix.join(open_ids, "id").select("token", "id", "component", "n", "s")
     # Of a similar pair's shingles, percent / (100 + percent) are in both sets. So each must share percent
     # of its own with anyone at all, and one of the two twice the former share.
