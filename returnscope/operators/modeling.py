@@ -123,7 +123,7 @@ def train(df: DataFrame, label: str, family: ModelFamily, space: SearchSpace | N
     """Fit on the training rows; the trial with the best validation metric is fitted on all of them."""
     space = space or SearchSpace()
     features = feature_names(df, label)
-    assembler = VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="keep")
+    assembler = VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="error")
     rows = assembler.transform(df.filter(F.col(SPLIT_COLUMN) == Split.TRAIN.value)).select(
         FEATURES, F.col(label).cast("double").alias(label)
     )
