@@ -1,12 +1,14 @@
 """Main text of web pages by consensus paths of a host.
 
 1. Each page is read into blocks of text, each with the path of its containers: tags with their
-   classes, numbers in them generalised. Containers are scored by the text of the blocks in them, less
-   the text in links; a container whose tag or name marks it as something else (menu, header, footer,
-   advert, form, comments, ...) scores nothing. Each page proposes its best container.
+   classes, numbers in them generalised. Containers are scored by their prose, the text of the blocks
+   in them less the text in links; a container whose tag or name marks it as something else (menu,
+   header, footer, advert, form, comments, ...) scores nothing. Each page proposes the innermost
+   container with nine tenths of its prose.
 2. Pages vote in Spark: a host's winning path is the one that most of its pages propose.
-3. Pages are read again with their host's winning path. A page that has no such container, or one
-   that holds less than half of what the page's own best has, uses its own best.
+3. Pages are read again with their host's winning path. A page on which containers with that path miss
+   any prose uses its own innermost container that holds all of it. So no score, vote or threshold
+   drops prose: what is left out is marked as something else, or is links outside the container.
 
 Votes are counted on the map side and are one row per host and path; a hot host's pages meet their
 one winning path by a salted join.
@@ -54,19 +56,21 @@ APART_NAMES = re.compile(
 )
 CONTAINERS = {"article", "main", "section", "div", "body", "td", "html"}
 SPACE = re.compile(r"\s+")
+WORD = re.compile(r"\w")
+LINKS = re.compile(r"(?:^|[\s\"'/])href\s*=", re.I)
 DIGITS = re.compile(r"\d+")
 
 
 @dataclass
 class Node:
-    """A container; ``text`` and ``linked`` count the characters below it that may be main text."""
+    """A container; ``text`` and ``prose`` count the characters below it that may be main text, with and without links."""
 
     path: str
     tag: str
     apart: bool
     parent: Node | None
     text: int = 0
-    linked: int = 0
+    prose: int = 0
 
 
 @dataclass
@@ -90,25 +94,32 @@ def _names(attributes: str) -> tuple[str, bool]:
 def parse(source: str | None) -> Page:
     page, root = Page(), Node("", "html", False, None)
     page.nodes.append(root)
-    stack, parts, links, linked = [("html", root)], [], 0, 0
+    stack, parts, free = [("html", root)], [], []  # parts of the open block; those outside links
+    link = 0  # size of the stack where the open link began
 
     def flush() -> None:
-        nonlocal linked
         text = SPACE.sub(" ", html.unescape("".join(parts))).strip()
-        parts.clear()
         if text:
             node = stack[-1][1]
             page.blocks.append((node, text))
             if not node.apart:
+                prose = len(text)
+                if len(free) < len(parts):
+                    rest = SPACE.sub(" ", html.unescape("".join(free))).strip()
+                    prose = len(rest) if WORD.search(rest) else 0  # what only parts links is no prose
                 above = node
                 while above is not None:
                     above.text += len(text)
-                    above.linked += min(linked, len(text))
+                    above.prose += prose
                     above = above.parent
-        linked = 0
+        parts.clear()
+        free.clear()
 
     def close(index: int) -> None:
+        nonlocal link
         del stack[index:]
+        if len(stack) < link:
+            link = 0
 
     at, raw, source = 0, None, source or ""
     for m in TOKEN.finditer(source):
@@ -118,8 +129,8 @@ def parse(source: str | None) -> Page:
         if start > at and raw is None:
             piece = source[at:start]
             parts.append(piece)
-            if links:
-                linked += len(piece.strip())
+            if not link:
+                free.append(piece)
         at = m.end()
         tag = m[2]
         if tag is None:
@@ -130,7 +141,7 @@ def parse(source: str | None) -> Page:
                 raw = None
             continue
         if tag == "a":
-            links = max(0, links - 1) if ending else links + 1
+            link = len(stack) if not ending and LINKS.search(m[3]) else 0
         if not ending and tag in RAW and tag != "head":
             if tag not in INLINE:
                 flush()
@@ -170,6 +181,8 @@ def parse(source: str | None) -> Page:
         rest = source[at:]
         cut = re.search(r"<(?:[a-zA-Z/!?])[^>]*\Z", rest)  # a tag that the page's end cuts off
         parts.append(rest[: cut.start()] if cut else rest)
+        if not link:
+            free.append(parts[-1])
     flush()
     return page
 
@@ -182,19 +195,15 @@ def _is_apart(tag: str, names: str, above: Node) -> bool:
     return tag in APART or bool(names and APART_NAMES.search(names.replace(".", " ")))
 
 
-def best_container(page: Page) -> Node | None:
-    """The container whose unlinked text is the most; an inner one when it has nearly all of it."""
+def best_container(page: Page, share: float = 0.9) -> Node | None:
+    """The innermost container with ``share`` of the page's prose; the page where nothing but links has text."""
     root = page.nodes[0]
     if not root.text:
         return None
-    best, worth = root, root.text - root.linked
+    best = root
     for node in page.nodes[1:]:
-        if node.apart or node.tag not in CONTAINERS:
-            continue
-        own = node.text - node.linked
-        marked = node.tag in ("article", "main")
-        if own > 0 and (own >= 0.9 * worth or (marked and own >= 0.3 * (root.text - root.linked))):
-            best, worth = node, own
+        if not node.apart and node.tag in CONTAINERS and node.prose > 0 and node.prose >= share * root.prose:
+            best = node
     return best
 
 
@@ -207,14 +216,14 @@ def _inside(node: Node | None, roots: set[int]) -> bool:
 
 
 def extract(source: str | None, path: str | None) -> str:
-    """Blocks, in page order, of all containers with ``path``; of the page's best if they hold too little."""
+    """Blocks, in page order, of all containers with ``path``; of the page's own if those miss any prose."""
     page = parse(source)
-    best = best_container(page)
-    if best is None:
+    own = best_container(page, 1.0)
+    if own is None:
         return ""
     chosen = [n for n in page.nodes if n.path == path and not n.apart]
-    if sum(n.text - n.linked for n in chosen) * 2 < best.text - best.linked or not chosen:
-        chosen = [n for n in page.nodes if n.path == best.path and not n.apart]
+    if not chosen or sum(n.prose for n in chosen) < own.prose:
+        chosen = [n for n in page.nodes if n.path == own.path and not n.apart]
     roots = {id(n) for n in chosen}
     return "\n".join(text for node, text in page.blocks if not node.apart and _inside(node, roots))
 

@@ -310,6 +310,33 @@ def test_a_host_agrees_on_a_path(spark):
     assert [tuple(r) for r in html_text.winning_paths(pages).collect()] == [("h.org", "/body/div.story")]
 
 
+def extracted(spark, *sources, host="h.org"):
+    rows = [(i, f"http://{host}/{i}", x) for i, x in enumerate(sources)]
+    found = html_text.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    return [r["text"].split("\n") for r in found.orderBy("id").collect()]
+
+
+def test_main_text_keeps_all_prose(spark):
+    long, lead, half = "long text " * 300, "lead with words", "half a page " * 40
+    pages = [
+        f"<div class=page><h1>Title</h1><p>{lead}</p><div class=content><p>{long}</p></div></div>",
+        f"<div class=page><h1>Title</h1><p>{lead}</p><div class=content><p>short</p></div></div>",
+        f"<article class=a><p>{half}</p></article><article class=b><p>{half}</p></article>",
+        f"<main><p>{half}</p></main><article><p>{half}</p></article>",
+        # Links outside stay out; an anchor isn't a link, and an open link ends with its paragraph.
+        "<div><a href=/>Home</a> | <a href=/b>B</a></div><div class=x><p><a name=top>One<p><a href=/c>Two<p>Three &amp; <a href=/d>&amp;&amp;&amp;&amp;</a></div>",
+        "<p><a href=/>only</a><p><a href=/>links</a>",
+    ]
+    long, half = long.strip(), half.strip()
+    want = [["Title", lead, long], ["Title", lead, "short"], [half, half], [half, half], ["One", "Two", "Three & &&&&"], ["only", "links"]]
+    for page, text in zip(pages, want, strict=True):
+        assert html_text.extract(page, None).split("\n") == text
+        assert html_text.extract(page, "/div.content").split("\n") == text
+    # A winner that holds most of a page's prose, but not all of it, isn't taken.
+    usual = "<body><div class=story><p>{}</p></div><div class=extra><p>{}</p></div></body>"
+    assert extracted(spark, *[usual.format(long, "")] * 3, usual.format(half, lead)) == [[long]] * 3 + [[half, lead]]
+
+
 def test_histogram_answers_limits_and_quantiles(spark):
     texts = [None, "", "a", "a b c", "a b c", "hello world " * 700]
     lengths = token_counts.encoded_lengths(documents(spark, texts))
