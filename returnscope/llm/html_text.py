@@ -13,6 +13,11 @@
 Votes are counted on the map side and are one row per host and path; a hot host's pages meet their
 one winning path by a salted join.
 
+Names set only containers apart, not headings, paragraphs or spans. Words that can also name a part of an
+article (share, legal, discussion, ...) do so only as a whole name, and in ids, which may be anchors, only
+for containers that are mostly links. Captions and formulas are text; the source of a formula, which
+browsers don't show, is not.
+
 Cases: null, empty and text-free html give an empty text; a null url has the empty host. Broken
 markup is read as far as it makes sense: open tags end with the page, stray ends are dropped. Ties go
 to the outer container on a page and to the smaller path of a host. Repeated rows each get a row.
@@ -24,6 +29,7 @@ import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,12 +41,14 @@ from returnscope.llm.url_filter import host_of
 from returnscope.sources.tables import stage
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
-RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "select", "title", "head"}
+ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "annotation", "annotation-xml", "object", "select", "title", "head"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr", "param"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q",
     "ruby", "rt", "rp", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "img", "wbr",
+    "math", "semantics", "annotation", "annotation-xml", "mi", "mn", "mo", "ms", "mtext", "mspace", "mrow", "mfrac", "msqrt", "mroot", "mstyle", "merror", "mpadded", "mphantom",
+    "mfenced", "menclose", "msub", "msup", "msubsup", "munder", "mover", "munderover", "mmultiscripts", "mprescripts", "none", "mtable", "mtr", "mlabeledtr", "mtd", "maction",
 }
 # An open one ends where one of these begins.
 CLOSED_BY = {
@@ -48,12 +56,23 @@ CLOSED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"},
 }
 BOUNDARY = {"div", "article", "section", "main", "body", "table", "ul", "ol", "dl", "td", "aside", "nav", "form", "header", "footer", "blockquote"}
-APART = {"nav", "header", "footer", "aside", "form", "button", "menu", "dialog", "fieldset", "figcaption"} | RAW
-APART_NAMES = re.compile(
-    r"(?:^|[-_\s])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menus?|sidebar|side-?bar|rail|header|masthead|footer|foot|breadcrumbs?|"
-    r"cookies?|consent|notices?|notification|alert|popup|modal|overlay|newsletter|subscri\w+|signup|login|share|sharing|social|related|recommend\w*|"
-    r"comments?|replies|reply|respond|discussion|disqus|widget|toolbar|pagination|pager|tags|legal|copyright|hidden|sr-only|skip\w*)(?:$|[-_\s])", re.I
+APART = {"nav", "header", "footer", "aside", "form", "button", "menu", "dialog", "fieldset"} | RAW
+# Only these are set apart by name. A name is parted at - and _.
+NAMED = {"div", "section", "table", "td", "ul", "ol", "dl"}
+# Set apart by any part of a class or role,
+CLEAR = re.compile(
+    r"ads?|advert|advertis\w+|nav|navbar|navigation|sidebar|masthead|footer|breadcrumbs?|cookies?|popup|newsletter|disqus|toolbar|pagination|pager|contentinfo|complementary"
+)
+# by a class or role, or an id of two such parts, that has no parts but these, those above and those below,
+VAGUE = re.compile(
+    r"sponsor\w*|promo\w*|banner|menus?|side|rail|header|foot|consent|notices?|notification|alert|modal|overlay|subscri\w+|signup|login|share|sharing|social|"
+    r"related|recommend\w*|comments?|replies|reply|respond|discussion|widget|tags|legal|copyright|hidden|sr|skip\w*"
 )
+FILLERS = set("area bar block box btn bottom buttons container content form group holder icons inner item items left link links list main outer page panel posts right row section site slot top unit wrap wrapper only".split())
+# by these as a whole id,
+IDS = {"nav", "navbar", "navigation", "sidebar", "masthead", "footer", "header", "menu", "breadcrumb", "breadcrumbs", "comments", "ads", "ad", "disqus_thread", "pagination", "toolbar", "newsletter"}
+# and by any other name with such a part where at least this share of the text is links.
+LINK_SHARE = 0.5
 CONTAINERS = {"article", "main", "section", "div", "body", "td", "html"}
 SPACE = re.compile(r"\s+")
 WORD = re.compile(r"\w")
@@ -69,6 +88,7 @@ class Node:
     tag: str
     apart: bool
     parent: Node | None
+    suspect: bool = False
     text: int = 0
     prose: int = 0
 
@@ -79,16 +99,39 @@ class Page:
     nodes: list[Node] = field(default_factory=list)
 
 
-def _names(attributes: str) -> tuple[str, bool]:
-    """Class, id and role as one generalised name; whether it is hidden."""
-    names, hidden = [], False
+def _names(attributes: str) -> tuple[str, list[str], list[str], bool]:
+    """Class, id and role as one generalised name; classes and roles; ids; whether it is hidden."""
+    classes, ids, hidden = [], [], False
     for key, a, b, c in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), a or b or c
-        if key in ("class", "id", "role"):
-            names += value.split()
+        if key in ("class", "role"):
+            classes += value.lower().split()
+        elif key == "id":
+            ids += value.lower().split()
         elif key == "hidden" or (key == "style" and "display:none" in value.replace(" ", "").lower()) or (key == "aria-hidden" and value.lower() == "true"):
             hidden = True
-    return ".".join(sorted({DIGITS.sub("#", n.lower()) for n in names})), hidden
+    return ".".join(sorted({DIGITS.sub("#", n) for n in classes + ids})), classes, ids, hidden
+
+
+@lru_cache(100_000)
+def _marks(name: str) -> tuple[int, int, bool]:
+    """Clear parts, clear and vague parts, and whether there are fillers at most besides."""
+    parts = [x for x in re.split(r"[-_\d]+", name) if x]
+    clear = sum(CLEAR.fullmatch(x) is not None for x in parts)
+    known = clear + sum(VAGUE.fullmatch(x) is not None for x in parts)
+    fillers = sum(x in FILLERS and not (CLEAR.fullmatch(x) or VAGUE.fullmatch(x)) for x in parts)
+    return clear, known, known > 0 and known + fillers == len(parts)
+
+
+def _marked(tag: str, classes: list[str], ids: list[str]) -> tuple[bool, bool]:
+    """Whether names set a container apart, and whether they would if it held mostly links."""
+    if tag not in NAMED or not (classes or ids):
+        return False, False
+    found = [_marks(n) for n in classes]
+    anchors = [_marks(n) for n in ids]
+    apart = any(clear or whole for clear, _, whole in found) or any(n in IDS for n in ids if tag != "section" or n == "comments")
+    apart = apart or any(known > 1 and whole for _, known, whole in anchors)
+    return apart, any(known for _, known, _ in found + anchors)
 
 
 def parse(source: str | None) -> Page:
@@ -97,6 +140,12 @@ def parse(source: str | None) -> Page:
     stack, parts, free = [("html", root)], [], []  # parts of the open block; those outside links
     link = 0  # size of the stack where the open link began
 
+    def count(node: Node | None, text: int, prose: int) -> None:
+        while node is not None:
+            node.text += text
+            node.prose += prose
+            node = node.parent
+
     def flush() -> None:
         text = SPACE.sub(" ", html.unescape("".join(parts))).strip()
         if text:
@@ -107,11 +156,7 @@ def parse(source: str | None) -> Page:
                 if len(free) < len(parts):
                     rest = SPACE.sub(" ", html.unescape("".join(free))).strip()
                     prose = len(rest) if WORD.search(rest) else 0  # what only parts links is no prose
-                above = node
-                while above is not None:
-                    above.text += len(text)
-                    above.prose += prose
-                    above = above.parent
+                count(node, len(text), prose)
         parts.clear()
         free.clear()
 
@@ -152,8 +197,8 @@ def parse(source: str | None) -> Page:
             continue
         if tag in INLINE and tag != "span":
             continue
-        names, hidden = ("", False) if ending or not m[3] else _names(m[3])
-        if tag == "span" and not (names and APART_NAMES.search(names.replace(".", " "))) and not hidden and not any(t == "span" for t, _ in stack):
+        names, classes, ids, hidden = ("", [], [], False) if ending or not m[3] else _names(m[3])
+        if tag == "span" and not hidden and not any(t == "span" for t, _ in stack):
             continue
         flush()
         if tag in VOID:
@@ -173,8 +218,9 @@ def parse(source: str | None) -> Page:
             if stack[i][0] in BOUNDARY:
                 break
         above = stack[-1][1]
-        apart = above.apart or hidden or _is_apart(tag, names, above)
-        node = Node(f"{above.path}/{tag}.{names}" if names else f"{above.path}/{tag}", tag, apart, above)
+        named, suspect = _marked(tag, classes, ids)
+        apart = above.apart or hidden or named or _is_apart(tag, above)
+        node = Node(f"{above.path}/{tag}.{names}" if names else f"{above.path}/{tag}", tag, apart, above, suspect and not apart)
         page.nodes.append(node)
         stack.append((tag, node))
     if raw is None and at < len(source):
@@ -184,15 +230,19 @@ def parse(source: str | None) -> Page:
         if not link:
             free.append(parts[-1])
     flush()
+    for node in page.nodes:
+        if node.parent is not None and node.parent.apart:
+            node.apart = True
+        elif node.suspect and node.text and node.text - node.prose >= LINK_SHARE * node.text:
+            node.apart = True
+            count(node.parent, -node.text, -node.prose)
     return page
 
 
-def _is_apart(tag: str, names: str, above: Node) -> bool:
+def _is_apart(tag: str, above: Node) -> bool:
     if tag == "header" and (above.tag in ("article", "main", "section")):
         return False  # an article's own heading
-    if tag in ("html", "body", "article", "main"):
-        return False
-    return tag in APART or bool(names and APART_NAMES.search(names.replace(".", " ")))
+    return tag in APART
 
 
 def best_container(page: Page, share: float = 0.9) -> Node | None:

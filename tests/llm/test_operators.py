@@ -337,6 +337,39 @@ def test_main_text_keeps_all_prose(spark):
     assert extracted(spark, *[usual.format(long, "")] * 3, usual.format(half, lead)) == [[long]] * 3 + [[half, lead]]
 
 
+@pytest.mark.parametrize(
+    "kept",
+    [
+        *[f'<h2 id="{x}">Word</h2>' for x in ("social-security", "notice-period", "legal-framework", "market-share", "share", "nav")],
+        *[f'<section id="{x}"><h2>Word</h2><p>Text</p></section>' for x in ("discussion", "related-work", "legal", "navigation", "cookies")],
+        *[f'<div class="{x}"><p>Word</p></div>' for x in ("social-security", "market-share", "post-header", "hidden-gem", "notice-period")],
+        '<p class="notice">Word</p>', '<div data-id="comments" title="a hidden share">Word</div>', '<span class="share">Word</span>',
+        "<figure><img src=x><figcaption>Word</figcaption></figure>",
+    ],
+)
+def test_names_of_parts_of_the_text_are_kept(kept):
+    text = re.sub("<.*?>", "\n", kept).split()
+    assert html_text.extract(f"<article><p>One</p>{kept}<p>Two</p></article>", None).split("\n") == ["One", *text, "Two"]
+
+
+@pytest.mark.parametrize(
+    "gone",
+    [
+        *[f'<div class="{x}">Word</div>' for x in ("ad", "ad-slot-3", "cookie-notice", "share", "social-share", "related-posts", "comment-list", "site-header", "main-nav")],
+        *[f'<div id="{x}">Word</div>' for x in ("comments", "footer", "cookie-notice", "share-links-social")],
+        '<section id="comments">Word</section>', '<ul class="menu"><li>Word</ul>', '<div role="navigation">Word</div>', "<div hidden>Word</div>",
+        '<div class="post-share"><a href=/>Word</a></div>', '<section id="related"><ul><li><a href=/>Word</a><li><a href=/>Word</a></ul></section>',
+    ],
+)
+def test_names_of_other_parts_are_left_out(gone):
+    assert html_text.extract(f"<article><p>One</p>{gone}<p>Two</p></article>", None) == "One\nTwo"
+
+
+def test_formulas_are_text():
+    formula = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation>x{=}1</annotation></semantics></math>"
+    assert html_text.extract(f"<p>So {formula} holds.</p>", None) == "So x=1 holds."
+
+
 def test_histogram_answers_limits_and_quantiles(spark):
     texts = [None, "", "a", "a b c", "a b c", "hello world " * 700]
     lengths = token_counts.encoded_lengths(documents(spark, texts))
