@@ -19,7 +19,9 @@ for containers that are mostly links. Captions and formulas are text; the source
 browsers don't show, is not.
 
 Cases: null, empty and text-free html give an empty text; a null url has the empty host. Broken
-markup is read as far as it makes sense: open tags end with the page, stray ends are dropped. Ties go
+markup is read as far as it makes sense: open tags end with the page, stray ends are dropped; a head
+ends where text or a tag begins that it can't hold, and an unclosed select, svg, object, noscript,
+iframe and the like at the next tag of a block. An unclosed script or style takes the rest. Ties go
 to the outer container on a page and to the smaller path of a host. Repeated rows each get a row.
 """
 
@@ -42,7 +44,12 @@ from returnscope.sources.tables import stage
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "annotation", "annotation-xml", "object", "select", "title", "head"}
+RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "annotation", "annotation-xml", "object", "select", "title"}
+NESTED = {"svg", "object", "template"}  # raw elements that may hold one of their kind
+IN_HEAD = {"html", "head", "title", "meta", "link", "base", "script", "style", "noscript", "template"}
+BLOCK = re.compile(
+    r"</?(?:body|html|head|main|article|section|aside|nav|header|footer|div|p|h[1-6]|ul|ol|li|dl|dt|dd|table|tr|td|th|form|fieldset|blockquote|pre|figure|figcaption|hr|address)(?=[\s/>])", re.I
+)
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr", "param"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q",
@@ -56,7 +63,7 @@ CLOSED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"},
 }
 BOUNDARY = {"div", "article", "section", "main", "body", "table", "ul", "ol", "dl", "td", "aside", "nav", "form", "header", "footer", "blockquote"}
-APART = {"nav", "header", "footer", "aside", "form", "button", "menu", "dialog", "fieldset"} | RAW
+APART = {"nav", "header", "footer", "aside", "form", "button", "menu", "dialog", "fieldset", "head"} | RAW
 # Only these are set apart by name. A name is parted at - and _.
 NAMED = {"div", "section", "table", "td", "ul", "ol", "dl"}
 # Set apart by any part of a class or role,
@@ -134,6 +141,29 @@ def _marked(tag: str, classes: list[str], ids: list[str]) -> tuple[bool, bool]:
     return apart, any(known for _, known, _ in found + anchors)
 
 
+@lru_cache(100)
+def _tags_of(tag: str) -> re.Pattern:
+    return re.compile(rf"<(/?){tag}(?=[\s/>])[^>]*?(/?)>", re.I)
+
+
+def _raw_end(source: str, at: int, tag: str) -> int:
+    """Where a raw element whose start tag ends at ``at`` ends: after its end tag, or unclosed, at the next block."""
+    depth = 1
+    for m in _tags_of(tag).finditer(source, at):
+        if m[1]:
+            depth -= 1
+            if not depth:
+                return m.end()
+        elif tag in ("script", "style"):
+            continue
+        elif tag not in NESTED:
+            break
+        elif not m[2]:
+            depth += 1
+    block = None if tag in ("script", "style") else BLOCK.search(source, at)
+    return block.start() if block else len(source)
+
+
 def parse(source: str | None) -> Page:
     page, root = Page(), Node("", "html", False, None)
     page.nodes.append(root)
@@ -166,13 +196,18 @@ def parse(source: str | None) -> Page:
         if len(stack) < link:
             link = 0
 
-    at, raw, source = 0, None, source or ""
-    for m in TOKEN.finditer(source):
+    def leave_head() -> None:
+        if any(t == "head" for t, _ in stack):
+            flush()
+            close(next(i for i, (t, _) in enumerate(stack) if t == "head"))
+
+    at, source = 0, source or ""
+    while m := TOKEN.search(source, at):
         start = m.start()
-        if start < at:
-            continue
-        if start > at and raw is None:
+        if start > at:
             piece = source[at:start]
+            if stack[-1][0] == "head" and not piece.isspace():
+                leave_head()
             parts.append(piece)
             if not link:
                 free.append(piece)
@@ -181,19 +216,15 @@ def parse(source: str | None) -> Page:
         if tag is None:
             continue
         tag, ending = tag.lower(), bool(m[1])
-        if raw is not None:
-            if tag == raw and ending:
-                raw = None
-            continue
+        if not ending and tag not in IN_HEAD:
+            leave_head()
         if tag == "a":
             link = len(stack) if not ending and LINKS.search(m[3]) else 0
-        if not ending and tag in RAW and tag != "head":
+        if not ending and tag in RAW:
             if tag not in INLINE:
                 flush()
-            raw = None if m[3].rstrip().endswith("/") else tag
-            if raw in ("script", "style"):
-                end = re.compile(rf"</{raw}\s*>", re.I).search(source, at)
-                at, raw = (end.end() if end else len(source)), None
+            if not m[3].rstrip().endswith("/"):
+                at = _raw_end(source, at, tag)
             continue
         if tag in INLINE and tag != "span":
             continue
@@ -223,8 +254,10 @@ def parse(source: str | None) -> Page:
         node = Node(f"{above.path}/{tag}.{names}" if names else f"{above.path}/{tag}", tag, apart, above, suspect and not apart)
         page.nodes.append(node)
         stack.append((tag, node))
-    if raw is None and at < len(source):
+    if at < len(source):
         rest = source[at:]
+        if stack[-1][0] == "head" and not rest.isspace():
+            leave_head()
         cut = re.search(r"<(?:[a-zA-Z/!?])[^>]*\Z", rest)  # a tag that the page's end cuts off
         parts.append(rest[: cut.start()] if cut else rest)
         if not link:

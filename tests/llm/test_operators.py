@@ -370,6 +370,20 @@ def test_formulas_are_text():
     assert html_text.extract(f"<p>So {formula} holds.</p>", None) == "So x=1 holds."
 
 
+@pytest.mark.parametrize(
+    "source",
+    [
+        "<html><head><title>T</title><body><p>One</p><p>Two</p></body></html>", "<head><meta charset=utf-8><link rel=x><p>One<p>Two", "<html><head><title>T</title><b>One</b><p>Two",
+        "<head><title>T</title>\nOne<p>Two", "<html><head><title>T<body><p>One</p><p>Two</p>", "<head><noscript><img src=x><body><p>One<p>Two",
+        *[f"<body><p>One</p><{x}><p>Two</p></body>" for x in ("select", "svg viewBox='0 0 1 1'", "object data=x", "noscript", "iframe src=x", "textarea", "template")],
+        *[f"<body><p>One</p><{x}><p>Two</p><div><{x}>not this</{x}></div></body>" for x in ("select", "svg", "object", "noscript", "iframe")],
+        "<p>One<svg><path/><svg/><g></g></svg> <script>if (i<n && s=='\"') t='<p'</script><p title='\"'>Two", "<p>One<p>Two<script>var t='<p>not this'", "<p>One<noscript><p>not this</p></noscript><p>Two",
+    ],
+)
+def test_unclosed_elements_end(source):
+    assert html_text.extract(source, None) == "One\nTwo"
+
+
 def test_histogram_answers_limits_and_quantiles(spark):
     texts = [None, "", "a", "a b c", "a b c", "hello world " * 700]
     lengths = token_counts.encoded_lengths(documents(spark, texts))
