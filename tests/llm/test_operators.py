@@ -286,6 +286,30 @@ def test_urls_follow_rules_and_aliases(spark):
     ]
 
 
+def test_aliases_are_resolved_against_the_page(spark):
+    link, refresh = '<LINK href="{}" rel="canonical">', '<meta http-equiv="refresh" content="{}">'
+    url = "http://H.io/a/b/c.html?q=1#f"
+    cases = [
+        (url, link.format("page2.html"), "http://h.io/a/b/page2.html"), (url, link.format("../x"), "http://h.io/a/x"), (url, link.format("?id=1"), "http://h.io/a/b/c.html?id=1"),
+        (url, link.format("./../../../x/./y/.."), "http://h.io/x/"), (url, link.format("/x/../y?z=/../"), "http://h.io/y?z=/../"), (url, link.format("//K.org/x"), "http://k.org/x"),
+        (url, link.format("go?to=http://x.org/"), "http://h.io/a/b/go?to=http://x.org/"), (url, link.format("https://x.org/?a=1&amp;b=2"), "https://x.org/?a=1&b=2"),
+        (url, link.format("it's here"), "http://h.io/a/b/it's%20here"), (url, link.format("https:&#x2F;&#x2F;x.org&#47;a"), "https://x.org/a"), (url, link.format("#top"), None),
+        (url, link.format("mailto:a@b.c"), None), (url, link.format(" "), None), (url, "<link rel=canonical href=d.html>", "http://h.io/a/b/d.html"),
+        (url, refresh.format("0; url=http://x/?a=1&amp;b=2"), "http://x/?a=1&b=2"), (url, refresh.format("5;URL='y.html;v=1'"), "http://h.io/a/b/y.html;v=1"),
+        (url, refresh.format("0; ../z"), "http://h.io/a/z"), (url, refresh.format("5"), None), (url, "<meta content=0;url=y http-equiv=refresh>", "http://h.io/a/b/y"),
+        (url, "<base target=x><base href='/other/'>" + link.format("p"), "http://h.io/other/p"), ("http://h.io", link.format("p"), "http://h.io/p"),
+        ("http://h.io?i=1", link.format("?i=2"), "http://h.io/?i=2"), ("http://h.io?i=1", link.format("/?i=1"), None), (None, link.format("p"), None), ("no scheme", link.format("p"), None),
+    ]
+    pages = spark.createDataFrame([(i, *c[:2]) for i, c in enumerate(cases)], "page_id long, url string, html string")
+    got = {(r["a"], r["b"]) for r in url_filter.alias_links(pages).collect()}
+    nodes = {url: "http://h.io/a/b/c.html?q=1", "http://h.io": "http://h.io/", "http://h.io?i=1": "http://h.io/?i=1"}
+    assert got == {(nodes[page], want) for page, _, want in cases if want is not None}
+    # Decisions reach them.
+    rows = [(0, "http://shop.io/s/1", link.format("../t/2?a=1&amp;b=2")), (1, "http://shop.io/t/2?a=1&b=2", refresh.format("0; url=http://example.com/de/?x=1&amp;y=2")), (2, "http://example.com/de/?x=1&y=2", "")]
+    found = url_filter.verdicts(spark.createDataFrame(rows, "page_id long, url string, html string"), RULES)
+    assert [r["verdict"] for r in found.orderBy("id").collect()] == ["block"] * 3
+
+
 PAGE = (
     "<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body><header><h2>Site</h2></header><nav><ul><li><a href=/>Home</a></ul></nav>"
     '<div class="cookie-notice">We use cookies</div><div class="{}"><h1>Title &amp; more</h1><p>First   <b>bold</b>\nline.<p>Second &eacute;<script>var t="</p>";</script>'
