@@ -213,14 +213,10 @@ def _training(s: SparkSession, d: str, keep=stage):
     return prepare_training(order_profile(s, d), IDS, LABELS, keep=keep)
 
 
-def _small_search(trials: int = 3, rounds: int = 5) -> modeling.SearchSpace:
-    return modeling.SearchSpace(trials=trials, boosting_rounds=rounds)
-
-
-def _fit(label: str, family: ModelFamily, trials: int = 3):
+def _fit(label: str, family: ModelFamily):
     def run(s: SparkSession, d: str) -> tuple[modeling.TrainedModel, DataFrame]:
         rows = _training(s, d).tables[label]
-        return modeling.train(rows, label, family, _small_search(trials)), rows
+        return modeling.train(rows, label, family, modeling.SearchSpace()), rows
 
     return run
 
@@ -244,7 +240,7 @@ def _classifier_metrics(family: ModelFamily):
 def _two_steps(s, d, part):
     tables = _training(s, d).tables
     report = train_two_steps(
-        tables["refund_flag"], tables["refund_value"], "refund_flag", "refund_value", space=_small_search()
+        tables["refund_flag"], tables["refund_value"], "refund_flag", "refund_value", space=modeling.SearchSpace()
     )
     return part(report, tables)
 
@@ -254,7 +250,7 @@ def _predicted(s: SparkSession, d: str) -> DataFrame:
     training = _training(s, d)
     tables = training.tables
     first, second = modeling.train_two_step(
-        tables["refund_flag"], tables["refund_value"], "refund_flag", "refund_value", space=_small_search(2)
+        tables["refund_flag"], tables["refund_value"], "refund_flag", "refund_value", space=modeling.SearchSpace()
     )
     place = stage_path(s, artifact_name(PipelineMode.TRAINING, "orders", "refund_value", "model", second.family))
     training.fitted.save(s, f"{place}/preprocessing")
@@ -445,10 +441,10 @@ def queries() -> dict[str, Query]:
     add("train_logistic", _classifier_metrics(ModelFamily.LOGISTIC_REGRESSION), None)
     add("train_gbt", _regression_scores(ModelFamily.BOOSTED_TREE_REGRESSOR), None)
     add("train_mlp", _classifier_metrics(ModelFamily.NEURAL_CLASSIFIER), None)
-    add("train_one_step", lambda s, d: train_one_step(_training(s, d).tables["refund_value"], "refund_value", space=_small_search()).tiers, None)
+    add("train_one_step", lambda s, d: train_one_step(_training(s, d).tables["refund_value"], "refund_value", space=modeling.SearchSpace()).tiers, None)
     add("train_two_step", lambda s, d: _two_steps(s, d, lambda r, t: r.split_metrics), None)
-    add("score_regression", lambda s, d: (lambda m: modeling.score_regression(m[0].pipeline, m[1], "refund_value"))(_fit("refund_value", ModelFamily.LINEAR_REGRESSION, 1)(s, d)), None)
-    add("score_classifier", lambda s, d: (lambda m: modeling.score_classifier(m[0].pipeline, m[1]))(_fit("refund_flag", ModelFamily.LOGISTIC_REGRESSION, 1)(s, d)), None)
+    add("score_regression", lambda s, d: (lambda m: modeling.score_regression(m[0].pipeline, m[1], "refund_value"))(_fit("refund_value", ModelFamily.LINEAR_REGRESSION)(s, d)), None)
+    add("score_classifier", lambda s, d: (lambda m: modeling.score_classifier(m[0].pipeline, m[1]))(_fit("refund_flag", ModelFamily.LOGISTIC_REGRESSION)(s, d)), None)
     add("best_trial", lambda s, d: modeling.best_trial(_fit("refund_value", ModelFamily.LINEAR_REGRESSION)(s, d)[0].trials), None)
     add("feature_importance", lambda s, d: (lambda m: evaluation.top_features(modeling.feature_importance(m[0], m[1])))(_fit("refund_value", ModelFamily.BOOSTED_TREE_REGRESSOR)(s, d)), None)
     add("predict_two_step", _predicted, None)

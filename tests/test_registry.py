@@ -9,8 +9,11 @@ from pathlib import Path
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from registry import all_queries
+from registry import all_queries, tables
+from returnscope.operators import modeling
+from returnscope.plans import models
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -72,3 +75,25 @@ def test_only_fitted_models_lack_sql():
         "ml_ready_data", "preprocess_predict", "train_linear", "train_logistic", "train_gbt", "train_mlp", "train_one_step",
         "train_two_step", "score_regression", "score_classifier", "best_trial", "feature_importance", "predict_two_step",
     }
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["train_linear", "train_logistic", "train_gbt", "train_mlp", "train_one_step", "train_two_step", "score_regression", "score_classifier", "best_trial", "feature_importance", "predict_two_step"],
+)
+def test_models_are_searched_for_as_by_default(spark, monkeypatch, name):
+    class Asked(Exception):
+        pass
+
+    def train(df, label, family, space=None):
+        raise Asked(space or modeling.SearchSpace())
+
+    class Prepared:
+        tables = {label: spark.range(1).withColumn(label, F.lit(1)) for label in ("refund_flag", "refund_value")}
+
+    monkeypatch.setattr(modeling, "train", train)
+    monkeypatch.setattr(models, "train", train)
+    monkeypatch.setattr(tables, "_training", lambda *_: Prepared)
+    with pytest.raises(Asked) as asked:
+        QUERIES[name].build(spark, DATA)
+    assert asked.value.args == (modeling.SearchSpace(),)
