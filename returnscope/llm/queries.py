@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from returnscope.llm import (
-    decontamination, exact_dedup, html_text, line_dedup, mixing, near_dedup, quality, token_counts, toxicity, url_filter,
+    bpe, decontamination, exact_dedup, hard_negatives, html_text, line_dedup, mixing, near_dedup, quality, token_counts, toxicity,
+    url_filter,
 )
 from returnscope.llm.common import read
 
@@ -89,6 +91,20 @@ def op10_mixing(spark: SparkSession, directory: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "copies", "taken")
 
 
+def op12_hard_negatives(spark: SparkSession, directory: str) -> DataFrame:
+    """The label of every seventh row is wrong by one, as noise for the miner."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read(spark, directory, "embeddings"), "vec_id", "embedding", label, F.col("id") % 100 == 0)
+
+
+def op13_bpe(spark: SparkSession, directory: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    both = bpe.decode(bpe.encode(read(spark, directory, "documents"), vocabulary), vocabulary)
+    return both.select(
+        F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 OP3_SQL = r"""
 WITH dw AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -134,6 +150,25 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict, CAST(NU
 FROM u LEFT JOIN fit USING (page_id)
 """
 
+OP12_SQL = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_line_dedup": op2_line_dedup,
@@ -145,5 +180,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_html_text": op9_html_text,
     "op10_mixing": op10_mixing,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_bpe": op13_bpe,
+}
+SQL: dict[str, str] = {
+    "op3_decontamination": OP3_SQL,
+    "op5_url_filter": OP5_SQL,
+    "op6_exact_dedup": OP6_SQL,
+    "op12_hard_negatives": OP12_SQL,
 }
-SQL: dict[str, str] = {"op3_decontamination": OP3_SQL, "op5_url_filter": OP5_SQL, "op6_exact_dedup": OP6_SQL}
