@@ -23,20 +23,27 @@ import heapq
 import json
 import re
 import unicodedata
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from returnscope.llm.token_counts import PATTERN
 
-MAX_WORDS = 500_000
+MAX_WORDS = 200_000
+# Texts are taken by so many characters at a time, so that few words are held apart at once.
+CHARACTERS = 1 << 21
 ENDS, GONE = -1, -2
+# Beyond any id; a pair of ids is a number in this base.
+SPAN = 1 << 20
+# Positions from which a pair is merged as a vector.
+MANY = 24
 # The vocabulary's pattern, and what it means in a text of ASCII characters.
 WORDS = regex.compile(PATTERN)
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
@@ -70,10 +77,10 @@ class Vocabulary:
             stored = json.load(file)
         letters, ids = byte_letters(), stored["model"]["vocab"]
         self.bytes = {i: bytes(map(letters.__getitem__, token)) for token, i in ids.items()}
-        self.first = [ids[letter] for letter, _ in sorted(letters.items(), key=lambda x: x[1])]
+        self.first = np.array([ids[letter] for letter, _ in sorted(letters.items(), key=lambda x: x[1])], np.int32)
         self.ranks: dict[tuple[int, int], int] = {}
         self.made: list[tuple[int, int, int]] = []
-        known = set(self.first)
+        known = set(self.first.tolist())
         for rank, pair in enumerate(stored["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             left, right, whole = ids[a], ids[b], ids[a + b]
@@ -82,11 +89,15 @@ class Vocabulary:
             known.add(whole)
             self.ranks[left, right] = rank
             self.made.append((left, right, whole))
-        self.added = {t["content"]: t["id"] for t in stored["added_tokens"]}
-        self.bytes |= {i: content.encode() for content, i in self.added.items()}
+        pairs = np.array([a * SPAN + b for a, b in self.ranks], np.int64)
+        self.key_ranks = np.argsort(pairs)
+        self.keys = pairs[self.key_ranks]
+        self.added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in stored["added_tokens"]}
+        self.bytes |= {t["id"]: t["content"].encode() for t in stored["added_tokens"]}
         longest_first = sorted(self.added, key=len, reverse=True)
         self.cuts = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if self.added else None
         self.newer = newer()
+        self.late = re.compile(f"[{chr(min(self.newer))}-{chr(0x10FFFF)}]")
 
     def split(self, text: str) -> list[str]:
         """The words of a text, with added tokens as words of their own."""
@@ -96,61 +107,95 @@ class Vocabulary:
     def _words(self, part: str) -> list[str]:
         if part.isascii():
             return ASCII_WORDS.findall(part)
-        shadow = part.translate(self.newer)
-        if shadow == part:
+        if not self.late.search(part):
             return WORDS.findall(part)
+        shadow = part.translate(self.newer)
         return [part[m.start() : m.end()] for m in WORDS.finditer(shadow)]
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word; ``words`` are distinct, so a position is merged once however often its word occurs."""
-        symbols, starts = [ENDS], []
-        for word in words:
-            starts.append(len(symbols))
-            if word in self.added:
-                symbols.append(self.added[word])
-            else:
-                symbols.extend(map(self.first.__getitem__, word.encode("utf-8", "replace")))
-            symbols.append(ENDS)
-        after = list(range(1, len(symbols) + 1))
-        before = list(range(-1, len(symbols) - 1))
-        rank_of = self.ranks.get
-        index: dict[int, list[int]] = defaultdict(list)
-        for place, rank in enumerate(map(rank_of, zip(symbols, symbols[1:]))):
-            if rank is not None:
-                index[rank].append(place)
-        active = sorted(index)
+    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair, or -1."""
+        keys = left.astype(np.int64) * SPAN + right
+        at = np.searchsorted(self.keys, keys)
+        at[at == len(self.keys)] = 0
+        return np.where(self.keys[at] == keys, self.key_ranks[at], -1)
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word; ``words`` are distinct, so a position is merged once however often its word occurs.
+
+        The arrays are seen by number, for pairs at few positions, and as vectors, for pairs at many.
+        """
+        coded = [w.encode("utf-8", "replace") for w in words]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        stops = np.cumsum(sizes + 1)
+        sym = np.full(int(sizes.sum()) + len(words) + 1, ENDS, np.int32)
+        inner = np.ones(len(sym), bool)
+        inner[0] = False
+        inner[stops] = False
+        sym[inner] = self.first[np.frombuffer(b"".join(coded), np.uint8)]
+        after = np.arange(1, len(sym) + 1)
+        before = np.arange(-1, len(sym) - 1)
+        symbols, next_one, last_one = memoryview(sym), memoryview(after), memoryview(before)
+        index: dict[int, list[int]] = {}
+        active: list[int] = []
+
+        def note(starts: np.ndarray) -> None:
+            """Enter the pairs that begin at ``starts``."""
+            ranks = self.rank_of(sym[starts], sym[after[starts]])
+            found = np.flatnonzero(ranks >= 0)
+            found = found[np.argsort(ranks[found], kind="stable")]
+            cuts = np.flatnonzero(np.diff(ranks[found])) + 1
+            for part in np.split(found, cuts) if len(found) else ():
+                rank = int(ranks[part[0]])
+                if rank not in index:
+                    heapq.heappush(active, rank)
+                index.setdefault(rank, []).extend(starts[part].tolist())
+
+        note(np.arange(1, len(sym) - 1))
         while active:
             rank = heapq.heappop(active)
             left, right, whole = self.made[rank]
-            for place in sorted(index.pop(rank)):
-                second = after[place]
-                # An earlier position, or an earlier rank, may have used either symbol.
-                if symbols[place] != left or symbols[second] != right:
-                    continue
-                symbols[place], symbols[second] = whole, GONE
-                after[place] = follower = after[second]
-                before[follower] = place
-                ahead = before[place]
-                for start, pair in ((ahead, (symbols[ahead], whole)), (place, (whole, symbols[follower]))):
-                    rank = rank_of(pair)
-                    if rank is not None:
-                        if rank not in index:
-                            heapq.heappush(active, rank)
-                        index[rank].append(start)
-        out = []
-        for place in starts:
-            ids = []
-            while symbols[place] != ENDS:
-                ids.append(symbols[place])
-                place = after[place]
-            out.append(ids)
-        return out
+            places = index.pop(rank)
+            if len(places) < MANY:
+                for place in sorted(places):
+                    second = next_one[place]
+                    # An earlier position, or an earlier rank, may have used either symbol.
+                    if symbols[place] != left or symbols[second] != right:
+                        continue
+                    follower, ahead = next_one[second], last_one[place]
+                    symbols[place], symbols[second] = whole, GONE
+                    next_one[place], last_one[follower] = follower, place
+                    for start, pair in ((ahead, (symbols[ahead], whole)), (place, (whole, symbols[follower]))):
+                        made = self.ranks.get(pair)
+                        if made is not None:
+                            if made not in index:
+                                heapq.heappush(active, made)
+                                index[made] = []
+                            index[made].append(start)
+                continue
+            place = np.unique(places)
+            place = place[(sym[place] == left) & (sym[after[place]] == right)]
+            if left == right:
+                # In a run of equal symbols every other position is merged, from the left.
+                first = np.append(True, place[1:] != after[place[:-1]])[: len(place)]
+                run = np.maximum.accumulate(np.where(first, np.arange(len(place)), 0))
+                place = place[(np.arange(len(place)) - run) % 2 == 0]
+            second = after[place]
+            sym[place], sym[second] = whole, GONE
+            after[place] = after[second]
+            before[after[place]] = place
+            note(np.concatenate([before[place], place]))
+        left_over = sym != GONE
+        counts = np.cumsum(left_over & (sym != ENDS))[stops]
+        ids = sym[left_over & (sym != ENDS)].astype("<u4").tobytes()
+        ends = (counts * 4).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
     def encode(self, texts: Iterable[str | None], known: dict[str, bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; ``known`` gains the texts' words."""
+        known.update(self.added)
         split = [self.split(t) if t else [] for t in texts]
-        new = list(dict.fromkeys(w for words in split for w in words if w not in known))
-        known.update((w, np.array(ids, "<u4").tobytes()) for w, ids in zip(new, self.encode_words(new), strict=True))
+        new = [w for w in set().union(*split) if w not in known]
+        known.update(zip(new, self.encode_words(new), strict=True))
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
     def decode(self, ids: bytes) -> str:
@@ -162,32 +207,50 @@ def load(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def encode(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``id``, ``n_tokens`` and ``ids``, the ids of the whole text as little-endian unsigned 32-bit integers."""
+def by_size(texts: pa.Array) -> Iterator[list[str | None]]:
+    """Runs of whole texts, each run ending with the text that fills it."""
+    sizes = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False).cumsum() // CHARACTERS
+    cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), len(texts)]
+    for start, stop in zip(cuts, cuts[1:]):
+        yield texts[start:stop].to_pylist()
+
+
+def encode(
+    docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text_column: str = "text", decoded: bool = False
+) -> DataFrame:
+    """``id``, ``n_tokens`` and ``ids``, the ids of the whole text as little-endian unsigned 32-bit integers.
+
+    With ``decoded``, also the text that these ids decode to, from the same task.
+    """
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, bytes] = {}
+        words = load(vocabulary)
         for batch in batches:
-            if len(known) > MAX_WORDS:
-                known.clear()
-            ids = load(vocabulary).encode(batch.column(1).to_pylist(), known)
-            counts = pa.array([len(x) // 4 for x in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), counts, pa.array(ids, pa.binary())], ["id", "n_tokens", "ids"])
+            ids: list[bytes] = []
+            for texts in by_size(batch.column(1)):
+                if len(known) > MAX_WORDS:
+                    known.clear()
+                ids += words.encode(texts, known)
+            columns = {"id": batch.column(0), "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "ids": pa.array(ids, pa.binary())}
+            if decoded:
+                columns["decoded"] = pa.array(map(words.decode, ids), pa.string())
+            yield pa.RecordBatch.from_pydict(columns)
 
-    return rows.mapInArrow(run, f"id {kind}, n_tokens long, ids binary")
+    return rows.mapInArrow(run, f"id {kind}, n_tokens long, ids binary" + ", decoded string" * decoded)
 
 
-def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
-    """``encoded`` with ``decoded``, the text of its ``ids``."""
-    kept = [c for c in encoded.columns if c != "decoded"]
-    rows = encoded.select(*kept)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+def decode(encoded: DataFrame, vocabulary: str, ids_column: str = "ids", text_column: str = "decoded") -> DataFrame:
+    """``encoded`` with the text of its ids; null ids decode to an empty text."""
+    rows = encoded.select(*(c for c in encoded.columns if c != text_column))
+    at = rows.columns.index(ids_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = load(vocabulary)
         for batch in batches:
-            texts = [load(vocabulary).decode(x) if x else "" for x in batch.column(kept.index("ids")).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*kept, "decoded"])
+            texts = pa.array((words.decode(x or b"") for x in batch.column(at).to_pylist()), pa.string())
+            yield batch.append_column(text_column, texts)
 
-    return rows.mapInArrow(run, f"{fields}, decoded string")
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(text_column, StringType())]))

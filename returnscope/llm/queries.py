@@ -99,7 +99,7 @@ def op12_hard_negatives(spark: SparkSession, directory: str) -> DataFrame:
 
 def op13_bpe(spark: SparkSession, directory: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
-    both = bpe.decode(bpe.encode(read(spark, directory, "documents"), vocabulary), vocabulary)
+    both = bpe.encode(read(spark, directory, "documents"), vocabulary, decoded=True)
     return both.select(
         F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
