@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from returnscope.llm import (
-    bpe, decontamination, exact_dedup, hard_negatives, html_text, line_dedup, mixing, near_dedup, quality, token_counts, toxicity,
-    url_filter,
+    bpe, decontamination, exact_dedup, hard_negatives, html_text, line_dedup, mixing, near_dedup, prefix_trie, quality, token_counts,
+    toxicity, url_filter,
 )
 from returnscope.llm.common import read
 
@@ -91,6 +91,14 @@ def op10_mixing(spark: SparkSession, directory: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "copies", "taken")
 
 
+def op11_prefix_trie(spark: SparkSession, directory: str) -> DataFrame:
+    """Conversation c begins with up to eight turns of c - c % 5."""
+    conv = F.col("conv_id")
+    shared = F.crc32(conv.cast("string")) % 9
+    nodes = prefix_trie.trie(read(spark, directory, "conversations"), conv - conv % 5, shared, 8)
+    return nodes.withColumnRenamed("saved_bytes", "saved_tokens")
+
+
 def op12_hard_negatives(spark: SparkSession, directory: str) -> DataFrame:
     """The label of every seventh row is wrong by one, as noise for the miner."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -150,6 +158,39 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict, CAST(NU
 FROM u LEFT JOIN fit USING (page_id)
 """
 
+# The inner reductions are the unsigned CRC-32 of the decimal id.
+OP11_SQL = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(text, '') AS text,
+         sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k, turn
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, text, k, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS i FROM t),
+c AS (
+  SELECT conv_id, xor(list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+           lambda a, x: list_reduce(range(8), lambda b, j: xor(b >> 1, 3988292384 * (b & 1)), xor(a, x)), CAST(4294967295 AS BIGINT)),
+           4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT c.conv_id, 0 AS half, i, text, k FROM c JOIN own o ON o.conv_id = c.conv_id - c.conv_id % 5 AND i <= h
+  UNION ALL SELECT conv_id, 1, i, text, k FROM c JOIN own USING (conv_id) WHERE i > h),
+d AS (
+  SELECT conv_id, row_number() OVER w AS depth, strlen(text) AS bytes, sha256(array_to_string(list(k) OVER w, ',')) AS node
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY half, i ROWS UNBOUNDED PRECEDING)),
+p AS (SELECT conv_id, 0 AS depth, 0 AS bytes, 'root' AS node FROM c UNION ALL SELECT * FROM d),
+q AS (SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS parent, max(depth) OVER (PARTITION BY conv_id) = depth AS at_end FROM p),
+n AS (
+  SELECT node, parent, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS own_saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (at_end), '')) AS ends_sha256
+  FROM q GROUP BY 1, 2, 3),
+ch AS (SELECT parent AS node, count(*) AS n_children FROM n WHERE parent IS NOT NULL GROUP BY 1),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN ch USING (node)),
+s AS (
+  SELECT q.node, count(*) FILTER (m.n_children = 0) AS n_leaves, CAST(sum(own_saved) AS BIGINT) AS saved_tokens
+  FROM m JOIN q ON q.conv_id = m.conv_id AND q.depth <= m.depth GROUP BY 1)
+SELECT m.conv_id, m.depth, u.conv_id AS parent_conv_id, m.n_convs, m.n_children, n_leaves, saved_tokens, m.ends_sha256
+FROM m JOIN s USING (node) LEFT JOIN n u ON u.node = m.parent
+"""
+
 OP12_SQL = r"""
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -180,6 +221,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_html_text": op9_html_text,
     "op10_mixing": op10_mixing,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_bpe": op13_bpe,
 }
@@ -187,5 +229,6 @@ SQL: dict[str, str] = {
     "op3_decontamination": OP3_SQL,
     "op5_url_filter": OP5_SQL,
     "op6_exact_dedup": OP6_SQL,
+    "op11_prefix_trie": OP11_SQL,
     "op12_hard_negatives": OP12_SQL,
 }
