@@ -14,6 +14,7 @@ from returnscope.operators import aggregates as agg
 from returnscope.operators import assemble, features, history, mappings
 from returnscope.operators import lookups as keys
 from returnscope.operators.lookups import Lookups
+from returnscope.operators.sparse import unfolded
 from returnscope.plans.features import build_features, no_stage, stage
 from returnscope.sources.bindings import web_export
 from returnscope.sources.export import EventFrames, explode_items, within_dates
@@ -133,6 +134,20 @@ def _vocabulary_of(f: EventFrames, window) -> list[str]:
     return features.event_vocabulary(_web_events(f, Lookups(f, window)))
 
 
+def _sparse_pairs(f: EventFrames, l: Lookups) -> DataFrame:
+    """Sparse rows over the dictionary of the whole source, unfolded into their entries."""
+    names = stage(features.event_dictionary(_web_events(f, Lookups(f, SOURCES["web"].window))), "event_dictionary")
+    rows = features.sparse_events(stage(_web_events(f, l), "web_events"), names)
+    return unfolded(rows, names, TRANSACTION_KEYS, "event_positions", features.EVENT_MEASURES)
+
+
+def _sparse_wide(f: EventFrames, l: Lookups) -> DataFrame:
+    """Feature rows with their events in arrays, a row per entry."""
+    run = build_features(f, l.window, keep=stage, sparse=True)
+    others = [c for c in run.rows.columns if c not in {"event_positions", *features.EVENT_MEASURES}]
+    return unfolded(stage(run.rows, "feature_rows"), run.dictionary, others, "event_positions", features.EVENT_MEASURES)
+
+
 def _wide(source: str, vocabulary: list[str] | None = None):
     def rows(f: EventFrames, l: Lookups) -> DataFrame:
         names = vocabulary
@@ -156,6 +171,11 @@ PIVOT_SQL = {
     + " FROM f_events GROUP BY 1, 2"
     for m, cast in (("event_count", "CAST({} AS BIGINT)"), ("event_length_in_seconds", "{}"))
 }
+_ENTRIES = "SELECT * FROM f_events WHERE event_name IS NOT NULL AND (event_count IS NOT NULL OR event_length_in_seconds IS NOT NULL)"
+SPARSE_SQL = f"SELECT transaction_id, transaction_date, event_name, event_count, event_length_in_seconds FROM ({_ENTRIES})"
+SPARSE_WIDE_SQL = f"""
+    SELECT w.*, e.event_name, e.event_count, e.event_length_in_seconds FROM ({assembled([])}) w
+    JOIN ({_ENTRIES}) e ON e.transaction_id = w.transaction_id AND e.transaction_date = w.transaction_date"""
 GRID_SQL = f"""
     SELECT k.transaction_id, k.transaction_date, v.event_name, coalesce(o.event_length_in_seconds, 0) AS event_length_in_seconds,
            coalesce(o.event_count, 0) AS event_count
@@ -228,6 +248,8 @@ def _event_queries() -> dict[str, Query]:
     add("web_events", "web", _web_events, "SELECT * FROM f_events", {"event_length_in_seconds": 3})
     add("pivot_event_count", "web", lambda f, l: features.pivot_events(_web_events(f, l), "event_count", _vocabulary_of(f, l.window)), PIVOT_SQL["event_count"])
     add("pivot_event_length", "web", lambda f, l: features.pivot_events(_web_events(f, l), "event_length_in_seconds", _vocabulary_of(f, l.window)), PIVOT_SQL["event_length_in_seconds"], {f"event_length_in_seconds_{v}": 3 for v in VOCABULARY})
+    add("sparse_event_counts", "web", _sparse_pairs, SPARSE_SQL, {"event_length_in_seconds": 3})
+    add("sparse_event_counts_recent", "web_recent", _sparse_pairs, SPARSE_SQL, {"event_length_in_seconds": 3})
     add("event_grid", "web_recent", lambda f, l: features.event_grid(_web_events(f, l), _vocabulary_of(f, SOURCES["web"].window)), GRID_SQL, {"event_length_in_seconds": 3})
     add("past_pseudo_user", "web", _user("user_pseudo_id"), "SELECT * FROM f_pseudo", USER_RATES)
     add("past_pseudo_user_item", "web", _user_item("user_pseudo_id"), "SELECT * FROM f_pseudo_item", USER_ITEM_RATES)
@@ -247,6 +269,7 @@ def _event_queries() -> dict[str, Query]:
     add("assemble_features", "web", _wide("web"), assembled(VOCABULARY), wide_digits)
     add("assemble_features_recent", "web_recent", _wide("web_recent"), assembled(VOCABULARY), wide_digits)
     add("assemble_features_shop", "shop", _wide("shop"), assembled([]), WIDE_DIGITS)
+    add("assemble_features_sparse", "web", _sparse_wide, SPARSE_WIDE_SQL, {**WIDE_DIGITS, "event_length_in_seconds": 3})
     add("customer_type", "web", lambda f, l: _preferred(f, l).select(*TRANSACTION_KEYS, assemble.customer_type(F.col("past_user_purchase_revenue")).alias("customer_type")), f"SELECT transaction_id, transaction_date, CASE WHEN past_user_purchase_revenue = 0 THEN 'first time purchase' ELSE 'existing customer transaction' END AS customer_type FROM ({PREFERRED_SQL})")
     add("segment_existing", "web", lambda f, l: assemble.existing_customers(_wide("web")(f, l)), _segment_sql("existing customer transaction", []), wide_digits)
     first_digits = {k: v for k, v in wide_digits.items() if k not in assemble.PAST_USER_COLUMNS}

@@ -11,6 +11,7 @@ from returnscope.functions.rates import smoothed_rate
 from returnscope.operators import cleaning, evaluation, modeling, resampling, selection, splitting
 from returnscope.operators.encoding import Encoder
 from returnscope.operators.ranking import hash_position
+from returnscope.operators.sparse import SparseEncoder, unfolded
 from returnscope.plans.models import predict_two_steps, train_one_step, train_two_steps
 from returnscope.plans.preprocess import FittedPreprocessing, prepare_prediction, prepare_training
 from returnscope.sources.bindings import order_lines, table
@@ -182,6 +183,22 @@ def _encode(s: SparkSession, d: str, numbers: list[str], strings: list[str], rou
     return encoder.transform(rows, [*IDS, SPLIT_COLUMN])
 
 
+def _sparse(s: SparkSession, d: str) -> DataFrame:
+    """Numbers and levels, every customer a level of its own, encoded by a reloaded encoder and unfolded into entries."""
+    rows = stage(_split_rows(s, d).join(_customers(s, d), "transaction_id"), "tagged")
+    path = stage_path(s, "sparse_encoder")
+    SparseEncoder.fit(rows.filter(F.col(SPLIT_COLUMN) == "train"), _SCALED, [*STRINGS, "customer"]).save(s, path)
+    encoder = SparseEncoder.load(s, path)
+    encoded = stage(encoder.transform(rows, IDS, [SPLIT_COLUMN]), "sparse_rows")
+    numbers = s.createDataFrame([(n, c) for n, c in enumerate(encoder.ranges)], "position long, column string")
+    names = encoder.levels.unionByName(numbers, allowMissingColumns=True)
+    return unfolded(encoded, names, [*IDS, SPLIT_COLUMN], "positions", ["values"]).withColumnRenamed("values", "value").withColumnRenamed("column", "feature")
+
+
+def _customers(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "orders").select(F.col("o_orderkey").cast("string").alias("transaction_id"), F.col("o_custkey").cast("string").alias("customer"))
+
+
 def _read_back(s: SparkSession, d: str) -> DataFrame:
     """Written, replaced and extended: the customers twice."""
     name = "returnscope_customers"
@@ -194,6 +211,16 @@ def _read_back(s: SparkSession, d: str) -> DataFrame:
     return read_table(s, name)
 
 
+_SPARSE_ROWS = f"""
+    SELECT t.*, CAST(o_custkey AS VARCHAR) AS customer FROM ({_TAGGED}) t JOIN orders ON CAST(o_orderkey AS VARCHAR) = transaction_id"""
+_SPARSE_SQL = " UNION ALL ".join(
+    [f"""SELECT transaction_id, transaction_date, train_test, '{c}' AS feature, {c} AS level, 1.0 AS value FROM ({_SPARSE_ROWS})
+         WHERE {c} IN (SELECT {c} FROM ({_SPARSE_ROWS}) WHERE train_test = 'train')""" for c in [*STRINGS, "customer"]]
+    + [f"""SELECT transaction_id, transaction_date, train_test, '{c}' AS feature, NULL AS level, num_{c} AS value
+           FROM ({_encoded_sql(_TAGGED, "transaction_id, transaction_date, train_test", [c], [])}) WHERE num_{c} <> 0""" for c in _SCALED]
+)
+
+
 def _selected(s: SparkSession, d: str) -> DataFrame:
     """(label, feature) pairs chosen by the fitted selector."""
     rows = stage(complete_profile(s, d), "profile")
@@ -407,6 +434,7 @@ def queries() -> dict[str, Query]:
     keys = "transaction_id, transaction_date, train_test"
     add("min_max_scale", lambda s, d: _encode(s, d, _SCALED, []), _encoded_sql(_TAGGED, keys, _SCALED, []), _SCALED_DIGITS, day)
     add("one_hot", lambda s, d: _encode(s, d, [], STRINGS), _encoded_sql(_TAGGED, keys, [], STRINGS), {}, day)
+    add("sparse_one_hot", _sparse, _SPARSE_SQL, {"value": 9}, day)
     add("preprocess_pipeline", lambda s, d: _encode(s, d, _SCALED, STRINGS), _encoded_sql(_TAGGED, keys, _SCALED, STRINGS), _SCALED_DIGITS, day)
     add("pipeline_roundtrip", lambda s, d: _encode(s, d, _SCALED, STRINGS, roundtrip=True), _encoded_sql(_TAGGED, keys, _SCALED, STRINGS), _SCALED_DIGITS, day)
     add("ml_ready_data", lambda s, d: _training(s, d).tables["refund_value"], None)

@@ -78,8 +78,6 @@ INPUTS = [
     "user",
     "user_item",
     "pseudo_user_item",
-    "event_count",
-    "event_length",
     "rolling",
     "demographics",
     "brand_category",
@@ -108,9 +106,12 @@ def assemble_features(targets: DataFrame, parts: Mapping[str, DataFrame]) -> Dat
     """Left-join every feature table onto the targets.
 
     All inputs but the daily one are aggregated on the transaction keys, so these joins reuse that
-    partitioning; the daily table is broadcast.
+    partitioning; the daily table is broadcast. With a part ``sparse_events``, the row holds its arrays
+    in place of a column per event name and measure.
     """
-    lacking = [name for name in INPUTS if name not in parts]
+    # Events come as a column each, or all in arrays.
+    events = ["sparse_events"] if "sparse_events" in parts else ["event_length", "event_count"]
+    lacking = [name for name in [*INPUTS, *events] if name not in parts]
     if lacking:
         raise ValueError(f"missing feature tables: {lacking}")
 
@@ -139,7 +140,7 @@ def assemble_features(targets: DataFrame, parts: Mapping[str, DataFrame]) -> Dat
     row = row.join(parts["traffic"], TRANSACTION_KEYS, "left")
     row = prefer_user_over_pseudo(row, parts["user"], parts["pseudo_user"], USER_HISTORY)
     row = prefer_user_over_pseudo(row, parts["user_item"], parts["pseudo_user_item"], USER_ITEM_HISTORY)
-    for name in ["brand_category", "event_length", "event_count", "demographics"]:
+    for name in ["brand_category", *events, "demographics"]:
         row = row.join(parts[name], TRANSACTION_KEYS, "left")
     row = row.join(broadcast_daily(parts["rolling"]), DAY, "left")
     first = [*TRANSACTION_KEYS, *[c for c in row.columns if c not in TRANSACTION_KEYS]]

@@ -6,12 +6,12 @@ import json
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from returnscope.config import MAX_VOCABULARY, missing_columns
 from returnscope.sources.columns import clean_name, refuse_clashes
-from returnscope.sources.tables import bounded_values
+from returnscope.sources.tables import bounded_levels
 
 
 @dataclass(frozen=True)
@@ -23,10 +23,13 @@ class Encoder:
 
     @classmethod
     def fit(cls, train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], limit: int = MAX_VOCABULARY) -> Encoder:
-        """One aggregation for all ranges; levels become columns, hence their checked number."""
+        """One job for all ranges and one for all levels, which become columns, hence their checked number.
+
+        :class:`returnscope.operators.sparse.SparseEncoder` takes any number of levels.
+        """
         if not numeric and not categorical:
             raise ValueError("at least one numeric or categorical feature is required")
-        levels = {c: bounded_values(train, c, limit) for c in categorical}
+        levels = bounded_levels(train, categorical, limit)
         ranges = {}
         if numeric:
             row = train.agg(*[F.struct(F.min(c).cast("double"), F.max(c).cast("double")).alias(c) for c in numeric]).first()
@@ -66,12 +69,3 @@ class Encoder:
     def from_json(cls, text: str) -> Encoder:
         state = json.loads(text)
         return cls(state["levels"], {c: tuple(r) for c, r in state["ranges"].items()})
-
-
-def save_text(spark: SparkSession, text: str, path: str) -> None:
-    """Small state as a one-row file next to the model, on whatever file system the path names."""
-    spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.mode("overwrite").text(path)
-
-
-def load_text(spark: SparkSession, path: str) -> str:
-    return spark.read.text(path, wholetext=True).first()[0].rstrip("\n")

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from returnscope.config import SPLIT_COLUMN
 from returnscope.operators.cleaning import describe
-from returnscope.operators.ranking import running_total, value_ranks
+from returnscope.operators.ranking import running_total, smallest_ranks, value_ranks
+from returnscope.sources.tables import stage
 
 
 def _error() -> Column:
@@ -63,33 +64,44 @@ def classification_metrics(scores: DataFrame, threshold: float = 0.5) -> DataFra
     )
 
 
+def value_pairs(scores: DataFrame) -> DataFrame:
+    """Equal (split, actual, prediction) rows counted into one; all that the split metrics need."""
+    pair = [F.col(SPLIT_COLUMN), F.col("actual").cast("double").alias("actual"), F.col("prediction").cast("double").alias("prediction")]
+    return scores.select(*pair).groupBy(SPLIT_COLUMN, "actual", "prediction").agg(F.count("*").alias("w"))
+
+
 def rank_correlation(scores: DataFrame) -> DataFrame:
     """Per split: correlation of the ranks of actual and prediction.
 
-    Ranks are taken over all splits together, equal values share the smallest rank. Equal
-    (split, actual, prediction) rows are counted into one before ranks are joined on.
+    Ranks are taken over all splits together, equal values share the smallest rank. Rows without an
+    actual value or a prediction have no rank and take no part.
     """
-    pairs = scores.groupBy(SPLIT_COLUMN, "actual", "prediction").agg(F.count("*").alias("w"))
-
-    def centred(value: str) -> DataFrame:
-        # Shifted by the middle rank, which keeps the sums of squares small.
-        return value_ranks(scores, [], value, descending=True).select(
-            value, (F.col("before") + 1 - F.col("total") / 2.0).alias(f"{value}_rank")
-        )
-
-    a, p, w = F.col("actual_rank"), F.col("prediction_rank"), F.col("w")
-    sums = (
-        pairs.join(centred("actual"), "actual")
-        .join(centred("prediction"), "prediction")
-        .groupBy(SPLIT_COLUMN)
-        .agg(
-            F.sum(w).alias("n"),
-            F.sum(w * a).alias("sa"),
-            F.sum(w * p).alias("sp"),
-            F.sum(w * a * a).alias("saa"),
-            F.sum(w * p * p).alias("spp"),
-            F.sum(w * a * p).alias("sap"),
-        )
+    return _rank_correlation(value_pairs(scores))
+
+
+def _rank_correlation(pairs: DataFrame) -> DataFrame:
+    """Both columns are ranked in one range sort, as one key each, and each pair's two ranks then meet under the pair.
+
+    No join has a value as its key, so a label that is 0 almost always is no hot key.
+    """
+    pair = [SPLIT_COLUMN, "actual", "prediction"]
+    ranked = pairs.filter(F.col("actual").isNotNull() & F.col("prediction").isNotNull())
+    total = ranked.agg(F.sum("w")).scalar()
+    # Larger values come first; 0 and -0 are one value.
+    keys = [F.struct(F.lit(n).alias("kind"), (0.0 - F.col(c)).alias("value")) for n, c in enumerate(["actual", "prediction"])]
+    ranked = smallest_ranks(ranked.withColumn("key", F.explode(F.array(*keys))), "key", pair, "w", "before")
+    # Shifted by the middle rank, which keeps the sums of squares small.
+    rank = (F.col("before") - F.col("key.kind") * total - F.floor(total / 2)).cast("double")
+    of_kind = [F.sum(F.when(F.col("key.kind") == n, rank)).alias(c) for n, c in enumerate("ap")]
+    ranked = ranked.groupBy(*pair).agg(F.first("w").alias("w"), *of_kind)
+    a, p, w = F.col("a"), F.col("p"), F.col("w")
+    sums = ranked.groupBy(SPLIT_COLUMN).agg(
+        F.sum(w).alias("n"),
+        F.sum(w * a).alias("sa"),
+        F.sum(w * p).alias("sp"),
+        F.sum(w * a * a).alias("saa"),
+        F.sum(w * p * p).alias("spp"),
+        F.sum(w * a * p).alias("sap"),
     )
     n = F.col("n")
     covariance = F.col("sap") - F.col("sa") * F.col("sp") / n
@@ -101,13 +113,15 @@ def rank_correlation(scores: DataFrame) -> DataFrame:
 
 
 def split_metrics(scores: DataFrame) -> DataFrame:
-    """Per split: number of rows, errors and rank correlation."""
-    errors = scores.groupBy(SPLIT_COLUMN).agg(
-        F.count("*").alias("n_observations"),
-        F.sqrt(F.avg(_error() * _error())).alias("rmse"),
-        F.avg(F.abs(_error())).alias("mae"),
+    """Per split: number of rows, errors and rank correlation, from one pass over the scores."""
+    pairs = stage(value_pairs(scores), "value_pairs")
+    held = F.when(F.col("actual").isNotNull() & F.col("prediction").isNotNull(), F.col("w"))
+    errors = pairs.groupBy(SPLIT_COLUMN).agg(
+        F.sum("w").alias("n_observations"),
+        F.sqrt(F.sum(held * _error() * _error()) / F.sum(held)).alias("rmse"),
+        (F.sum(held * F.abs(_error())) / F.sum(held)).alias("mae"),
     )
-    return errors.join(rank_correlation(scores), SPLIT_COLUMN, "left")
+    return errors.join(_rank_correlation(pairs), SPLIT_COLUMN, "left")
 
 
 def tier_comparison(scores: DataFrame, ids: Sequence[str], tiers: int = 10) -> DataFrame:

@@ -25,6 +25,8 @@ from returnscope.operators.history import (
     with_prior,
 )
 from returnscope.operators.lookups import Lookups
+from returnscope.operators.skew import spread_join
+from returnscope.operators.sparse import dictionary, gathered
 from returnscope.sources.export import EventFrames
 from returnscope.sources.tables import bounded_values
 
@@ -130,7 +132,7 @@ def past_product_history(item_stats: DataFrame, product_days: DataFrame) -> Data
     sold = item_stats.groupBy("item_name", DAY, "item_id").agg(F.count("*").alias("sales"))
     history = strictly_before(daily, sold.select("item_name", DAY).distinct(), ["item_name"], PRODUCT_HISTORY)
     return (
-        sold.join(history, ["item_name", DAY])
+        spread_join(sold, history, ["item_name", DAY], "inner", ["item_id"])
         .groupBy(DAY, "item_id")
         .agg(*[F.sum(F.col(m) * F.col("sales")).alias(m) for m in PRODUCT_HISTORY])
     )
@@ -148,7 +150,8 @@ def basket_description(item_stats: DataFrame, product_history: DataFrame, prior:
         ]
 
     described = (
-        item_stats.join(product_history, [DAY, "item_id"], "left")
+        # An item that most baskets of a day hold would be one key.
+        spread_join(item_stats, product_history, [DAY, "item_id"], "left", ["transaction_id"])
         .groupBy(*TRANSACTION_KEYS)
         .agg(
             F.count("*").alias("item_count"),
@@ -225,6 +228,9 @@ def session_features(session_map: DataFrame, traffic: DataFrame) -> DataFrame:
     )
 
 
+EVENT_MEASURES = ["event_count", "event_length_in_seconds"]
+
+
 def web_events(session_map: DataFrame, events_of_session: DataFrame) -> DataFrame:
     """(transaction, date, event name): time span and number of events over its sessions."""
     return (
@@ -238,42 +244,57 @@ def web_events(session_map: DataFrame, events_of_session: DataFrame) -> DataFram
 
 
 def event_vocabulary(observed: DataFrame) -> list[str]:
-    """Event names that become columns; taken from training and stored with the model."""
+    """Event names that become columns; taken from training and stored with the model.
+
+    A column each suits a few names only; :func:`sparse_events` takes any number.
+    """
     return bounded_values(observed, "event_name", MAX_VOCABULARY)
 
 
+def event_dictionary(observed: DataFrame) -> DataFrame:
+    """Every observed event name with its position; stored with the model, whatever its length."""
+    return dictionary(observed, ["event_name"])
+
+
+def sparse_events(observed: DataFrame, names: DataFrame) -> DataFrame:
+    """Per transaction the positions of its events in the dictionary ``names``, and their measures beside them.
+
+    Where there is no entry, the measure is 0. Events that the dictionary lacks, such as those seen
+    only in prediction, have no position; a transaction with no others has empty arrays.
+    """
+    return gathered(observed, names, ["event_name"], TRANSACTION_KEYS, EVENT_MEASURES, "event_positions")
+
+
 def pivot_events(observed: DataFrame, measure: str, vocabulary: Sequence[str]) -> DataFrame:
     """One column ``<measure>_<event name>`` per vocabulary entry, 0 where nothing was observed.
 
-    The vocabulary is given, so no extra job looks for the column list, and names seen only in
-    training still get their column at prediction time.
+    A transaction's events are gathered into one map, so the aggregation has a single buffer however
+    many columns are read from it. Names seen only in training still get their column at prediction time.
     """
-    wide = observed.groupBy(*TRANSACTION_KEYS).pivot("event_name", list(vocabulary)).agg(F.sum(measure))
+    held = F.col("event_name").isNotNull() & F.col(measure).isNotNull()
+    found = F.map_from_entries(F.collect_list(F.when(held, F.struct("event_name", measure))))
+    wide = observed.groupBy(*TRANSACTION_KEYS).agg(found.alias("found"))
     zero = F.lit(0).cast(dict(observed.dtypes)[measure])
     return wide.select(
-        *TRANSACTION_KEYS, *[F.coalesce(F.col(f"`{name}`"), zero).alias(f"{measure}_{name}") for name in vocabulary]
+        *TRANSACTION_KEYS, *[F.coalesce(F.col("found")[F.lit(name)], zero).alias(f"{measure}_{name}") for name in vocabulary]
     )
 
 
 def event_grid(observed: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
     """Web events completed over a vocabulary: every (transaction, event name), zeros included.
 
-    One aggregation collects the measures by name and unfolds them again, instead of a cross join
-    with the vocabulary and a join back.
+    One aggregation gathers a transaction's measures by name, and the vocabulary unfolds them again,
+    instead of a cross join with the vocabulary and a join back.
     """
-
-    def measured(name: str) -> Column:
-        here = F.col("event_name") == name
-        return F.struct(
-            F.lit(name).alias("event_name"),
-            F.coalesce(F.sum(F.when(here, F.col("event_length_in_seconds"))), F.lit(0.0)).alias("event_length_in_seconds"),
-            F.coalesce(F.sum(F.when(here, F.col("event_count"))), F.lit(0)).alias("event_count"),
-        )
-
-    return (
-        observed.groupBy(*TRANSACTION_KEYS)
-        .agg(F.array(*[measured(name) for name in vocabulary]).alias("grid"))
-        .select(*TRANSACTION_KEYS, F.inline("grid"))
+    entry = F.when(F.col("event_name").isNotNull(), F.struct("event_name", F.struct(*EVENT_MEASURES)))
+    found = observed.groupBy(*TRANSACTION_KEYS).agg(F.map_from_entries(F.collect_list(entry)).alias("found"))
+    unfolded = found.select(*TRANSACTION_KEYS, "found", F.explode(F.lit(list(vocabulary))).alias("event_name"))
+    here = F.col("found")[F.col("event_name")]
+    return unfolded.select(
+        *TRANSACTION_KEYS,
+        "event_name",
+        F.coalesce(here["event_length_in_seconds"], F.lit(0.0)).alias("event_length_in_seconds"),
+        F.coalesce(here["event_count"], F.lit(0)).alias("event_count"),
     )
 
 
@@ -384,7 +405,8 @@ def _level_rates(
         return F.sum(F.when(F.col("dimension") == level, F.col(measure))).alias(f"{level}__{measure}")
 
     summed = (
-        stacked.join(past, ["dimension", "value", DAY], "left")
+        # So would a country or language that most transactions share.
+        spread_join(stacked, past, ["dimension", "value", DAY], "left", ["transaction_id"])
         .groupBy(*TRANSACTION_KEYS)
         .agg(*[total(level, m) for level in levels for m in LEVEL_MEASURES])
     )

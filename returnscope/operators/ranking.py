@@ -45,6 +45,42 @@ def running_total(df: DataFrame, order_by: Sequence[Column], amount: str, name:
     )
 
 
+def smallest_ranks(df: DataFrame, key: str, tie_break: Sequence[str], amount: str, name: str) -> DataFrame:
+    """Add ``name``: the ``amount`` of all rows with a smaller ``key``; equal keys share it.
+
+    Rows are spread over range partitions by key and then ``tie_break``, which makes them unique, so
+    that a key held by most rows is cut over many partitions. Inside a partition the first row of a
+    key tells; a key at a partition's edge may have begun earlier, and the few such keys, two a
+    partition, are looked up in a table of where they begin.
+    """
+    # More partitions than tasks, since the partitions' numbers are dealt to the tasks by hash.
+    parts = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [key, *tie_break]
+    placed = stage(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), "range_partitions")
+    by_part = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy("_part").agg(F.sum(amount).alias("_total"), F.min(key).alias("_least"), F.max(key).alias("_most"))
+    offsets = totals.withColumn("_offset", F.coalesce(F.sum("_total").over(by_part), F.lit(0)))
+    within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    begun = F.min("_running").over(Window.partitionBy("_part", key))
+    counted = (
+        placed.withColumn("_running", F.coalesce(F.sum(amount).over(within), F.lit(0)))
+        .withColumn("_begun", begun)
+        .join(F.broadcast(offsets), "_part")
+        .withColumn("_begun", F.col("_begun") + F.col("_offset"))
+    )
+    # A key that ends one partition and starts the next ones begins in the first of them.
+    last = placed.join(F.broadcast(offsets), "_part").filter(F.col(key) == F.col("_most"))
+    ends = last.groupBy("_part", key).agg((F.max("_offset") + F.max("_total") - F.sum(amount)).alias("_first"))
+    first = ends.groupBy(key).agg(F.min("_first").alias("_first"))
+    starts = F.col(key) == F.col("_least")
+    return (
+        counted.withColumn("_edge", F.when(starts, F.col(key)))
+        .join(F.broadcast(first.withColumnRenamed(key, "_edge")), "_edge", "left")
+        .withColumn(name, F.coalesce(F.least("_first", "_begun"), "_begun"))
+        .drop("_part", "_offset", "_total", "_least", "_most", "_running", "_begun", "_first", "_edge")
+    )
+
+
 def hash_position(df: DataFrame, ids: Sequence[str], name: str, seed: int = 0) -> DataFrame:
     """Add ``name``: the 1-based position of the row in a seeded random order of its ids.
 

@@ -21,10 +21,11 @@ IDENTITIES = {"user_id": "user", "user_pseudo_id": "pseudo_user"}
 
 @dataclass(frozen=True)
 class FeatureRun:
-    """Feature rows of a run and the event vocabulary that shaped their columns."""
+    """Feature rows of a run and the event names that shaped them: their list, or with sparse events their dictionary."""
 
     rows: DataFrame
     vocabulary: list[str]
+    dictionary: DataFrame | None = None
 
 
 def stage_frames(frames: EventFrames) -> EventFrames:
@@ -37,12 +38,18 @@ def stage_frames(frames: EventFrames) -> EventFrames:
 
 
 def build_features(
-    frames: EventFrames, window: RunWindow, vocabulary: Sequence[str] | None = None, keep: Stage = stage
+    frames: EventFrames,
+    window: RunWindow,
+    vocabulary: Sequence[str] | None = None,
+    keep: Stage = stage,
+    sparse: bool = False,
+    dictionary: DataFrame | None = None,
 ) -> FeatureRun:
     """All feature tables and their assembly.
 
     ``keep`` handles the nodes that several tables read; :func:`stage` writes them once, and
-    :func:`no_stage` leaves them in the plan. A prediction run passes the training vocabulary.
+    :func:`no_stage` leaves them in the plan. A prediction run passes the training vocabulary. With
+    ``sparse``, events become arrays over a ``dictionary`` of any length instead of columns.
     """
     lookups = Lookups(frames, window, keep)
     prior = keep(history.past_global_history(frames, lookups), "prior")
@@ -54,7 +61,15 @@ def build_features(
 
     sessions = keep(features.session_features(session_map, aggregates.session_traffic(facts)), "session")
     observed = keep(features.web_events(session_map, aggregates.session_events(facts)), "web_events")
-    names = list(vocabulary) if vocabulary is not None else features.event_vocabulary(observed)
+    if sparse:
+        names, known = [], dictionary if dictionary is not None else keep(features.event_dictionary(observed), "event_dictionary")
+        events = {"sparse_events": features.sparse_events(observed, known)}
+    else:
+        names, known = list(vocabulary) if vocabulary is not None else features.event_vocabulary(observed), None
+        events = {
+            "event_count": features.pivot_events(observed, "event_count", names),
+            "event_length": features.pivot_events(observed, "event_length_in_seconds", names),
+        }
     of_transaction = keep(
         features.transaction_demographics(lookups, maps["user_id"], who["user_id"], maps["user_pseudo_id"], who["user_pseudo_id"]),
         "transaction_demographics",
@@ -64,8 +79,7 @@ def build_features(
             item_stats, features.past_product_history(item_stats, aggregates.product_daily(frames, lookups)), prior
         ),
         "session": sessions,
-        "event_count": features.pivot_events(observed, "event_count", names),
-        "event_length": features.pivot_events(observed, "event_length_in_seconds", names),
+        **events,
         "rolling": history.rolling_refunds(frames, lookups),
         "demographics": features.demographic_rates(of_transaction, frames, lookups, prior),
         "brand_category": features.brand_category_rates(item_stats, frames, lookups, prior),
@@ -85,7 +99,7 @@ def build_features(
     # The feature tables are written one by one: each is then planned and run on its own, and the
     # assembly is a plain join of narrow tables.
     parts = {name: table if name in {"rolling", "session"} else keep(table, name) for name, table in parts.items()}
-    return FeatureRun(assemble_features(targets, parts), names)
+    return FeatureRun(assemble_features(targets, parts), names, known)
 
 
 __all__ = ["FeatureRun", "Stage", "build_features", "no_stage", "stage", "stage_frames"]

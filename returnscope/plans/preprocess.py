@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from returnscope.config import SPLIT_COLUMN, Labels, LabelType, Split
 from returnscope.operators.cleaning import clean, describe, drop_constant_columns, feature_columns
-from returnscope.operators.encoding import Encoder, load_text, save_text
+from returnscope.operators.encoding import Encoder
 from returnscope.operators.resampling import Strategy, resample
 from returnscope.operators.selection import MIN_CORRELATION, FeatureSelector
 from returnscope.operators.splitting import split_ordered
 from returnscope.sources.columns import clean_column_names
-from returnscope.sources.tables import no_stage
+from returnscope.sources.tables import load_text, no_stage, save_text
 
 
 @dataclass(frozen=True)

@@ -137,3 +137,25 @@ def bounded_values(df: DataFrame, column: str, limit: int) -> list:
     if len(rows) > limit:
         raise ValueError(f"column {column} has more than {limit} distinct values")
     return sorted(r[0] for r in rows)
+
+
+def bounded_levels(df: DataFrame, columns: Sequence[str], limit: int) -> dict[str, list]:
+    """:func:`bounded_values` of several columns, read in one job."""
+    if not columns:
+        return {}
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("level")) for c in columns])
+    rows = df.select(F.inline(pairs)).filter(F.col("level").isNotNull()).distinct().limit(limit * len(columns) + 1).collect()
+    levels = {c: sorted(r["level"] for r in rows if r["name"] == c) for c in columns}
+    for c, values in levels.items():
+        if len(values) > limit or len(rows) > limit * len(columns):
+            raise ValueError(f"column {c} has more than {limit} distinct values")
+    return levels
+
+
+def save_text(spark: SparkSession, text: str, path: str) -> None:
+    """Small state as a one-row file next to the model, on whatever file system the path names."""
+    spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
+def load_text(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path, wholetext=True).first()[0].rstrip("\n")
