@@ -76,7 +76,7 @@ def rank_correlation(scores: DataFrame) -> DataFrame:
     Ranks are taken over all splits together, equal values share the smallest rank. Rows without an
     actual value or a prediction have no rank and take no part.
     """
-    return _rank_correlation(value_pairs(scores))
+    return _rank_correlation(stage(value_pairs(scores), "value_pairs"))
 
 
 def _rank_correlation(pairs: DataFrame) -> DataFrame:
