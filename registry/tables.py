@@ -11,6 +11,7 @@ from returnscope.functions.rates import smoothed_rate
 from returnscope.operators import cleaning, evaluation, modeling, resampling, selection, splitting
 from returnscope.operators.encoding import Encoder
 from returnscope.operators.ranking import hash_position
+from returnscope.operators.search import read_log, with_optimal
 from returnscope.operators.sparse import SparseEncoder, unfolded
 from returnscope.plans.models import predict_two_steps, train_one_step, train_two_steps
 from returnscope.plans.preprocess import FittedPreprocessing, prepare_prediction, prepare_training
@@ -259,11 +260,79 @@ def _regression_scores(family: ModelFamily):
 def _classifier_metrics(family: ModelFamily):
     def run(s, d):
         model, rows = _fit("refund_flag", family)(s, d)
-        return evaluation.classification_metrics(modeling.positive_probability(model.pipeline, rows, "refund_flag"))
+        test = rows.filter(F.col(SPLIT_COLUMN) == "test")
+        return evaluation.classification_metrics(modeling.positive_probability(model.pipeline, test, "refund_flag"))
 
     return run
 
 
+def _one_feature(s: SparkSession, d: str) -> DataFrame:
+    """What can be fitted in SQL too: an intercept, one weight, and two penalties."""
+    return _split_rows(s, d).select(*IDS, SPLIT_COLUMN, "transaction_value", "refund_value")
+
+
+def _line(s: SparkSession, d: str) -> DataFrame:
+    """Predictions of the unpenalised fit on one feature."""
+    space = modeling.SearchSpace(l1=(0, 0), l2=(0, 0), trials=1)
+    rows = _one_feature(s, d)
+    model = modeling.train(rows, "refund_value", ModelFamily.LINEAR_REGRESSION, space)
+    return modeling.score_regression(model.pipeline, rows, "refund_value")
+
+
+def _trial_log(s: SparkSession, d: str) -> DataFrame:
+    """The log that a search has written, read back."""
+    log = stage_path(s, "trials")
+    modeling.train(_one_feature(s, d), "refund_value", ModelFamily.LINEAR_REGRESSION, modeling.SearchSpace(), log)
+    return with_optimal(read_log(s, log))
+
+
+_LINE_SQL = f"""
+    SELECT transaction_id, transaction_date, refund_value AS actual, train_test, intercept + slope * transaction_value AS prediction
+    FROM ({_TAGGED}), (SELECT regr_slope(refund_value, transaction_value) AS slope, regr_intercept(refund_value, transaction_value) AS intercept
+                       FROM ({_TAGGED}) WHERE train_test = 'train')"""
+# On one standardised feature the penalised fit has a closed form: the correlation, drawn towards 0 and shrunk.
+_TRIALS_SQL = f"""
+    WITH draws(trial_id, l1, l2) AS (VALUES {", ".join(f"({n}, {p['l1']!r}::DOUBLE, {p['l2']!r}::DOUBLE)" for n, p in enumerate(modeling.SearchSpace().draws(ModelFamily.LINEAR_REGRESSION), 1))}),
+    r AS (SELECT transaction_value AS x, refund_value AS y,
+                 CAST('0x' || substr(md5('42|' || transaction_id || '|' || transaction_date), 1, 8) AS BIGINT) % 5 = 0 AS held
+          FROM ({_TAGGED}) WHERE train_test = 'train'),
+    m AS (SELECT corr(y, x) AS c, stddev_pop(x) AS sx, stddev_pop(y) AS sy, avg(x) AS mx, avg(y) AS my FROM r WHERE NOT held),
+    w AS (SELECT trial_id, sign(c) * greatest(abs(c) - l1 / sy, 0) / (1 + l2 / sy) * sy / sx AS slope, mx, my FROM draws, m),
+    e AS (SELECT trial_id, sqrt(avg(pow(y - my - slope * (x - mx), 2))) AS validation_metric FROM w, r WHERE held GROUP BY 1)
+    SELECT trial_id, validation_metric, 1 AS rounds, 'SUCCEEDED' AS status, validation_metric = min(validation_metric) OVER () AS is_optimal FROM e"""
+_FAMILIES = {
+    ModelFamily.LINEAR_REGRESSION: "refund_value", ModelFamily.BOOSTED_TREE_REGRESSOR: "refund_value",
+    ModelFamily.LOGISTIC_REGRESSION: "refund_flag", ModelFamily.BOOSTED_TREE_CLASSIFIER: "refund_flag", ModelFamily.NEURAL_CLASSIFIER: "refund_flag",
+}
+
+
+def _families(s: SparkSession, d: str) -> DataFrame:
+    """Per family: whether the held-out loss of the search is below that of always predicting the training mean."""
+    tables, rows = _training(s, d).tables, []
+    for family, label in _FAMILIES.items():
+        found = modeling.train(tables[label], label, family, modeling.SearchSpace())
+        loss = modeling.best_trial(found.trials).first()["validation_metric"]
+        mean = tables[label].filter(F.col(SPLIT_COLUMN) == "train").withColumn("_held", modeling.held_out(42))
+        y, p = F.col(label), mean.filter("NOT _held").agg(F.avg(label)).first()[0]
+        baseline = F.avg(-F.when(y == 1, F.log(F.lit(p))).otherwise(F.log(F.lit(1 - p)))) if family.is_classifier else F.sqrt(F.avg((y - p) * (y - p)))
+        rows.append((family.value, loss < mean.filter("_held").agg(baseline).first()[0], found.trials.count()))
+    return s.createDataFrame(rows, "family string, beats_mean boolean, trials long")
+
+
+def _importances(s: SparkSession, d: str) -> DataFrame:
+    """Permutation importance of a label that one feature decides: whether it comes first, and others stay far below."""
+    rows = _split_rows(s, d).withColumn("noise", F.crc32("transaction_id") / 4.3e9).withColumn("planted", F.col("item_count") + 0.0)
+    both = rows.withColumn("value", 5 * F.col("planted")).withColumn("flag", (F.col("planted") > 3).cast("int"))
+    out = []
+    for family in _FAMILIES:
+        label = "flag" if family.is_classifier else "value"
+        data = both.select(*IDS, SPLIT_COLUMN, "noise", "planted", label)
+        space = modeling.SearchSpace(l1=(0, 0.1), l2=(0, 0.1), learning_rate=(0.3, 1.0), max_depth=(3, 5), subsample=(0.7, 1), column_sample=(1, 1), trials=2)
+        found = {r["feature"]: r["attribution"] for r in modeling.permutation_importance(modeling.train(data, label, family, space), data).collect()}
+        out.append((family.value, found["planted"] > 0, abs(found["noise"]) < 0.1 * found["planted"]))
+    return s.createDataFrame(out, "family string, planted_first boolean, noise_far_below boolean")
+
+
 def _two_steps(s, d, part):
     tables = _training(s, d).tables
     report = train_two_steps(
@@ -473,7 +542,13 @@ def queries() -> dict[str, Query]:
     add("train_two_step", lambda s, d: _two_steps(s, d, lambda r, t: r.split_metrics), None)
     add("score_regression", lambda s, d: (lambda m: modeling.score_regression(m[0].pipeline, m[1], "refund_value"))(_fit("refund_value", ModelFamily.LINEAR_REGRESSION)(s, d)), None)
     add("score_classifier", lambda s, d: (lambda m: modeling.score_classifier(m[0].pipeline, m[1]))(_fit("refund_flag", ModelFamily.LOGISTIC_REGRESSION)(s, d)), None)
-    add("best_trial", lambda s, d: modeling.best_trial(_fit("refund_value", ModelFamily.LINEAR_REGRESSION)(s, d)[0].trials), None)
+    trial = ["trial_id", "validation_metric", "rounds", "status", "is_optimal"]
+    add("trial_log", lambda s, d: _trial_log(s, d).select(*trial), _TRIALS_SQL, {"validation_metric": -1})
+    add("best_trial", lambda s, d: modeling.best_trial(_trial_log(s, d)).select(*trial), f"SELECT * FROM ({_TRIALS_SQL}) WHERE is_optimal ORDER BY trial_id LIMIT 1", {"validation_metric": -1})
+    add("train_line", _line, _LINE_SQL, {"prediction": -2}, day)
+    add("train_gbt_classifier", _classifier_metrics(ModelFamily.BOOSTED_TREE_CLASSIFIER), None)
+    add("models_beat_mean", _families, " UNION ALL ".join(f"SELECT '{f.value}' AS family, true AS beats_mean, 10 AS trials" for f in _FAMILIES))
+    add("permutation_importance", _importances, " UNION ALL ".join(f"SELECT '{f.value}' AS family, true AS planted_first, true AS noise_far_below" for f in _FAMILIES))
     add("feature_importance", lambda s, d: (lambda m: evaluation.top_features(modeling.feature_importance(m[0], m[1])))(_fit("refund_value", ModelFamily.BOOSTED_TREE_REGRESSOR)(s, d)), None)
     add("predict_two_step", _predicted, None)
     return q

@@ -1,24 +1,36 @@
-"""Training, scoring and merging of refund models with Spark ML."""
+"""Training, scoring and merging of refund models.
+
+Linear and logistic models are solved from sums over the rows (:mod:`returnscope.operators.linear`), boosted
+trees and networks by Spark ML with early stopping. All are searched for by the same logged loop. A fifth of
+the training rows, by hash of their keys, is held out of the trials and judges them: by root mean squared
+error, or by log loss for classifiers. The best trial's parameters are then fitted on all training rows.
+"""
 
 from __future__ import annotations
 
+import json
 import random
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.ml import Model, PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.ml.tuning import TrainValidationSplit
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.regression import GBTRegressor
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from returnscope.config import SPLIT_COLUMN, TRANSACTION_KEYS, ModelFamily, Split
+from returnscope.functions.hashing import row_hash
+from returnscope.operators import linear
+from returnscope.operators.search import run_trials
+from returnscope.sources.tables import stage, stage_path
 
 FEATURES = "features"
+HELD_OUT = "_held_out"
+# Rows in a block inside which permutation importance exchanges values.
+BLOCK_ROWS = 256
 
 
 @dataclass(frozen=True)
@@ -27,18 +39,26 @@ class SearchSpace:
 
     l1: tuple[float, float] = (0.0, 10.0)
     l2: tuple[float, float] = (0.0, 10.0)
-    learning_rate: tuple[float, float] = (0.05, 0.5)
-    max_depth: tuple[int, int] = (2, 5)
-    subsample: tuple[float, float] = (0.5, 1.0)
-    column_sample: tuple[float, float] = (0.5, 1.0)
+    learning_rate: tuple[float, float] = (0.0, 1.0)
+    max_depth: tuple[int, int] = (1, 10)
+    subsample: tuple[float, float] = (0.0, 1.0)
+    column_sample: tuple[float, float] = (0.0, 1.0)
     boosting_rounds: int = 20
+    # A round of a network is so many steps of its solver.
+    network_rounds: int = 10
+    network_steps: int = 10
     hidden_units: tuple[int, int] = (4, 16)
     batch_rows: tuple[int, int] = (16, 1024)
+    # Rounds go on while the held-out loss falls by more than this share.
+    tolerance: float = 0.01
     trials: int = 10
     seed: int = 42
 
     def draws(self, family: ModelFamily) -> list[dict[str, float]]:
-        """One parameter set per trial; the first takes every lower bound, the others are random."""
+        """One parameter set per trial; the first takes every lower bound, the others are random.
+
+        A bound may be one that a model refuses, such as a learning rate of 0; that trial then fails, and the log says so.
+        """
         rng = random.Random(self.seed)
 
         def number(bounds: tuple[float, float], first: bool) -> float:
@@ -71,13 +91,14 @@ class SearchSpace:
 
 @dataclass(frozen=True)
 class TrainedModel:
-    """A fitted model with its assembler, the log of its trials, and what it was fitted on."""
+    """A fitted model, the log of its trials, what it was fitted on, and the weights of a linear one."""
 
     family: ModelFamily
     label: str
     features: list[str]
     pipeline: PipelineModel
     trials: DataFrame
+    weights: dict[str, float] = field(default_factory=dict)
 
     @property
     def model(self) -> Model:
@@ -89,80 +110,162 @@ def feature_names(df: DataFrame, label: str) -> list[str]:
     return [c for c in df.columns if c not in {*TRANSACTION_KEYS, SPLIT_COLUMN, label}]
 
 
-def _estimator(family: ModelFamily, label: str, n_features: int, space: SearchSpace):
-    """Estimator of a family and the parameter map for one drawn parameter set."""
-    common = {"featuresCol": FEATURES, "labelCol": label}
-    if family in {ModelFamily.LINEAR_REGRESSION, ModelFamily.LOGISTIC_REGRESSION}:
-        cls = LinearRegression if family is ModelFamily.LINEAR_REGRESSION else LogisticRegression
-        est = cls(**common)
-
-        def linear(p):
-            # Spark states the two penalties as their sum and the share of the first.
-            total = p["l1"] + p["l2"]
-            return {est.regParam: total, est.elasticNetParam: p["l1"] / total if total else 0.0}
-
-        return est, linear
-    if family is ModelFamily.NEURAL_CLASSIFIER:
-        est = MultilayerPerceptronClassifier(**common, seed=space.seed, solver="gd", maxIter=50)
-        return est, lambda p: {
-            est.layers: [n_features, p["hidden_units"], 2],
-            est.stepSize: p["learning_rate"],
-            est.blockSize: p["batch_rows"],
-        }
-    cls = GBTRegressor if family is ModelFamily.BOOSTED_TREE_REGRESSOR else GBTClassifier
-    est = cls(**common, seed=space.seed, maxIter=space.boosting_rounds)
-    return est, lambda p: {
-        est.maxDepth: p["max_depth"],
-        est.stepSize: p["learning_rate"],
-        est.subsamplingRate: p["subsample"],
-        est.featureSubsetStrategy: f"{p['column_sample']:.3f}",
-    }
-
-
-def train(df: DataFrame, label: str, family: ModelFamily, space: SearchSpace | None = None) -> TrainedModel:
-    """Fit on the training rows; the trial with the best validation metric is fitted on all of them."""
+def held_out(seed: int) -> Column:
+    """A fifth of the rows, by hash of their keys."""
+    return row_hash(TRANSACTION_KEYS, seed) % 5 == 0
+
+
+def train(df: DataFrame, label: str, family: ModelFamily, space: SearchSpace | None = None, log: str | None = None) -> TrainedModel:
+    """Search on the training rows, then fit the best trial on all of them.
+
+    ``log`` is the folder of the trial log; a search that was interrupted goes on from it. Rows must
+    have no null feature or label.
+    """
     space = space or SearchSpace()
     features = feature_names(df, label)
-    assembler = VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="error")
-    rows = assembler.transform(df.filter(F.col(SPLIT_COLUMN) == Split.TRAIN.value)).select(
-        FEATURES, F.col(label).cast("double").alias(label)
-    )
-    estimator, params_of = _estimator(family, label, len(features), space)
-    evaluator = (
-        BinaryClassificationEvaluator(labelCol=label)
-        if family.is_classifier
-        else RegressionEvaluator(labelCol=label, metricName="rmse")
-    )
+    rows = df.filter(F.col(SPLIT_COLUMN) == Split.TRAIN.value)
+    search = {
+        ModelFamily.LINEAR_REGRESSION: _linear,
+        ModelFamily.LOGISTIC_REGRESSION: _logistic,
+        ModelFamily.NEURAL_CLASSIFIER: _network,
+    }.get(family, _trees)
+    return search(rows, label, family, features, space, log or stage_path(df.sparkSession, "trials"))
+
+
+def _searched(spark: SparkSession, family: ModelFamily, space: SearchSpace, attempt: Callable, log: str) -> tuple[DataFrame, dict, int]:
+    """The trial log, and the best trial's parameters and rounds."""
+    trials = run_trials(spark, space.draws(family), attempt, log)
+    best = best_trial(trials).first()
+    if best is None:
+        raise ValueError(f"every trial failed, see the log at {log}")
+    return trials, json.loads(best["hyperparameters"]), best["rounds"]
+
+
+def _margin(features: Sequence[str], weights: Sequence[float], intercept: float) -> str:
+    terms = [f"{float(w)!r}D * `{c}`" for c, w in zip(features, weights, strict=True) if w]
+    return " + ".join([f"{float(intercept)!r}D", *terms])
+
+
+def _formula(columns: str) -> PipelineModel:
+    """A model that is a projection, saved and loaded like any other."""
+    return PipelineModel([SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__")])
+
+
+def _linear(rows, label, family, features, space, log) -> TrainedModel:
+    """One pass for all trials; where a side has no rows, the other serves for both."""
+    sums = linear.moments(linear.design(rows, features, label, held_out(space.seed)))
+    if not sums:
+        raise ValueError("there are no training rows")
+    fitted, judged = sums.get(0) or sums[1], sums.get(1) or sums[0]
+
+    def attempt(p: Mapping[str, float]) -> tuple[float, int]:
+        return linear.mean_squared_error(judged, *linear.elastic_net(fitted, p["l1"], p["l2"])) ** 0.5, 1
+
+    trials, best, _ = _searched(rows.sparkSession, family, space, attempt, log)
+    whole = sums[0] + sums[1] if len(sums) > 1 else fitted
+    weights, intercept = linear.elastic_net(whole, best["l1"], best["l2"])
+    pipeline = _formula(f"{_margin(features, weights, intercept)} AS prediction")
+    return TrainedModel(family, label, features, pipeline, trials, dict(zip(features, map(float, weights), strict=True)))
+
+
+def _logistic(rows, label, family, features, space, log) -> TrainedModel:
+    """Every pass over the rows serves all trials."""
+    x = stage(linear.design(rows, features, label, held_out(space.seed)), "design")
+    sums = linear.moments(x)
+    if len(sums) < 2:
+        raise ValueError("there are too few training rows to hold some out")
     draws = space.draws(family)
-    search = TrainValidationSplit(
-        estimator=estimator,
-        estimatorParamMaps=[params_of(p) for p in draws],
-        evaluator=evaluator,
-        trainRatio=0.8,
-        seed=space.seed,
-        parallelism=2,
-    )
-    # Iterative fits read the assembled vectors many times.
-    rows = rows.persist()
+    # Spark ML's convention for both penalties.
+    fits = linear.logistic(x, sums[0], [(p["l1"], p["l2"]) for p in draws])
+    by_draw = {json.dumps(p, sort_keys=True): f for p, f in zip(draws, fits, strict=True)}
+
+    def attempt(p: Mapping[str, float]) -> tuple[float, int]:
+        fit = by_draw[json.dumps(p, sort_keys=True)]
+        return fit.held_out_loss, fit.steps
+
+    trials, best, _ = _searched(rows.sparkSession, family, space, attempt, log)
+    near = by_draw[json.dumps(best, sort_keys=True)]
+    start = [*near.weights, near.intercept]
+    every = x.withColumn("held", F.lit(0))
+    fit = linear.logistic(every, sums[0] + sums[1], [(best["l1"], best["l2"])], linear.np.array(start))[0]
+    chance = f"1D / (1D + exp(-({_margin(features, fit.weights, fit.intercept)})))"
+    pipeline = _formula(f"array(1D - {chance}, {chance}) AS probability, CAST({chance} > 0.5 AS DOUBLE) AS prediction")
+    return TrainedModel(family, label, features, pipeline, trials, dict(zip(features, map(float, fit.weights), strict=True)))
+
+
+def _vectors(rows: DataFrame, label: str, features: Sequence[str], seed: int) -> tuple[VectorAssembler, DataFrame]:
+    """Assembled rows, persisted, since iterative fits read them many times."""
+    assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="error")
+    own = assembler.transform(rows).select(FEATURES, F.col(label).cast("double").alias(label), held_out(seed).alias(HELD_OUT))
+    return assembler, own.persist()
+
+
+def held_out_loss(scored: DataFrame, label: str, is_classifier: bool) -> float:
+    """Log loss of the probabilities, or root mean squared error of the predictions; not a number without rows."""
+    if is_classifier:
+        # A probability of exactly 0 or 1 is taken as nearly that.
+        p = F.least(F.greatest(vector_to_array("probability")[1], F.lit(1e-15)), F.lit(1 - 1e-15))
+        loss = F.avg(-F.when(F.col(label) == 1, F.log(p)).otherwise(F.log(1 - p)))
+    else:
+        loss = F.sqrt(F.avg(F.pow(F.col(label) - F.col("prediction"), 2)))
+    found = scored.agg(loss).first()[0]
+    return float("nan") if found is None else float(found)
+
+
+def _trees(rows, label, family, features, space, log) -> TrainedModel:
+    """Boosting stops when the held-out error does not fall; the final fit takes as many rounds."""
+    assembler, vectors = _vectors(rows, label, features, space.seed)
+    kind = GBTRegressor if family is ModelFamily.BOOSTED_TREE_REGRESSOR else GBTClassifier
+
+    def boosted(p: Mapping[str, float], rounds: int, **stop):
+        return kind(
+            featuresCol=FEATURES, labelCol=label, seed=space.seed, maxIter=rounds, maxDepth=p["max_depth"], stepSize=p["learning_rate"],
+            subsamplingRate=p["subsample"], featureSubsetStrategy=f"{p['column_sample']:.3f}", **stop,
+        )
+
+    def attempt(p: Mapping[str, float]) -> tuple[float, int]:
+        model = boosted(p, space.boosting_rounds, validationIndicatorCol=HELD_OUT, validationTol=space.tolerance).fit(vectors)
+        return held_out_loss(model.transform(vectors.filter(HELD_OUT)), label, family.is_classifier), model.getNumTrees
+
     try:
-        fitted = search.fit(rows)
+        trials, best, rounds = _searched(rows.sparkSession, family, space, attempt, log)
+        model = boosted(best, rounds).fit(vectors)
     finally:
-        rows.unpersist()
-    trials = trial_log(df.sparkSession, draws, fitted.validationMetrics, evaluator.isLargerBetter())
-    return TrainedModel(family, label, features, PipelineModel([assembler, fitted.bestModel]), trials)
-
-
-def trial_log(spark: SparkSession, draws: Sequence[Mapping], metrics: Sequence[float], larger_is_better: bool) -> DataFrame:
-    """One row per trial: parameters, validation metric, status, and whether it is (jointly) best."""
-    valid = [m for m in metrics if m == m]
-    best = (max(valid) if larger_is_better else min(valid)) if valid else None
-    rows = [
-        (i + 1, str(dict(sorted(p.items()))), float(m), "SUCCEEDED" if m == m else "FAILED", m == best)
-        for i, (p, m) in enumerate(zip(draws, metrics, strict=True))
-    ]
-    return spark.createDataFrame(
-        rows, "trial_id int, hyperparameters string, validation_metric double, status string, is_optimal boolean"
-    )
+        vectors.unpersist()
+    return TrainedModel(family, label, features, PipelineModel([assembler, model]), trials)
+
+
+def _network(rows, label, family, features, space, log) -> TrainedModel:
+    """Each round goes on from the last one's weights, until the held-out loss does not fall."""
+    assembler, vectors = _vectors(rows, label, features, space.seed)
+
+    def rounds_of(p: Mapping[str, float], data: DataFrame, most: int):
+        model = None
+        for _ in range(most):
+            est = MultilayerPerceptronClassifier(
+                featuresCol=FEATURES, labelCol=label, seed=space.seed, solver="gd", layers=[len(features), p["hidden_units"], 2],
+                stepSize=p["learning_rate"], blockSize=p["batch_rows"], maxIter=space.network_steps,
+            )
+            model = (est if model is None else est.setInitialWeights(model.weights)).fit(data)
+            yield model
+
+    def attempt(p: Mapping[str, float]) -> tuple[float, int]:
+        least, best = float("inf"), 0
+        for n, model in enumerate(rounds_of(p, vectors.filter(~F.col(HELD_OUT)), space.network_rounds), 1):
+            loss = held_out_loss(model.transform(vectors.filter(HELD_OUT)), label, True)
+            if not loss < least * (1 - space.tolerance):
+                break
+            least, best = loss, n
+        if not best:
+            raise ValueError("the held-out loss is not a number")
+        return least, best
+
+    try:
+        trials, best, rounds = _searched(rows.sparkSession, family, space, attempt, log)
+        *_, model = rounds_of(best, vectors, rounds)
+    finally:
+        vectors.unpersist()
+    return TrainedModel(family, label, features, PipelineModel([assembler, model]), trials)
 
 
 def best_trial(trials: DataFrame) -> DataFrame:
@@ -198,21 +301,33 @@ def score_regression(model: Transformer, df: DataFrame, label: str | None = None
     return model.transform(df).select(*TRANSACTION_KEYS, F.col("prediction").cast("double"), *extra)
 
 
+def probabilities(df: DataFrame) -> Column:
+    """Array of the classes' probabilities, whether a model gives a vector or an array."""
+    return F.col("probability") if dict(df.dtypes)["probability"].startswith("array") else vector_to_array("probability")
+
+
 def score_classifier(model: Transformer, df: DataFrame, cutoff: float = 0.5) -> DataFrame:
     """One row per (transaction, class) whose probability is above the cut-off; class 1 also at the cut-off."""
     extra = [SPLIT_COLUMN] if SPLIT_COLUMN in df.columns else []
+    scored = model.transform(df)
     return (
-        model.transform(df)
-        .select(*TRANSACTION_KEYS, *extra, F.posexplode(vector_to_array("probability")).alias("label", "probability"))
+        scored.select(*TRANSACTION_KEYS, *extra, F.posexplode(probabilities(scored)).alias("label", "probability"))
         .filter((F.col("probability") > cutoff) | ((F.col("probability") == cutoff) & (F.col("label") == 1)))
     )
 
 
 def positive_probability(model: Transformer, df: DataFrame, label: str) -> DataFrame:
     """Keys, true label and probability of class 1, as the classification metrics need them."""
-    return model.transform(df).select(
-        *TRANSACTION_KEYS, F.col(label).cast("int").alias("label"), vector_to_array("probability")[1].alias("probability")
-    )
+    scored = model.transform(df)
+    return scored.select(*TRANSACTION_KEYS, F.col(label).cast("int").alias("label"), probabilities(scored)[1].alias("probability"))
+
+
+def decided_class(model: Transformer, df: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """One row per transaction: class 1 from a probability of ``threshold`` on. Training and serving both decide here."""
+    scored = model.transform(df)
+    extra = [SPLIT_COLUMN] if SPLIT_COLUMN in df.columns else []
+    refund = scored.select(*TRANSACTION_KEYS, *extra, probabilities(scored)[1].alias("probability"))
+    return refund.withColumn("label", (F.col("probability") >= threshold).cast("int"))
 
 
 def two_step_merge(classified: DataFrame, regressed: DataFrame, gate_on_label: bool = True, threshold: float = 0.5) -> DataFrame:
@@ -235,34 +350,51 @@ def feature_importance(trained: TrainedModel, df: DataFrame) -> DataFrame:
     """(feature, attribution) of a trained model.
 
     Trees report their split gains; linear models the absolute coefficient times the feature's
-    spread; for other models it is the mean change of the score when a feature is replaced by its
-    average, one pass for all features.
+    spread; other models their permutation importance.
     """
     spark, names = df.sparkSession, trained.features
     if hasattr(trained.model, "featureImportances"):
         weights = trained.model.featureImportances.toArray()
         return spark.createDataFrame([(n, float(w)) for n, w in zip(names, weights, strict=True)], "feature string, attribution double")
-    if hasattr(trained.model, "coefficients"):
-        spread = df.agg(*[F.stddev_samp(F.col(n)).alias(n) for n in names]).first()
-        weights = trained.model.coefficients.toArray()
-        rows = [(n, abs(float(w)) * float(spread[n] or 0.0)) for n, w in zip(names, weights, strict=True)]
+    if trained.weights:
+        spread = df.agg(*[F.stddev_samp(F.col(f"`{n}`")).alias(n) for n in names]).first()
+        rows = [(n, abs(w) * float(spread[n] or 0.0)) for n, w in trained.weights.items()]
         return spark.createDataFrame(rows, "feature string, attribution double")
-    return _ablation(trained, df)
-
-
-def _ablation(trained: TrainedModel, df: DataFrame) -> DataFrame:
-    names = trained.features
-    means = df.agg(*[F.avg(n).alias(n) for n in names]).first()
-    unchanged = F.lit("")
-    variants = df.withColumn("_replaced", F.explode(F.array(unchanged, *[F.lit(n) for n in names])))
-    replaced = variants.select(
-        *TRANSACTION_KEYS,
-        "_replaced",
-        *[F.when(F.col("_replaced") == n, F.lit(float(means[n] or 0.0))).otherwise(F.col(n)).alias(n) for n in names],
+    return permutation_importance(trained, df)
+
+
+def permutation_importance(trained: TrainedModel, df: DataFrame, seed: int = 0) -> DataFrame:
+    """(feature, attribution): how much the mean loss grows when a feature's values are exchanged between rows.
+
+    Works for every family: the loss is log loss for classifiers, squared error for others. Rows are
+    dealt into small blocks by hash of their keys, in whose order a feature's values are shifted by a
+    step drawn from block, feature and seed; blocks are thus the only thing that is shuffled, and the
+    variants of a row exist one after another inside a task.
+    """
+    names, label, keys = trained.features, trained.label, [c for c in TRANSACTION_KEYS if c in df.columns]
+    held = F.array(*[F.col(f"`{n}`").cast("double") for n in names])
+    rows = df.select(row_hash(keys, seed).alias("place"), held.alias("x"), F.col(f"`{label}`").cast("double").alias("y"))
+    blocks = F.greatest(F.ceil(rows.agg(F.count("*")).scalar() / BLOCK_ROWS), F.lit(1))
+    block = rows.withColumn("block", F.xxhash64("place") % blocks)
+    gathered = block.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("place", "x", "y"))).alias("rows"))
+    size = F.size("rows")
+    # Variant 0 is the row as it is, variant k has feature k - 1 from another row.
+    steps = F.array(
+        F.lit(0), *[1 + F.pmod(F.xxhash64("block", F.lit(k), F.lit(seed)), F.greatest(size - 1, F.lit(1)).cast("long")).cast("int") for k in range(len(names))]
     )
-    scored = trained.pipeline.transform(replaced).withColumn("_p", vector_to_array("probability")[1])
-    base = F.max(F.when(F.col("_replaced") == "", F.col("_p")))
-    changed = [F.abs(F.max(F.when(F.col("_replaced") == n, F.col("_p"))) - base).alias(n) for n in names]
-    means_of_change = scored.groupBy(*TRANSACTION_KEYS).agg(*changed).agg(*[F.avg(n).alias(n) for n in names])
-    rows = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(f"`{n}`").alias("attribution")) for n in names])
-    return means_of_change.select(F.inline(rows))
+    each = gathered.select("rows", size.alias("size"), steps.alias("steps"), F.posexplode("rows").alias("at", "row"))
+    varied = each.select("rows", "size", "at", "row", F.posexplode("steps").alias("variant", "step"))
+    partner = F.element_at("rows", ((F.col("at") + F.col("step")) % F.col("size") + 1).cast("int"))["x"]
+    values = [F.when(F.col("variant") == k + 1, partner[k]).otherwise(F.col("row.x")[k]).alias(n) for k, n in enumerate(names)]
+    scored = trained.pipeline.transform(varied.select("variant", F.col("row.y").alias("_label"), *values))
+    if trained.family.is_classifier:
+        p = F.least(F.greatest(probabilities(scored)[1], F.lit(1e-15)), F.lit(1 - 1e-15))
+        loss = -F.when(F.col("_label") == 1, F.log(p)).otherwise(F.log(1 - p))
+    else:
+        loss = F.pow(F.col("_label") - F.col("prediction"), 2)
+    losses = scored.groupBy("variant").agg(F.avg(loss).alias("loss"))
+    # A row per feature, and one more.
+    of_feature = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("variant"))
+    base = F.broadcast(losses.filter("variant = 0").select(F.col("loss").alias("base"), F.lit(0).alias("_one")))
+    grown = losses.filter("variant > 0").withColumn("_one", F.lit(0)).join(base, "_one")
+    return grown.select(of_feature.alias("feature"), (F.col("loss") - F.col("base")).alias("attribution"))

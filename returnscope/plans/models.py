@@ -14,6 +14,7 @@ from returnscope.operators.modeling import (
     SearchSpace,
     TrainedModel,
     best_trial,
+    decided_class,
     feature_importance,
     positive_probability,
     score_classifier,
@@ -61,7 +62,7 @@ def train_two_steps(
     """Classifier and regressor, and their merged prediction."""
     first, second = train_two_step(flags, values, flag, value, classifier, regressor, space)
     regressed = score_regression(second.pipeline, values, value)
-    scores = two_step_merge(score_classifier(first.pipeline, flags), regressed, gate_on_label, threshold)
+    scores = two_step_merge(_classified(first.pipeline, flags, threshold, gate_on_label), regressed, gate_on_label, threshold)
     test_flags = flags.filter(F.col(SPLIT_COLUMN) == Split.TEST.value)
     metrics = {
         "classifier": evaluation.classification_metrics(positive_probability(first.pipeline, test_flags, flag), threshold),
@@ -70,6 +71,11 @@ def train_two_steps(
     return _report({"classifier": first, "regressor": second}, {flag: flags, value: values}, scores, metrics, tiers)
 
 
+def _classified(classifier: PipelineModel, flags: DataFrame, threshold: float, gate_on_label: bool) -> DataFrame:
+    """What the merge takes from the classifier, the same in training and serving."""
+    return decided_class(classifier, flags, threshold) if gate_on_label else score_classifier(classifier, flags, threshold)
+
+
 def _test_regression(scores: DataFrame) -> DataFrame:
     return evaluation.regression_metrics(scores.filter(F.col(SPLIT_COLUMN) == Split.TEST.value))
 
@@ -98,11 +104,5 @@ def predict_two_steps(
     With the label gate the class is the more probable one at ``threshold``; with the probability
     gate the threshold is also the cut-off of the class rows.
     """
-    if gate_on_label:
-        refund = positive_probability(classifier, flags.withColumn("_none", F.lit(0)), "_none")
-        classified = refund.select(
-            *TRANSACTION_KEYS, F.when(F.col("probability") >= threshold, 1).otherwise(0).alias("label"), "probability"
-        )
-    else:
-        classified = score_classifier(classifier, flags, threshold)
+    classified = _classified(classifier, flags, threshold, gate_on_label)
     return two_step_merge(classified, score_regression(regressor, values), gate_on_label, threshold)
