@@ -174,6 +174,12 @@ _SCALED = ["transaction_value", "item_count", "total_quantity", "max_discount",
 _SCALED_DIGITS = {f"num_{c}": 9 for c in _SCALED}
 
 
+# Numeric features that reach the minimal correlation, or are significant, for both labels of the order rows at every size of the tables.
+_SELECTED = ["transaction_value", "item_count", "total_quantity", "max_discount"]
+_SELECTED_DIGITS = {f"num_{c}": 9 for c in _SELECTED}
+_CLEANED = f"WITH cleaned AS (SELECT * FROM filled WHERE {_ROW_SHARE} <= 0.5) "
+
+
 def _encode(s: SparkSession, d: str, numbers: list[str], strings: list[str], roundtrip: bool = False) -> DataFrame:
     rows = _split_rows(s, d)
     encoder = Encoder.fit(rows.filter(F.col(SPLIT_COLUMN) == "train"), numbers, strings)
@@ -496,6 +502,9 @@ def queries() -> dict[str, Query]:
     add("user_table_ml_ready", lambda s, d: splitting.tables_by_label(complete_profile(s, d), LABELS.all, ["transaction_id"])["refund_value"], f"SELECT * EXCLUDE (refund_proportion, refund_flag), CASE WHEN {_HASH.format(seed=0)} % 100 < 10 THEN 'test' ELSE 'train' END AS train_test FROM filled", dates=day)
     add("union_splits", lambda s, d: _split_rows(s, d).filter("train_test = 'train'").unionByName(_split_rows(s, d).filter("train_test = 'test'")).select(*IDS, SPLIT_COLUMN), f"SELECT transaction_id, transaction_date, train_test FROM ({_TAGGED})", dates=day)
     add("resampling_strategy", lambda s, d: resampling.class_counts(complete_profile(s, d), "refund_value", LabelType.NUMERICAL), "SELECT CASE WHEN refund_value > 0 THEN 1 ELSE 0 END AS label_class, count(*) AS row_count FROM filled GROUP BY 1")
+    add("resample_text", lambda s, d: resampling.resample(complete_profile(s, d).filter("status <> 'open' OR rarely_set = 1"), "status", LabelType.CATEGORICAL, ["transaction_id"], strategy=resampling.Strategy.UNDER).groupBy("status").agg(F.count("*").alias("row_count")), """
+        SELECT status, (SELECT min(n) FROM (SELECT count(*) AS n FROM filled WHERE status <> 'open' OR rarely_set = 1 GROUP BY status)) AS row_count
+        FROM filled WHERE status <> 'open' OR rarely_set = 1 GROUP BY status""")
     add("resample", _resample(resampling.Strategy.UNDER), _RESAMPLE_UNDER, dates=day)
     add("resample_over", _resample(resampling.Strategy.OVER), _RESAMPLE_OVER, dates=day)
 
@@ -506,8 +515,12 @@ def queries() -> dict[str, Query]:
     add("sparse_one_hot", _sparse, _SPARSE_SQL, {"value": 9}, day)
     add("preprocess_pipeline", lambda s, d: _encode(s, d, _SCALED, STRINGS), _encoded_sql(_TAGGED, keys, _SCALED, STRINGS), _SCALED_DIGITS, day)
     add("pipeline_roundtrip", lambda s, d: _encode(s, d, _SCALED, STRINGS, roundtrip=True), _encoded_sql(_TAGGED, keys, _SCALED, STRINGS), _SCALED_DIGITS, day)
-    add("ml_ready_data", lambda s, d: _training(s, d).tables["refund_value"], None)
-    add("preprocess_predict", lambda s, d: prepare_prediction(order_profile(s, d), _training(s, d).fitted)["refund_flag"], None)
+    ready = f"(SELECT *, {_SPLIT.format(rows='cleaned')} AS train_test FROM cleaned)"
+    add("ml_ready_data", lambda s, d: _training(s, d).tables["refund_value"], _CLEANED + _encoded_sql(f"SELECT * FROM {ready}", "transaction_id, transaction_date, refund_value, train_test", _SELECTED, STRINGS), _SELECTED_DIGITS, day)
+    add("ml_ready_flags", lambda s, d: _training(s, d).tables["refund_flag"], _CLEANED + _encoded_sql(f"SELECT * FROM {ready}", "transaction_id, transaction_date, refund_flag, train_test", _SELECTED, STRINGS), _SELECTED_DIGITS, day)
+    # New rows take the ranges of the training rows, and none is dropped.
+    served = f"SELECT f.*, CASE WHEN r.train_test = 'train' THEN 'train' ELSE 'new' END AS train_test FROM filled f LEFT JOIN {ready} r USING (transaction_id)"
+    add("preprocess_predict", lambda s, d: prepare_prediction(order_profile(s, d), _training(s, d).fitted)["refund_flag"], _CLEANED + _encoded_sql(served, "transaction_id, transaction_date, refund_flag", _SELECTED, STRINGS), _SELECTED_DIGITS, day)
 
     # Metrics over score tables.
     add("two_step_merge", lambda s, d: modeling.two_step_merge(*_two_step_inputs(s, d), gate_on_label=False, threshold=0.5), _two_step_sql("c.probability < 0.5"), dates=day)

@@ -37,6 +37,11 @@ class Encoder:
         refuse_clashes([clean_name(f"cat_{c}_{v}") for c in levels for v in levels[c]] + [clean_name(f"num_{c}") for c in ranges])
         return cls(levels, ranges)
 
+    def only(self, columns: Sequence[str]) -> Encoder:
+        """The part that encodes ``columns``."""
+        kept = set(columns)
+        return Encoder({c: v for c, v in self.levels.items() if c in kept}, {c: r for c, r in self.ranges.items() if c in kept})
+
     def _scaled(self, name: str) -> Column:
         """Training range to [0, 1]; unseen values may lie outside, a constant column gives 0."""
         low, high = self.ranges[name]

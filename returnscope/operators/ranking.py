@@ -102,15 +102,15 @@ def hash_position(df: DataFrame, ids: Sequence[str], name: str, seed: int = 0) -
     )
 
 
-def value_ranks(df: DataFrame, keys: Sequence[str], value: str, descending: bool = False) -> DataFrame:
+def value_ranks(df: DataFrame, keys: Sequence[str], value: str, descending: bool = False, extra: Sequence[Column] = ()) -> DataFrame:
     """Per (keys, value): ``ties`` (rows with the value), ``before`` (rows ranked ahead) and ``total``.
 
     All counts are within the keys. Equal values are counted before ordering, so a value shared by
-    most rows is one row here.
+    most rows is one row here. ``extra`` are further aggregates per value, from the same pass.
     """
     if not keys:
-        return value_ranks(df.withColumn("_all", F.lit(0)), ["_all"], value, descending).drop("_all")
-    counts = df.groupBy(*keys, value).agg(F.count("*").alias("ties"))
+        return value_ranks(df.withColumn("_all", F.lit(0)), ["_all"], value, descending, extra).drop("_all")
+    counts = df.groupBy(*keys, value).agg(F.count("*").alias("ties"), *extra)
     order = [*[F.col(k) for k in keys], F.col(value).desc() if descending else F.col(value).asc()]
     ranked = running_total(counts, order, "ties", "_running")
     groups = ranked.groupBy(*keys).agg(F.min("_running").alias("_start"), F.sum("ties").alias("total"))

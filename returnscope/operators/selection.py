@@ -44,13 +44,11 @@ def rank_test(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
         F.col(label).cast("int").alias("_class"),
         F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features])),
     ).filter(F.col("value").isNotNull() & F.col("_class").isin(0, 1))
-    ranks = value_ranks(melted, ["feature"], "value")
-    ones = melted.groupBy("feature", "value").agg(F.sum("_class").alias("ones"))
+    ranks = value_ranks(melted, ["feature"], "value", extra=[F.sum("_class").alias("ones")])
     mid_rank = F.col("before") + (F.col("ties") + 1) / F.lit(2.0)
     ties = F.col("ties").cast("double")
     sums = (
-        ranks.join(ones, ["feature", "value"])
-        .groupBy("feature")
+        ranks.groupBy("feature")
         .agg(
             F.max("total").cast("double").alias("n"),
             F.sum("ones").cast("double").alias("n1"),
@@ -66,17 +64,17 @@ def rank_test(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     return sums.select("feature", corrected.alias("h")).withColumn("p_value", _erfc(F.sqrt(F.when(F.col("h") < 0, 0.0).otherwise(F.col("h")) / 2)))
 
 
-def _erfc(x: Column) -> Column:
-    """Complementary error function of one value per feature.
-
-    Spark has no such function; a handful of rows, one per feature, goes through Python.
-    """
+# Chebyshev coefficients of the complementary error function, relative error below 1.2e-7.
+ERFC = (-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806, 0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277)
 
-    @F.pandas_udf("double")
-    def erfc(values):
-        return values.map(lambda v: None if v is None or math.isnan(v) else math.erfc(v))
 
-    return erfc(x)
+def _erfc(x: Column) -> Column:
+    """Complementary error function of a number that isn't negative."""
+    t = F.lit(1.0) / (F.lit(1.0) + x / 2)
+    series = F.lit(0.0)
+    for coefficient in reversed(ERFC):
+        series = series * t + F.lit(coefficient)
+    return t * F.exp(series - x * x)
 
 
 def correlated_features(df: DataFrame, features: Sequence[str], label: str, minimum: float = MIN_CORRELATION) -> list[str]:

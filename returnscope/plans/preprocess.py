@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from returnscope.config import SPLIT_COLUMN, Labels, LabelType, Split
+from returnscope.config import SPLIT_COLUMN, Labels, Split
 from returnscope.operators.cleaning import clean, describe, drop_constant_columns, feature_columns
 from returnscope.operators.encoding import Encoder
 from returnscope.operators.resampling import Strategy, resample
@@ -83,16 +84,21 @@ def prepare_training(
     cleaned = keep(clean(clean_column_names(df), ids, labels, True, row_threshold, column_threshold), "cleaned")
     useful = drop_constant_columns(cleaned, ids, labels.all)
     selector = FeatureSelector.fit(useful, ids, labels, min_correlation)
+    # One split and one fit serve all labels: both depend on the rows alone.
+    split = keep(split_ordered(useful, order_by, ids, test_share, latest_as_test), "split")
+    is_train = F.col(SPLIT_COLUMN) == Split.TRAIN.value
+    chosen = {label: selector.columns[label] for label in labels.all}
+    numbers, strings = feature_columns(useful, ids, labels.all)
+    used = {c for columns in chosen.values() for c in columns}
+    encoder = Encoder.fit(split.filter(is_train), [c for c in numbers if c in used], [c for c in strings if c in used])
     tables, encoders = {}, {}
-    for label, chosen in selector.transform(useful).items():
-        split = split_ordered(chosen, order_by, ids, test_share, latest_as_test)
-        is_train = split[SPLIT_COLUMN] == Split.TRAIN.value
-        train = split.filter(is_train)
-        encoders[label] = Encoder.fit(train, *feature_columns(chosen, ids, [label]))
+    for label, columns in chosen.items():
+        encoders[label] = encoder.only(columns)
+        rows = split.select(*columns, SPLIT_COLUMN)
         if balance is not Strategy.NONE:
-            kind = LabelType.NUMERICAL if label in labels.numeric else LabelType.CATEGORICAL
-            split = resample(train, label, kind, ids, balance, always=False).unionByName(split.filter(~is_train))
-        tables[label] = encoders[label].transform(split, [*ids, label, SPLIT_COLUMN])
+            kind = labels.type_of(label)
+            rows = resample(rows.filter(is_train), label, kind, ids, balance, always=False).unionByName(rows.filter(~is_train))
+        tables[label] = encoders[label].transform(rows, [*ids, label, SPLIT_COLUMN])
     fitted = FittedPreprocessing(list(ids), labels, selector, encoders, list(vocabulary))
     return TrainingData(tables, describe(cleaned, labels.all), fitted)
 

@@ -72,7 +72,7 @@ def test_history_has_no_pairwise_join(spark, name):
 def test_only_fitted_models_lack_sql():
     without = {n for n, q in QUERIES.items() if q.sql is None}
     assert without <= {
-        "ml_ready_data", "preprocess_predict", "train_linear", "train_logistic", "train_gbt", "train_gbt_classifier", "train_mlp",
+        "train_linear", "train_logistic", "train_gbt", "train_gbt_classifier", "train_mlp",
         "train_one_step", "train_two_step", "score_regression", "score_classifier", "feature_importance", "predict_two_step",
     }
 
