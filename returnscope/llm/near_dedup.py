@@ -6,9 +6,7 @@
    class that meets the most others in all its buckets, as an original does among its edited copies.
    Candidates are confirmed on the full shingle sets.
 3. A star can miss a link between two of its rays. So the classes of buckets that still hold several
-   components are taken up again: pair by pair across components, if those pairs are no more than the
-   bucket entries; otherwise by an exact set join, which finds the same links: shingles are ordered by how few of these
-   classes have them, and a similar pair must share one of the first ``n - ceil(s * n) + 1`` of each.
+   components are taken up again by an exact set join: shingles are ordered by how few of these classes have them, and a similar pair must share one of the first ``n - ceil(s * n) + 1`` of each.
    What a bucket has in common without being similar, a passage say, comes last in that order. Only
    pairs across components are compared; inside a component no further link matters.
 4. Connected components over the confirmed links.
@@ -187,24 +185,11 @@ def _missed(
     """Pairs of different components that the stars left open; None if no bucket holds two components."""
     labels = found.select(F.col("node").alias("id"), "component")
     placed = shared.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    held = placed.groupBy("bucket", "component").agg(F.count("*").alias("m"))
-    per_bucket = held.groupBy("bucket").agg(
-        F.count("*").alias("parts"),
-        ((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("pairs"),
-        F.max_by("component", F.struct("m", "component")).alias("main"),
-    )
-    mixed = stage(per_bucket.filter("parts > 1"), "mixed_buckets")
-    pairs = mixed.agg(F.sum("pairs")).first()[0]
-    if not pairs:
+    parts = placed.groupBy("bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
+    mixed = stage(parts.filter("c1 != c2").select("bucket"), "mixed_buckets")
+    if mixed.isEmpty():
         return None
-    if pairs <= shared.count():
-        rows = placed.join(mixed.select("bucket", "main"), "bucket")
-        one = rows.filter("component != main").select("bucket", F.col("id").alias("x"), F.col("component").alias("cx"))
-        two = rows.select("bucket", F.col("id").alias("y"), F.col("component").alias("cy"), "main")
-        across = one.join(two, "bucket").filter((F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))))
-        direct = across.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-        return stage(direct.join(compared, ["a", "b"], "left_anti"), "pairs_across")
-    open_ids = stage(placed.join(mixed.select("bucket"), "bucket", "left_semi").select("id", "component").distinct(), "open_classes")
+    open_ids = stage(placed.join(mixed, "bucket", "left_semi").select("id", "component").distinct(), "open_classes")
     sets = texts.join(open_ids.select("id"), "id", "left_semi").select("id", "text").mapInArrow(_sets(kind, k), "id long, own array<long>, parity array<long>")
     sets = stage(sets.withColumn("n", F.size("own").cast("long")), "open_sets")
     tokens = sets.select("id", F.explode("own").alias("token"))
