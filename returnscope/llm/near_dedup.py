@@ -195,7 +195,8 @@ def _missed(
     tokens = sets.select("id", F.explode("own").alias("token"))
     common = tokens.groupBy("token").agg(F.count("*").alias("df"))
     # A shingle of one class comes first in that order and meets nothing, so the rest is ranked behind it.
-    ordered = tokens.join(common.filter("df > 1"), "token")
+    # Written, so that the shuffles behind it are gone before the next one.
+    ordered = stage(tokens.join(common.filter("df > 1"), "token").select("id", "token", "df"), "shared_tokens")
     whole = Window.partitionBy("id")
     ranked = ordered.withColumn("r", F.row_number().over(whole.orderBy("df", "token"))).withColumn("s", F.count("*").over(whole))
     behind = ranked.join(sets.select("id", "n"), "id").withColumn("r", F.col("n") - F.col("s") + F.col("r"))
