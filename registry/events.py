@@ -18,7 +18,7 @@ from returnscope.operators.sparse import unfolded
 from returnscope.plans.features import build_features, no_stage, stage
 from returnscope.sources.bindings import web_export
 from returnscope.sources.export import EventFrames, explode_items, within_dates
-from returnscope.sources.tables import drop_tables, read_table, stage_path, write_table
+from returnscope.sources.tables import drop_tables, path_exists, read_table, stage_path, table_location, write_table
 
 RATE = 6
 # Jobs that read the flat frames many times.
@@ -327,7 +327,9 @@ def _export_queries() -> dict[str, Query]:
         kept, gone = "returnscope_training_web_events", "returnscope_training_transaction_lookup"
         write_table(_web_events(frames, lookups), kept, path=stage_path(s, kept))
         write_table(lookups.transactions, gone, path=stage_path(s, gone))
-        drop_tables(s, [kept, gone], keep=[kept])
+        files = table_location(s, gone)
+        if drop_tables(s, [kept, gone], keep=[kept]) != [gone] or path_exists(s, files):
+            raise RuntimeError(f"{gone} or its files are still there")
         return read_table(s, kept)
 
     return {

@@ -17,7 +17,7 @@ from returnscope.plans.models import predict_two_steps, train_one_step, train_tw
 from returnscope.plans.preprocess import FittedPreprocessing, prepare_prediction, prepare_training
 from returnscope.sources.bindings import order_lines, table
 from returnscope.sources.columns import clean_column_names, sink_safe_columns
-from returnscope.sources.tables import limited, read_table, stage, stage_path, table_exists, write_table
+from returnscope.sources.tables import drop_tables, limited, read_table, stage, stage_path, write_table
 
 IDS = ["transaction_id", "transaction_date"]
 LABELS = Labels()
@@ -207,14 +207,13 @@ def _customers(s: SparkSession, d: str) -> DataFrame:
 
 
 def _read_back(s: SparkSession, d: str) -> DataFrame:
-    """Written, replaced and extended: the customers twice."""
+    """Written, replaced by rows derived from the old ones, and extended: the customers twice."""
     name = "returnscope_customers"
-    path = stage_path(s, name)
+    drop_tables(s, [name])
     customers = table(s, d, "customer").select("c_custkey", "c_mktsegment")
-    if table_exists(s, name):
-        s.sql(f"DROP TABLE {name}")
-    write_table(customers, name, path=path)
-    write_table(customers, name, append=True, path=path)
+    write_table(customers.unionByName(customers), name)
+    write_table(read_table(s, name).distinct(), name)
+    write_table(customers, name, append=True)
     return read_table(s, name)
 
 

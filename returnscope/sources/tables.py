@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,16 +25,49 @@ def limited(df: DataFrame, limit: int | None = None, order_by: Sequence[str] = (
     return df if not limit else df.limit(limit)
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    """Folder that holds a table's files."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
 def write_table(
     df: DataFrame, name: str, append: bool = False, bucket_by: Sequence[str] = (), buckets: int = 0, path: str | None = None
 ) -> None:
-    """Replace (default) or extend a table; bucketing keeps later key joins free of a shuffle."""
-    writer = df.write.mode("append" if append else "overwrite").format("parquet")
+    """Replace (default) or extend a table; bucketing keeps later key joins free of a shuffle.
+
+    A replacement is written to a fresh folder under ``path`` (the shared folder by default) before the
+    table is pointed at it, and the old files go last. A write that fails thus leaves the old table as it
+    was, and the new rows may be derived from the old ones. Bucketed tables are replaced by Spark itself.
+    """
+    spark = df.sparkSession
     if bucket_by and buckets:
-        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
+        mode = "append" if append else "overwrite"
+        writer = df.write.mode(mode).format("parquet").bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+        (writer.option("path", path) if path else writer).saveAsTable(name)
+        return
+    if append and table_exists(spark, name):
+        df.select(*spark.table(name).columns).write.mode("append").format("parquet").insertInto(name)
+        return
+    fresh = f"{path or stage_path(spark, name)}/v-{uuid.uuid4().hex[:12]}"
+    try:
+        df.write.mode("errorifexists").parquet(fresh)
+    except Exception:
+        delete_path(spark, fresh)
+        raise
+    old = None
+    if table_exists(spark, name):
+        old = table_location(spark, name)
+        same = spark.table(name).schema.simpleString() == df.schema.simpleString()
+        if same:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{fresh}'")
+            spark.catalog.refreshTable(name)
+        else:
+            spark.sql(f"DROP TABLE {name}")
+    if old is None or not same:
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{fresh}'")
+    if old is not None:
+        delete_path(spark, old)
 
 
 def write_files(df: DataFrame, path: str, append: bool = False, partition_by: Sequence[str] = ()) -> None:
@@ -48,7 +82,7 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 
 def drop_tables(spark: SparkSession, names: Iterable[str], keep: Iterable[str] = ()) -> list[str]:
-    """Drop the named tables if present, except those in ``keep``; returns what was dropped.
+    """Drop the named tables if present, with their files, except those in ``keep``; returns what was dropped.
 
     The training run keeps its event table, which serves as the vocabulary of later predictions.
     """
@@ -56,11 +90,19 @@ def drop_tables(spark: SparkSession, names: Iterable[str], keep: Iterable[str] =
     dropped = []
     for name in names:
         if name not in kept and table_exists(spark, name):
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            location = table_location(spark, name)
+            spark.sql(f"DROP TABLE {name}")
+            # An external table's files stay behind otherwise.
+            delete_path(spark, location)
             dropped.append(name)
     return dropped
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def read_csv(spark: SparkSession, path: str, schema: str, date_format: str = "yyyy-MM-dd") -> DataFrame:
     return spark.read.csv(path, header=True, schema=schema, nullValue="n/a", dateFormat=date_format)
 
@@ -122,6 +164,16 @@ def release_staged(spark: SparkSession, paths: Iterable[str] | None = None) -> l
     return gone
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Whatever is staged inside is deleted at the end, also after a failure; for runs that write their results to tables."""
+    before = set(staged_paths(spark))
+    try:
+        yield
+    finally:
+        release_staged(spark, [p for p in staged_paths(spark) if p not in before])
+
+
 def no_stage(df: DataFrame, name: str) -> DataFrame:
     """Stand-in for :func:`stage` that keeps everything in one lazy plan."""
     return df
