@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registry.base import SOURCES, WEB_RECENT, Query, event_query, table_query
@@ -16,6 +18,7 @@ from returnscope.operators import lookups as keys
 from returnscope.operators.lookups import Lookups
 from returnscope.operators.sparse import unfolded
 from returnscope.plans.features import build_features, no_stage, stage
+from returnscope.plans.run import Place, forget, prediction_run, read_result, trained_segments, training_log, training_run
 from returnscope.sources.bindings import web_export
 from returnscope.sources.export import EventFrames, explode_items, within_dates
 from returnscope.sources.tables import drop_tables, path_exists, read_table, stage_path, table_location, write_table
@@ -295,6 +298,9 @@ def _event_queries() -> dict[str, Query]:
     return q
 
 
+_trained: dict[tuple[str, str], Place] = {}
+
+
 def _export_queries() -> dict[str, Query]:
     """Scans of the nested export itself."""
     def flat(export: DataFrame) -> DataFrame:
@@ -320,6 +326,35 @@ def _export_queries() -> dict[str, Query]:
     def windowed(s, d):
         return flat(within_dates(web_export(s, d), WEB_RECENT.start, WEB_RECENT.end))
 
+    def trained(s: SparkSession, d: str) -> Place:
+        """A run over the whole window, trained once a session for each folder of tables."""
+        run = (s.sparkContext.applicationId, d)
+        if run not in _trained:
+            place = Place(stage_path(s, "models"), f"returnscope_run{len(_trained)}")
+            forget(s, place)
+            training_run(SOURCES["web"].frames(s, d), SOURCES["web"].window, place)
+            _trained[run] = place
+        return _trained[run]
+
+    def ready(segment: str):
+        """Keys, label and split of a segment's model-ready rows, read back by name."""
+        def run(s, d):
+            return read_result(s, trained(s, d), segment, "refund_value", "ml_ready").select(*TRANSACTION_KEYS, "refund_value", "train_test")
+
+        return run
+
+    def stored(s, d):
+        """Split metrics and tiers of both segments, read back by name."""
+        place, parts = trained(s, d), []
+        for segment in trained_segments(s, place):
+            tiers, metrics = (read_result(s, place, segment, "refund_value", kind) for kind in ("tiers", "split_metrics"))
+            parts.append(tiers.join(metrics, "train_test").withColumn("segment", F.lit(segment)))
+        return reduce(DataFrame.unionByName, parts)
+
+    def daily(s, d):
+        """Trained on the whole window, predicted for its last days."""
+        return prediction_run(SOURCES["web_recent"].frames(s, d), SOURCES["web_recent"].window, trained(s, d))
+
     def cleanup(s, d):
         """Write the event table and an intermediate, drop all but the kept vocabulary table."""
         frames = SOURCES["web"].frames(s, d)
@@ -344,6 +379,11 @@ def _export_queries() -> dict[str, Query]:
                FROM clicks c JOIN (SELECT unnest(range(3)) AS i) s ON s.i < c.k % 4 WHERE c.purchase""",
             blocks=WEB,
         ),
+        "training_log": table_query(lambda s, d: training_log(s, trained(s, d)), None),
+        "ml_ready_existing": table_query(ready("existing"), None),
+        "ml_ready_first_purchase": table_query(ready("first_purchase"), None),
+        "stored_results": table_query(stored, None),
+        "daily_prediction": table_query(daily, None),
         "cleanup": Query(cleanup_rows(cleanup), event_query("web", _web_events, "SELECT * FROM f_events", {"event_length_in_seconds": 3}).sql),
     }
 

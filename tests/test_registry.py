@@ -74,6 +74,7 @@ def test_only_fitted_models_lack_sql():
     assert without <= {
         "train_linear", "train_logistic", "train_gbt", "train_gbt_classifier", "train_mlp",
         "train_one_step", "train_two_step", "score_regression", "score_classifier", "feature_importance", "predict_two_step",
+        "training_log", "ml_ready_existing", "ml_ready_first_purchase", "stored_results", "daily_prediction",
     }
 
 
