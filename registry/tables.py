@@ -17,7 +17,8 @@ from returnscope.plans.models import predict_two_steps, train_one_step, train_tw
 from returnscope.plans.preprocess import FittedPreprocessing, prepare_prediction, prepare_training
 from returnscope.sources.bindings import order_lines, table
 from returnscope.sources.columns import clean_column_names, sink_safe_columns
-from returnscope.sources.tables import drop_tables, limited, read_table, stage, stage_path, write_table
+from returnscope.streaming.daily_scoring import arriving_rows, score_arrivals
+from returnscope.sources.tables import drop_tables, limited, read_csv, read_table, stage, stage_path, write_table
 
 IDS = ["transaction_id", "transaction_date"]
 LABELS = Labels()
@@ -284,6 +285,28 @@ def _line(s: SparkSession, d: str) -> DataFrame:
     return modeling.score_regression(model.pipeline, rows, "refund_value")
 
 
+def _streamed(s: SparkSession, d: str) -> DataFrame:
+    """The same line's predictions, made as rows arrive in a folder: half of them, then the rest, each scored once."""
+    rows = _one_feature(s, d)
+    space = modeling.SearchSpace(l1=(0, 0), l2=(0, 0), trials=1)
+    model = modeling.train(rows, "refund_value", ModelFamily.LINEAR_REGRESSION, space).pipeline
+    place = stage_path(s, "arrivals")
+    first = F.col("transaction_id").cast("long") % 2 == 0
+    for arrived in (first, ~first):
+        rows.filter(arrived).write.mode("append").parquet(f"{place}/in")
+        score_arrivals(model, arriving_rows(s, f"{place}/in", rows.schema), f"{place}/out", f"{place}/seen").awaitTermination()
+    return s.read.parquet(f"{place}/out")
+
+
+def _from_csv(s: SparkSession, d: str) -> DataFrame:
+    """Orders written as text with missing values marked, and read back by schema."""
+    day, price = F.col("o_orderdate").cast("date"), F.when(F.col("o_orderkey") % 7 > 0, F.col("o_totalprice"))
+    rows = table(s, d, "orders").select("o_orderkey", day.alias("o_orderdate"), price.alias("o_totalprice"), "o_orderpriority")
+    path = stage_path(s, "orders_csv")
+    rows.write.csv(path, header=True, nullValue="n/a", dateFormat="M/d/yyyy")
+    return read_csv(s, path, rows.schema, "M/d/yyyy")
+
+
 def _trial_log(s: SparkSession, d: str) -> DataFrame:
     """The log that a search has written, read back."""
     log = stage_path(s, "trials")
@@ -422,6 +445,7 @@ def queries() -> dict[str, Query]:
     # Sources, sinks and names.
     add("read_limit", lambda s, d: limited(table(s, d, "orders").select("o_orderkey", "o_totalprice"), 100, ["o_orderkey"]), "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 100")
     add("write_table", _read_back, "SELECT c_custkey, c_mktsegment FROM customer UNION ALL SELECT c_custkey, c_mktsegment FROM customer")
+    add("read_csv", _from_csv, "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, CASE WHEN o_orderkey % 7 > 0 THEN o_totalprice END AS o_totalprice, o_orderpriority FROM orders", dates=("o_orderdate",))
     add("clean_column_names", lambda s, d: clean_column_names(_renamed(s, d)), "SELECT o_orderkey AS order_key_o, o_orderstatus AS status_now, o_custkey AS cust_no, o_totalprice AS total_price FROM orders")
     add("sink_safe_columns", lambda s, d: sink_safe_columns(_renamed(s, d)), "SELECT o_orderkey AS order_key__o_, o_orderstatus AS status_now_, o_custkey AS cust__no_, o_totalprice AS total__price_ FROM orders")
 
@@ -557,6 +581,7 @@ def queries() -> dict[str, Query]:
     trial = ["trial_id", "validation_metric", "rounds", "status", "is_optimal"]
     add("trial_log", lambda s, d: _trial_log(s, d).select(*trial), _TRIALS_SQL, {"validation_metric": -1})
     add("best_trial", lambda s, d: modeling.best_trial(_trial_log(s, d)).select(*trial), f"SELECT * FROM ({_TRIALS_SQL}) WHERE is_optimal ORDER BY trial_id LIMIT 1", {"validation_metric": -1})
+    add("stream_scores", _streamed, f"SELECT transaction_id, transaction_date, prediction FROM ({_LINE_SQL})", {"prediction": -2}, day)
     add("train_line", _line, _LINE_SQL, {"prediction": -2}, day)
     add("train_gbt_classifier", _classifier_metrics(ModelFamily.BOOSTED_TREE_CLASSIFIER), None)
     add("models_beat_mean", _families, " UNION ALL ".join(f"SELECT '{f.value}' AS family, true AS beats_mean, 10 AS trials" for f in _FAMILIES))

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -70,13 +71,6 @@ def write_table(
         delete_path(spark, old)
 
 
-def write_files(df: DataFrame, path: str, append: bool = False, partition_by: Sequence[str] = ()) -> None:
-    writer = df.write.mode("append" if append else "overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-
-
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
@@ -103,7 +97,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, date_format: str = "yyyy-MM-dd") -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType | str, date_format: str = "yyyy-MM-dd") -> DataFrame:
+    """Text with a header line, by schema, so that no pass over the file looks for types; ``n/a`` is missing."""
     return spark.read.csv(path, header=True, schema=schema, nullValue="n/a", dateFormat=date_format)
 
 
