@@ -20,7 +20,7 @@ from returnscope.operators.sparse import unfolded
 from returnscope.plans.features import build_features, no_stage, stage
 from returnscope.plans.run import Place, forget, prediction_run, read_result, trained_segments, training_log, training_run
 from returnscope.sources.bindings import web_export
-from returnscope.sources.export import EventFrames, explode_items, within_dates
+from returnscope.sources.export import EventFrames, explode_items, read_export, store_export
 from returnscope.sources.tables import drop_tables, path_exists, read_table, stage_path, table_location, write_table
 
 RATE = 6
@@ -324,7 +324,10 @@ def _export_queries() -> dict[str, Query]:
         return explode_items(export).select("event_date", "event_timestamp", *[F.col(f"item.{c}").alias(c) for c in columns])
 
     def windowed(s, d):
-        return flat(within_dates(web_export(s, d), WEB_RECENT.start, WEB_RECENT.end))
+        """Stored with a folder per day, and read for the days of the window only."""
+        path = stage_path(s, "export")
+        store_export(web_export(s, d), path)
+        return flat(read_export(s, path, WEB_RECENT.start, WEB_RECENT.end))
 
     def trained(s: SparkSession, d: str) -> Place:
         """A run over the whole window, trained once a session for each folder of tables."""

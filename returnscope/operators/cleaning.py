@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -11,7 +12,8 @@ from pyspark.sql import types as T
 
 from returnscope.config import Labels
 from returnscope.functions.strings import UNKNOWN
-from returnscope.operators.ranking import value_ranks
+from returnscope.operators.selecting import order_statistics
+from returnscope.sources.tables import stage
 
 # Text that carries no information.
 INVALID_STRINGS = ["unknown", "Unassigned", "unassigned"]
@@ -166,41 +168,33 @@ QUANTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, standard deviation, minimum, exact quartiles and maximum, one row per statistic.
 
-    Quartiles interpolate linearly between neighbouring values. They are read off the running
-    count of the distinct values, which is distributed, instead of an exact percentile aggregate,
-    which would hold all distinct values of a column in one task.
+    Quartiles interpolate linearly between neighbouring values, which counting passes find for all
+    columns together; a column without values has a count of 0 and nulls. The columns are written once,
+    since every pass reads them.
     """
-    melted = df.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("label"), F.col(c).cast("double").alias("value")) for c in columns]))
-    ).filter(F.col("value").isNotNull())
-    basics = melted.groupBy("label").agg(
-        F.count("*").cast("double").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    ranks = value_ranks(melted, ["label"], "value")
-    picked = []
-    for name, q in QUANTILES.items():
-        position = F.lit(q) * (F.col("total") - 1)
-        below, above = F.floor(position), F.ceil(position)
-
-        def at(index: Column) -> Column:
-            holds = (F.col("before") <= index) & (index < F.col("before") + F.col("ties"))
-            return F.max(F.when(holds, F.col("value")))
-
-        weight = F.max(position - below)
-        picked.append((at(below) + (at(above) - at(below)) * weight).alias(name))
-    stats = basics.join(ranks.groupBy("label").agg(*picked), "label")
+    spark = df.sparkSession
+    numbers = stage(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "described")
+    row = numbers.agg(
+        *[F.struct(F.count(c), F.avg(c), F.stddev_samp(c), F.min(c), F.max(c)).alias(c) for c in columns]
+    ).first()
+    position = {(c, q): share * (row[c][0] - 1) for c in columns for q, share in QUANTILES.items() if row[c][0]}
+    wanted = {c: sorted({e for q in QUANTILES for e in (math.floor(position[c, q]), math.ceil(position[c, q]))}) for c in columns if row[c][0]}
+    found = order_statistics(numbers, wanted, {c: (row[c][3], row[c][4]) for c in wanted})
+    table: dict[str, list[float | None]] = {}
+    for c in columns:
+        n, mean, std, low, high = row[c]
+        quartiles: list[float | None] = []
+        for q in QUANTILES:
+            if not n:
+                quartiles.append(None)
+                continue
+            at = position[c, q]
+            below, above = found[c, math.floor(at)], found[c, math.ceil(at)]
+            quartiles.append(below + (above - below) * (at - math.floor(at)))
+        table[c] = [float(n), mean, std, low, *quartiles, high]
     names = ["count", "mean", "std", "min", *QUANTILES, "max"]
-    rows = F.array(*[F.struct(F.lit(n).alias("statistic"), F.col(f"`{n}`").alias("number")) for n in names])
-    return (
-        stats.select("label", F.inline(rows))
-        .groupBy("statistic")
-        .pivot("label", list(columns))
-        .agg(F.max("number"))
-    )
+    schema = T.StructType([T.StructField("statistic", T.StringType()), *[T.StructField(c, T.DoubleType()) for c in columns]])
+    return spark.createDataFrame([(name, *[table[c][i] for c in columns]) for i, name in enumerate(names)], schema)
 
 
 def clean(

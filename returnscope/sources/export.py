@@ -46,6 +46,15 @@ def read_export(spark: SparkSession, path: str, first: dt.date | None = None, la
     return within_dates(spark.read.schema(EVENT_SCHEMA).parquet(path), first, last)
 
 
+def store_export(export: DataFrame, path: str) -> None:
+    """Write an export with a folder per day, which :func:`read_export` prunes to the days of a window.
+
+    Rows are dealt by ranges of day and time, so a file holds few days and a day with most of the
+    events is cut over many files.
+    """
+    export.repartitionByRange("event_date", "event_timestamp").write.partitionBy("event_date").mode("overwrite").parquet(path)
+
+
 def within_dates(export: DataFrame, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
     """Date-bounded scan; either bound may be open, both are inclusive."""
     if first is not None:

@@ -167,3 +167,19 @@ def test_scan_is_pruned(spark, export, tmp_path):
     plan = flatten(days).events.select("event_day", "purchase_revenue")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
     assert "ReadSchema: struct<ecommerce:struct<purchase_revenue:double>>" in plan
+
+
+def test_a_stored_export_is_read_for_its_days_only(spark, tmp_path):
+    """Whole days are pruned by folder: neither their files nor their rows are read."""
+    from returnscope.sources.bindings import web_export
+    from returnscope.sources.export import store_export
+
+    path, raw = str(tmp_path / "export"), web_export(spark, "/root/testdata/sf0.001")
+    store_export(raw, path)
+    stored = read_export(spark, path)
+    assert stored.select("event_timestamp", "user_id").exceptAll(raw.select("event_timestamp", "user_id")).count() == 0
+    assert stored.count() == raw.count()
+    some = read_export(spark, path, dt.date(2024, 1, 4), dt.date(2024, 1, 6))
+    assert {r[0] for r in some.select("event_date").distinct().collect()} == {"20240104", "20240105", "20240106"}
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "event_date#" in plan.split("PartitionFilters")[1].split("]")[0]
