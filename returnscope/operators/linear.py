@@ -12,15 +12,19 @@ mean loss, the linear model's with its label scaled to unit spread. The intercep
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Tasks get this module's code itself, so that workers need not find the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Buckets in which the partitions' sums are merged.
 BUCKETS = 64
 MAX_STEPS = 30
