@@ -7,6 +7,10 @@ takes are drawn by the cube method: the vector of inclusion probabilities moves
 the balancing constraints (number of documents, volume) until probabilities are 0 or 1. With two
 constraints, any three fractional documents have such a direction: the cross product of the rows.
 
+A document of more than ``GIANT`` of its source's target is a giant. Few small documents can't make up
+for one, so giants fly and land first, at a draw that leaves the others able to reach the target; the
+others' probability is then set to what the giants leave.
+
 The flight runs in blocks of one source, cut by a hash of the id, so a source of any size is many
 blocks. A block leaves at most two documents fractional, and holds back ``HELD`` more; those meet again
 in fewer, larger blocks until a source has one. What that leaves lands by the choice of zeros and ones,
@@ -15,7 +19,8 @@ among all of them, that is closest to the balance.
 Choices come from hashes of ids, not from a random state, so reruns and retried tasks agree.
 
 Cases: a null text has size 0; sizes of 0 are taken like others but add no volume. A null source is a
-source of its own, last in order. Rows that repeat an id are separate documents. Sources without volume
+source of its own, last in order. Rows that repeat an id are separate documents; equal rows are counted,
+numbered and dealt over blocks like others. Sources without volume
 get a target of 0 and none of their documents is taken. An empty table gives an empty mix.
 """
 
@@ -36,6 +41,7 @@ WEIGHTS = (1.0, 2.0, 3.0)
 BLOCK_ROWS = 4_000
 HELD = 10
 EPSILON = 1e-9
+GIANT = 0.02
 
 
 def targets(volumes: DataFrame, weights: Sequence[float], cap: float) -> DataFrame:
@@ -105,12 +111,36 @@ def land(chance: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.round(p)
 
 
+def land_giants(chance: np.ndarray, size: np.ndarray, draw: float, expected: float, room: float) -> np.ndarray:
+    """Zeros and ones for the few fractional giants, drawn by their chances.
+
+    Others of volume ``room`` are expected to give ``expected`` of it and make up for the difference. Only
+    draws that they can make up for count; if there is none, the giants land as close as they can.
+    """
+    p = chance.copy()
+    rest = np.flatnonzero((p > EPSILON) & (p < 1 - EPSILON))
+    bits = (np.arange(1 << len(rest))[:, None] >> np.arange(len(rest))) & 1
+    left = expected - (bits - p[rest]) @ size[rest]
+    fits = (left >= 0) & (left <= room)
+    if not fits.any():
+        return land(chance, size)
+    likely = np.where(fits, np.prod(np.where(bits == 1, p[rest], 1 - p[rest]), axis=1), 0.0)
+    reached = np.cumsum(likely)
+    p[rest] = bits[min(int(np.searchsorted(reached, draw * reached[-1], side="right")), int(np.flatnonzero(fits)[-1]))]
+    return np.round(p)
+
+
 def _flight(final: bool):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["draw", "uid"], kind="stable").reset_index(drop=True)
         size = group["size"].to_numpy(float)
-        chance = fly(group["chance"].to_numpy(float), size, group["draw"].to_numpy(float))
-        return group.assign(chance=land(chance, size) if final else chance)
+        draw = group["draw"].to_numpy(float)
+        chance = fly(group["chance"].to_numpy(float), size, draw)
+        if final and group["giant"].iloc[0]:
+            chance = land_giants(chance, size, float(draw[0]), float(group["expected"].iloc[0]), float(group["room"].iloc[0]))
+        elif final:
+            chance = land(chance, size)
+        return group.assign(chance=chance)
 
     return run
 
@@ -128,44 +158,66 @@ def mix(
     rows = docs.select(
         F.col(id_column).alias("id"), F.xxhash64(text_column).alias("th"), F.col(source_column).cast("string").alias("source"), words.alias("size")
     )
-    rows = stage(rows, "sizes")
-    per_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
-    goals = targets(per_source.select("source", "source_size"), weights, cap)
-    goals = goals.alias("g").join(per_source.select(F.col("source").alias("s"), "n_docs"), F.col("g.source").eqNullSafe(F.col("s"))).drop("s")
+    # Equal rows are interchangeable, so they are numbered by counting them.
+    rows = rows.groupBy("id", "th", "source", "size").agg(F.count("*").alias("n"))
+    rows = rows.withColumn("many", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / 1000).cast("long"))))
+    last = F.least(F.col("n") - 1, F.col("many") * 1000 + 999)
+    rows = stage(rows.withColumn("copy", F.explode(F.sequence(F.col("many") * 1000, last))).drop("n", "many"), "sizes")
+    per_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    goals = targets(per_source, weights, cap)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     goals = stage(goals.withColumn("rate", rate), "targets")
 
     # A row per source, joined to the rows of a hot source as a broadcast when small; Spark checks its size.
     known = rows.alias("r").join(goals.alias("g"), F.col("r.source").eqNullSafe(F.col("g.source")))
     whole = F.floor(F.col("rate") + EPSILON)
-    placed = known.select(
-        "r.*", "rank", "source_size", "target", whole.alias("whole"),
-        F.greatest(F.col("rate") - whole, F.lit(0.0)).alias("chance"),
-        _block(F.col("n_docs"), block_rows, seed).alias("block"),
-        F.ceil(F.col("n_docs") / block_rows).cast("long").alias("blocks"),
-        _uniform("id", "th", F.lit(seed)).alias("draw"),
+    chance = F.greatest(F.col("rate") - whole, F.lit(0.0))
+    known = known.select(
+        "r.*", "rank", "source_size", "target", whole.alias("whole"), chance.alias("chance"), (F.col("size") > GIANT * F.col("target")).alias("giant"),
+        _uniform("id", "th", "copy", F.lit(seed)).alias("draw"),
     )
-    # Rows are told apart by block and place; equal rows are interchangeable.
-    place = Window.partitionBy("rank", "block").orderBy("draw", "id", "th")
+    parts = known.groupBy("rank").agg(
+        F.count_if("giant").alias("n_giants"), F.count_if(~F.col("giant")).alias("n_others"),
+        F.sum(F.when(~F.col("giant"), F.col("size")).otherwise(0)).cast("double").alias("room"),
+        F.sum(F.when(F.col("giant"), F.col("size") * F.col("chance")).otherwise(0.0)).alias("giants_expected"),
+    )
+    parts = stage(parts, "parts")
+    n_docs = F.when(F.col("giant"), F.col("n_giants")).otherwise(F.col("n_others"))
+    placed = known.join(parts, "rank").withColumns({
+        "block": _block(n_docs, block_rows, seed),
+        "blocks": F.ceil(n_docs / block_rows).cast("long"),
+        "expected": F.col("room") * F.col("chance"),
+    }).drop("n_giants", "n_others")
+    # Rows are told apart by block and place.
+    place = Window.partitionBy("rank", "giant", "block").orderBy("draw", "id", "th", "copy")
     placed = stage(placed.withColumn("uid", F.row_number().over(place).cast("long")), "placed")
-    fractional = placed.select("rank", "block", "blocks", "uid", "size", "chance", "draw")
-    flown = stage(_fly_blocks(fractional.withColumn("home", F.col("block")), False), "flown")
-    settled = flown.select("rank", F.col("home").alias("block"), "uid", "chance")
-    open_rows = flown.filter((F.col("chance") > EPSILON) & (F.col("chance") < 1 - EPSILON))
-    landed = _land(open_rows, block_rows)
-    joined = placed.drop("chance").join(settled, ["rank", "block", "uid"])
-    if landed is not None:
-        joined = joined.join(landed, ["rank", "block", "uid"], "left").withColumn("chance", F.coalesce("landed", "chance"))
-    copies = (F.col("whole") + F.round("chance")).cast("long")
+    giants = placed.filter("giant")
+    decided = _decided(giants, block_rows)
+    given = giants.join(decided, ["rank", "block", "uid"]).groupBy("rank").agg(F.sum(F.col("size") * F.col("landed")).alias("given"))
+    lowered = (F.col("expected") + F.col("giants_expected") - F.coalesce("given", F.lit(0.0))) / F.col("room")
+    changed = F.col("given").isNotNull() & (F.col("room") > 0)
+    others = placed.filter("NOT giant").join(given, "rank", "left")
+    others = stage(others.withColumn("chance", F.when(changed, F.least(F.greatest(lowered, F.lit(0.0)), F.lit(1.0))).otherwise(F.col("chance"))).drop("given"), "others")
+    joined = giants.join(decided, ["rank", "block", "uid"]).unionByName(others.join(_decided(others, block_rows), ["rank", "block", "uid"]))
+    copies = (F.col("whole") + F.col("landed")).cast("long")
     return joined.select("id", "th", "source", "size", F.coalesce("source_size", F.lit(0)).alias("source_size"), "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
+def _decided(placed: DataFrame, block_rows: int) -> DataFrame:
+    """``rank, block, uid, landed`` of every row: 1 where it is taken once more, else 0."""
+    flown = stage(_fly_blocks(placed.withColumn("home", F.col("block")), False), "flown")
+    free = (F.col("chance") > EPSILON) & (F.col("chance") < 1 - EPSILON)
+    out = flown.filter(~free).select("rank", F.col("home").alias("block"), "uid", F.round("chance").alias("landed"))
+    landed = _land(flown.filter(free), block_rows)
+    return out if landed is None else out.unionByName(landed.withColumn("landed", F.round("landed")))
+
+
 def _block(n_docs, block_rows: int, seed: int):
     blocks = F.ceil(n_docs / block_rows).cast("long")
-    return F.pmod(F.xxhash64("id", "th", F.lit(seed + 1)), blocks)
+    return F.pmod(F.xxhash64("id", "th", "copy", F.lit(seed + 1)), blocks)
 
 
-FLOWN = "rank long, block long, blocks long, uid long, size long, chance double, draw double, home long"
+FLOWN = "rank long, block long, blocks long, uid long, size long, chance double, draw double, home long, giant boolean, expected double, room double"
 
 
 def _fly_blocks(rows: DataFrame, final: bool) -> DataFrame:

@@ -219,6 +219,35 @@ def test_mix_is_balanced_and_repeatable(spark):
     assert all(r["taken"] <= 3 * r["size"] and r["taken"] == r["copies"] * r["size"] for r in rows)
 
 
+def test_a_giant_is_drawn_first_and_made_up_for(spark):
+    rng = random.Random(8)
+    for seed in range(3):
+        # Source a is half of all and stays at 1 / 3 of its size, a fifth of which is one document.
+        texts = ["w " * 12_000] + [sentence(rng, rng.randrange(20, 300)) for _ in range(300)] + [sentence(rng, 200) for _ in range(700)]
+        docs = documents(spark, texts, sources=["a"] * 301 + ["b"] * 700)
+        rows = mixing.mix(docs, block_rows=100, seed=seed).collect()
+        for source in ("a", "b"):
+            mine = [r for r in rows if r["source"] == source]
+            assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 0.001 * mine[0]["target"]
+
+
+def test_giants_land_only_where_the_others_can_follow():
+    chance, size = np.array([0.3, 1.0, 0.5]), np.array([100.0, 7.0, 60.0])
+    seen = {tuple(mixing.land_giants(chance, size, d, 40.0, 80.0)) for d in np.linspace(0, 0.999, 50)}
+    # The giants are expected to give 60, the others 40 of 80: so the giants must land from 20 to 100.
+    assert seen == {(0.0, 1.0, 1.0), (1.0, 1.0, 0.0)}
+    assert tuple(mixing.land_giants(chance, size, 0.5, 0.0, 0.0)) == (0.0, 1.0, 1.0)
+
+
+def test_equal_rows_are_dealt_over_blocks(spark):
+    docs = documents(spark, ["a b c"] * 2500 + ["x y"] * 40, ids=[7] * 2500 + list(range(100, 140)), sources=["p"] * 2500 + ["q"] * 40)
+    rows = mixing.mix(docs, block_rows=100).collect()
+    assert len(rows) == 2540
+    for source in ("p", "q"):
+        mine = [r for r in rows if r["source"] == source]
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 3
+
+
 # --- classifiers ------------------------------------------------------------------------------
 
 
