@@ -7,8 +7,8 @@ takes are drawn by the cube method: the vector of inclusion probabilities moves
 the balancing constraints (number of documents, volume) until probabilities are 0 or 1. With two
 constraints, any three fractional documents have such a direction: the cross product of the rows.
 
-A document of more than ``GIANT`` of its source's target is a giant. Few small documents can't make up
-for one, so giants fly and land first, at a draw that leaves the others able to reach the target; the
+A document of more than ``GIANT`` times its source's mean size is a giant. The few documents that land
+last can't make up for one, so giants fly and land first, at a draw that leaves the others able to reach the target; the
 others' probability is then set to what the giants leave.
 
 The flight runs in blocks of one source, cut by a hash of the id, so a source of any size is many
@@ -41,11 +41,11 @@ WEIGHTS = (1.0, 2.0, 3.0)
 BLOCK_ROWS = 4_000
 HELD = 10
 EPSILON = 1e-9
-GIANT = 0.02
+GIANT = 4
 
 
 def targets(volumes: DataFrame, weights: Sequence[float], cap: float) -> DataFrame:
-    """``source, source_size, target`` from one row per source with its volume.
+    """``volumes``, one row per source with its ``source_size``, with ``rank`` and ``target``.
 
     Sources are few against documents, but not bounded, so the resharing works on the table: each
     round caps the sources whose share is above, which at least one must be or the rounds end.
@@ -66,7 +66,7 @@ def targets(volumes: DataFrame, weights: Sequence[float], cap: float) -> DataFra
             break
         level = risen
     share = F.lit(0.0) if level is None else F.least(F.col("weight") * level, F.col("limit"))
-    return table.select("source", "rank", "source_size", share.cast("double").alias("target"))
+    return table.select(*volumes.columns, "rank", share.cast("double").alias("target"))
 
 
 def fly(chance: np.ndarray, size: np.ndarray, draw: np.ndarray) -> np.ndarray:
@@ -163,7 +163,7 @@ def mix(
     rows = rows.withColumn("many", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / 1000).cast("long"))))
     last = F.least(F.col("n") - 1, F.col("many") * 1000 + 999)
     rows = stage(rows.withColumn("copy", F.explode(F.sequence(F.col("many") * 1000, last))).drop("n", "many"), "sizes")
-    per_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    per_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.avg("size").alias("mean_size"))
     goals = targets(per_source, weights, cap)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     goals = stage(goals.withColumn("rate", rate), "targets")
@@ -173,7 +173,7 @@ def mix(
     whole = F.floor(F.col("rate") + EPSILON)
     chance = F.greatest(F.col("rate") - whole, F.lit(0.0))
     known = known.select(
-        "r.*", "rank", "source_size", "target", whole.alias("whole"), chance.alias("chance"), (F.col("size") > GIANT * F.col("target")).alias("giant"),
+        "r.*", "rank", "source_size", "target", whole.alias("whole"), chance.alias("chance"), (F.col("size") > GIANT * F.col("mean_size")).alias("giant"),
         _uniform("id", "th", "copy", F.lit(seed)).alias("draw"),
     )
     parts = known.groupBy("rank").agg(
@@ -194,6 +194,7 @@ def mix(
     giants = placed.filter("giant")
     decided = _decided(giants, block_rows)
     given = giants.join(decided, ["rank", "block", "uid"]).groupBy("rank").agg(F.sum(F.col("size") * F.col("landed")).alias("given"))
+    given = stage(given, "given")
     lowered = (F.col("expected") + F.col("giants_expected") - F.coalesce("given", F.lit(0.0))) / F.col("room")
     changed = F.col("given").isNotNull() & (F.col("room") > 0)
     others = placed.filter("NOT giant").join(given, "rank", "left")
