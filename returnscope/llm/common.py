@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from returnscope.sources.tables import stage
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # White space as the contracts state it: space and the five ASCII controls from tab to return.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -58,3 +60,22 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, hot: list[tuple[obj
     spread = left.join(table, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*salt_by), parts.cast("long")).cast("int")).drop("_parts")
     repeated = right.join(table, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
     return spread.join(repeated, [key, "_salt"], how).drop("_salt")
+
+
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """``key`` of all keys with several rows, nulls left out; written, as it is mostly empty."""
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    return stage(counts.filter("_n > 1").select(key), "repeated_keys")
+
+
+def with_spare_numbers(items: DataFrame, columns: list[str], taken: DataFrame) -> DataFrame:
+    """``items``, distinct by ``columns``, each with a ``node`` of its own that isn't among the numbers of ``taken``.
+
+    Nodes are hashes; the seed is changed until none meets another or a taken number.
+    """
+    used, seed = taken.select(F.col(taken.columns[0]).alias("node")), 0
+    while True:
+        named = stage(items.withColumn("node", F.xxhash64(*columns, F.lit(seed))), "spare_numbers")
+        if named.groupBy("node").count().filter("count > 1").isEmpty() and named.join(used, "node", "left_semi").isEmpty():
+            return named
+        seed += 1

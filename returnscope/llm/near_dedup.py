@@ -18,7 +18,8 @@ nothing is capped. With ``bands`` of ``rows`` bins, a pair of similarity s share
 probability (1 - s**rows)**bands: 5e-8 for 0.8 with the defaults.
 
 Cases: texts without shingles (null, empty, white space) are linked with nothing, and so are rows
-without an id. Rows that repeat an id are one node. Empty tables give empty results.
+without an id. Rows that repeat an id are one document with several texts: each of the texts is compared, and all
+links are links of the id. Ids are whole numbers. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from returnscope.llm import shingles
+from returnscope.llm.common import hot_keys, repeated_keys, salted_join, with_spare_numbers
 from returnscope.llm.components import components
 from returnscope.sources.tables import release_staged, stage, staged_paths
 
@@ -82,14 +84,37 @@ def near_groups(
     percent: int = 80, bands: int = 32, rows: int = 4,
 ) -> DataFrame:
     """``id, size, component`` for every row: size of its shingle set, smallest id reachable by links."""
-    spark = docs.sparkSession
+    source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
+    repeated = repeated_keys(source.select("id"), "id")
+    if repeated.isEmpty():
+        return groups_of_numbered(source, kind, k, percent, bands, rows)
+    # Each text of a repeated id gets a number of its own; the components of an id's numbers are joined afterwards.
+    sha = F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha")
+    texts = source.join(repeated, "id", "left_semi").select("id", sha).distinct()
+    texts = with_spare_numbers(texts, ["id", "sha"], source.select("id"))
+    numbered = source.select("id", "text", sha).join(texts, ["id", "sha"], "left").select(F.coalesce("node", "id").alias("id"), "text")
+    grouped = groups_of_numbered(numbered, kind, k, percent, bands, rows).withColumnRenamed("id", "node")
+    real = grouped.join(texts.select("node", "id"), "node", "left").select(F.coalesce("id", "node").alias("id"), "size", "component")
+    real = stage(real, "rows_of_repeated")
+    first = real.filter(F.col("id").isNotNull()).groupBy("id").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a != b")
+    edges = real.join(first.select("id", "a"), "id").select("a", F.col("component").alias("b")).distinct()
+    joined = components(edges, "a", "b").select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    whole = real.join(joined, "component", "left").select("id", "size", F.coalesce("whole", "component").alias("component"))
+    whole = stage(whole, "joined_by_id")
+    smallest = whole.groupBy("component").agg(F.min("id").alias("smallest"))
+    out = salted_join(whole.filter("component IS NOT NULL"), smallest, "component", hot_keys(whole, "component"), ["id", "size"])
+    return out.select("id", "size", F.col("smallest").alias("component")).unionByName(whole.filter("component IS NULL"))
+
+
+def groups_of_numbered(source: DataFrame, kind: str, k: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """``near_groups`` of ``id, text`` where equal ids have equal texts."""
+    spark = source.sparkSession
     earlier = set(staged_paths(spark))
 
     def release(*keep: str) -> None:
         """Delete what has been staged here, other than tables of the given names."""
         release_staged(spark, [p for p in staged_paths(spark) if p not in earlier and p.rsplit("/", 1)[1].rsplit("-", 1)[0] not in keep])
 
-    source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     signed = stage(source.mapInArrow(_signer(kind, k, bands, rows), SIGNATURE), "signatures")
     usable = signed.filter((F.col("size") > 0) & F.col("id").isNotNull())
     classes = usable.groupBy("key1", "key2", "size").agg(F.min("id").alias("rep"))
@@ -223,7 +248,7 @@ def _missed(
 
 
 def one_per_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
-    """The rows that stay, with the input's columns: the smallest id of each group, and rows without an id."""
+    """The rows that stay, with the input's columns: the smallest id of each group, with all rows that bear it, and rows without an id."""
     groups = near_groups(docs, id_column, text_column, **options)
     gone = groups.filter(F.col("id").isNotNull() & (F.col("id") != F.col("component"))).select(F.col("id").alias("_gone")).distinct()
     return docs.join(gone, F.col(f"`{id_column}`") == F.col("_gone"), "left_anti")

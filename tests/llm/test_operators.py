@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from returnscope.llm import (
-    components, decontamination, exact_dedup, html_text, line_dedup, mixing, near_dedup, quality, shingles, token_counts, toxicity,
+    common, components, decontamination, exact_dedup, html_text, line_dedup, mixing, near_dedup, quality, shingles, token_counts, toxicity,
     url_filter,
 )
 
@@ -146,6 +146,16 @@ def test_one_per_group_keeps_columns_and_rows_without_id(spark):
     assert sorted((str(r["doc_id"]) for r in kept.collect())) == ["1", "3", "4", "None"]
 
 
+def test_repeated_ids_are_one_document_with_all_links(spark):
+    one, two = "a b c d e f g", "p q r s t u v"
+    rows = near_dedup.near_groups(documents(spark, [one, two, two], ids=[1, 1, 0])).collect()
+    assert sorted((r["id"], r["component"]) for r in rows) == [(0, 0), (1, 0), (1, 0)]
+    long_text = " ".join(f"w{i}" for i in range(60))
+    texts = ["another short text of words", long_text + " end", long_text, "", None, "q", None]
+    rows = near_dedup.near_groups(documents(spark, texts, ids=[5, 5, 3, 8, 3, None, None])).collect()
+    assert sorted((str(r["id"]), str(r["component"])) for r in rows) == [("3", "3"), ("3", "3"), ("5", "3"), ("5", "3"), ("8", "8"), ("None", "None"), ("None", "None")]
+
+
 # --- benchmark passages -----------------------------------------------------------------------
 
 
@@ -462,6 +472,57 @@ def test_similar_lines_keep_the_first(spark):
     assert got == {3: texts[0], 5: "something else entirely", 4: "", 1: "", 2: ""}
 
 
+def similar_lines(a, b):
+    def shingled(x):
+        return {x[i : i + line_dedup.SHINGLE] for i in range(max(1, len(x) - line_dedup.SHINGLE + 1))}
+
+    x, y = shingled(a), shingled(b)
+    return 100 * len(x & y) >= line_dedup.PERCENT * len(x | y)
+
+
+def test_lines_agree_with_all_pairs(spark):
+    rng = random.Random(12)
+    base = [sentence(rng, rng.randrange(6, 25), 300) for _ in range(12)]
+    edited = [line[:i] + "#" + line[i + 1 :] for line in base for i in rng.sample(range(len(line)), 4)]
+    pool = base + edited + [line + " and on" for line in edited[:20]] + ["x", "x y", ""]
+    texts = ["\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 8))) for _ in range(60)]
+    ids = [rng.choice([None, *range(25)]) for _ in texts]
+    texts, ids = texts + texts[:5], ids + ids[:5]
+    got = line_dedup.line_groups(documents(spark, texts, ids)).collect()
+    places = [(i is None, -1 if i is None else i, hashlib.sha256(t.encode()).hexdigest() if i is None or ids.count(i) > 1 else "", n, line)
+              for i, t in zip(ids, texts, strict=True) for n, line in enumerate(t.split("\n")) if line]
+    leader = {line: line for line in {p[-1] for p in places}}
+    for x in sorted(leader):
+        for y in sorted(leader):
+            if leader[x] != leader[y] and similar_lines(x, y):
+                leader = {k: leader[x] if v == leader[y] else v for k, v in leader.items()}
+    groups = {}
+    for p in sorted(places):
+        groups.setdefault(leader[p[-1]], []).append(p[:4])
+    want = sorted((g[0][1], g[0][3], len(g)) for g in groups.values())
+    found = {}
+    for r in got:
+        found.setdefault(r["component"], []).append(r)
+    assert len(got) == len(places)
+    assert sorted((-1 if k["id"] is None else k["id"], k["line_no"], len(g)) for g in found.values() for k in g if k["kept"]) == want
+
+
+def test_repeated_rows_lose_their_lines_to_the_first(spark):
+    docs = documents(spark, ["a line of text"] * 5 + ["a line of text\nmore of it"], ids=[1, 1, None, None, None, 1])
+    rows = line_dedup.line_groups(docs).collect()
+    assert len(rows) == 7 and sum(r["kept"] for r in rows) == 2
+    assert all(r["id"] == 1 for r in rows if r["kept"])
+    texts = sorted((str(r["id"]), r["text"]) for r in line_dedup.without_repeats(docs).collect())
+    assert len(texts) == 6 and sorted(t for _, t in texts if t) in (["a line of text", "more of it"], ["a line of text\nmore of it"])
+
+
+def test_classes_that_share_a_number_get_others(spark):
+    items = spark.createDataFrame([(1, "a"), (1, "b")], "key long, name string")
+    taken = items.select("key").unionByName(items.select(F.xxhash64("key", "name", F.lit(0)).alias("key")))
+    nodes = [r["node"] for r in common.with_spare_numbers(items, ["key", "name"], taken).collect()]
+    assert len(set(nodes)) == 2 and not set(nodes) & {r["key"] for r in taken.collect()}
+
+
 # --- all of them ------------------------------------------------------------------------------
 
 
