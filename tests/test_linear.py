@@ -203,3 +203,17 @@ def test_the_threshold_decides_in_training_and_serving(rows):
         pairs = report.scores.select("transaction_id", F.col("prediction").alias("p")).join(served, "transaction_id")
         assert pairs.count() == rows.count() and pairs.filter("abs(p - prediction) > 1e-9").count() == 0
     assert pairs.filter("prediction = 0").count() > 0
+
+
+def test_one_file_of_rows_is_fitted_by_many_tasks(spark):
+    few = spark.range(0, 100, 1, 1).select(F.col("id").cast("string").alias("transaction_id"), F.lit("2024-01-01").cast("date").alias("transaction_date"), (F.col("id") + 0.0).alias("x"), F.col("id").alias("y"))
+    many = few.limit(0).union(spark.range(0, 4 * modeling.TASK_ROWS, 1, 1).select(F.col("id").cast("string"), F.lit("2024-01-01").cast("date"), F.col("id") + 0.0, F.col("id"))).coalesce(1)
+    parts = [modeling._vectors(rows, "y", ["x"], 42)[1].rdd.getNumPartitions() for rows in (few, many)]
+    assert parts == [1, 4]
+
+
+def test_importance_keeps_no_block_beside_its_rows(spark):
+    rows = spark.range(64).select(F.col("id").cast("string").alias("transaction_id"), F.lit("2024-01-01").cast("date").alias("transaction_date"), F.lit("train").alias("train_test"), (F.col("id") + 0.0).alias("x"), (F.col("id") * 2.0).alias("y"))
+    model = modeling.train(rows, "y", ModelFamily.LINEAR_REGRESSION, modeling.SearchSpace(l1=(0, 0), l2=(0, 0), trials=1))
+    plan = modeling.permutation_importance(model, rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Generate" in line and "posexplode(rows" in line]
