@@ -82,3 +82,25 @@ def test_a_join_on_one_heavy_key_is_spread(without_adaption, how):
 def test_only_left_rows_can_be_spread(spark):
     with pytest.raises(ValueError, match="inner and left"):
         spread_join(spark.range(1), spark.range(1), ["id"], "full")
+
+
+def test_even_keys_are_joined_without_parts(without_adaption):
+    left = without_adaption.range(4_000).select((F.col("id") % 2_000).alias("k"), "id")
+    right = without_adaption.range(2_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    joined = spread_join(left, right, ["k"], "left")
+    assert joined.columns == ["k", "id", "v"] and joined.count() == 4_000 and joined.filter("v <> 2 * k OR v IS NULL").count() == 0
+    assert "_part" not in joined._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_short_product_history_moves_items_once(without_adaption):
+    from returnscope.operators import features
+
+    days = [(f"2024-01-0{d}", n, 10.0 * d, 1.0 * d) for d in (1, 2, 3) for n in ("a", "b")]
+    daily = without_adaption.createDataFrame(days, "day string, item_name string, item_revenue double, item_refund double").select(
+        F.col("day").cast("date").alias("transaction_date"), "item_name", "item_revenue", "item_refund"
+    )
+    sales = [("2024-01-03", "a", "i"), ("2024-01-03", "a", "i"), ("2024-01-03", "b", "i"), ("2024-01-02", "a", "j")]
+    stats = without_adaption.createDataFrame(sales, "day string, item_name string, item_id string").select(F.col("day").cast("date").alias("transaction_date"), "item_name", "item_id")
+    history = features.past_product_history(stats, daily)
+    assert sorted(map(tuple, history.drop("transaction_date").collect())) == [("i", 6, 6, 9.0, 90.0), ("j", 1, 1, 1.0, 10.0)]
+    assert history._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
