@@ -5,7 +5,7 @@ is solved from them on the driver, whose work depends on the number of features
 gradients and curvatures; each pass serves all trials at once, so a search costs as many passes as its
 slowest trial has Newton steps.
 
-Partitions' sums are merged in buckets before the driver sees them, so it reads a fixed number of rows.
+Partitions' sums are merged in buckets, and the buckets' sums in turn, before the driver sees them, so it reads a row a side.
 Penalties are on standardised features, as in the usual formulation: ``l1 * |w| + l2 / 2 * w^2`` beside the
 mean loss, the linear model's with its label scaled to unit spread. The intercept is free.
 """
@@ -69,18 +69,18 @@ def _arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _merged(parts: DataFrame, add: Callable[[list[dict]], dict]) -> list[dict]:
-    """Partitions' sums, merged by (held, bucket) in tasks and by ``held`` here; at most ``2 * BUCKETS`` rows come."""
+    """Partitions' sums, merged in tasks by (held, bucket) and then by ``held``; at most two rows come, however many partitions there are."""
     schema = parts.schema
     order = [f.name for f in schema.fields]
 
     def merge(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: r["part"])
+        rows = sorted(table.to_pylist(), key=lambda r: (r["bucket"], r["part"]))
         whole = add(rows) | {"held": rows[0]["held"], "bucket": rows[0]["bucket"], "part": rows[0]["part"]}
         return pa.table({c: [whole[c]] for c in order}, schema=table.schema)
 
-    rows = [r.asDict() for r in parts.groupBy("held", "bucket").applyInArrow(merge, schema).collect()]
-    rows.sort(key=lambda r: (r["held"], r["bucket"]))
-    return [add([r for r in rows if r["held"] == held]) | {"held": held} for held in sorted({r["held"] for r in rows})]
+    # The second step takes a row a bucket, so its two groups are small, too.
+    whole = parts.groupBy("held", "bucket").applyInArrow(merge, schema).groupBy("held").applyInArrow(merge, schema)
+    return sorted((r.asDict() for r in whole.collect()), key=lambda r: r["held"])
 
 
 def _place() -> dict[str, int]:

@@ -159,6 +159,11 @@ def test_assembly_keeps_one_row_per_transaction(frames):
     assert rows["e"][0] == 1
 
 
+def test_assembly_broadcasts_no_table_of_transactions(frames):
+    plan = build_features(frames, WINDOW).rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [transaction_id" not in plan and "SortMergeJoin [transaction_id" in plan
+
+
 def test_scan_is_pruned(spark, export, tmp_path):
     path = str(tmp_path / "export")
     export.write.partitionBy("event_date").parquet(path)

@@ -217,3 +217,17 @@ def test_importance_keeps_no_block_beside_its_rows(spark):
     model = modeling.train(rows, "y", ModelFamily.LINEAR_REGRESSION, modeling.SearchSpace(l1=(0, 0), l2=(0, 0), trials=1))
     plan = modeling.permutation_importance(model, rows)._jdf.queryExecution().optimizedPlan().toString()
     assert not [line for line in plan.splitlines() if "Generate" in line and "posexplode(rows" in line]
+
+
+def test_the_driver_reads_a_row_a_side(rows, monkeypatch):
+    """However many partitions there are; each row holds a matrix per trial."""
+    read = []
+    kind = type(rows)
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda df: read.append(collect(df)) or read[-1])
+    x = linear.design(rows.repartition(12), FEATURES, "flag", F.hash("transaction_id") % 2 == 0)
+    sums = linear.newton_sums(x, np.zeros(4), np.ones(4), np.zeros((3, 5)))
+    assert [len(r) for r in read] == [2]
+    assert sums[0]["n"] + sums[1]["n"] == rows.count()
+    one = linear.newton_sums(x.coalesce(1), np.zeros(4), np.ones(4), np.zeros((3, 5)))
+    assert sums[1]["curve"] == pytest.approx(one[1]["curve"])
