@@ -64,6 +64,30 @@ def impute(df: DataFrame) -> DataFrame:
     return df.na.fill({**{c: 0 for c in kinds.numbers}, **{c: UNKNOWN for c in kinds.strings}})
 
 
+def melted_numbers(df: DataFrame, columns: Sequence[str], *keep: Column) -> DataFrame:
+    """``place`` and ``value``, a row for each of the columns, with ``keep`` beside them.
+
+    Sums by place are one small compiled aggregate, where an aggregation with a column each for hundreds
+    of columns takes seconds to plan and compile.
+    """
+    values = F.array(*[F.col(f"`{c}`").cast("double") for c in columns])
+    return df.select(*keep, F.posexplode(values).alias("place", "value"))
+
+
+def named_places(found: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    """``found`` with the columns' names under ``name`` in place of ``place``; columns without rows have nulls."""
+    names = found.sparkSession.range(1).select(F.posexplode(F.array(*[F.lit(c) for c in columns])).alias("place", name))
+    # A row per column, on both sides.
+    return names.join(F.broadcast(found), "place", "left").drop("place")
+
+
+def number_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float | None, float | None]]:
+    """Smallest and largest value of each column; None where it has none."""
+    bounds = melted_numbers(df, columns).groupBy("place").agg(F.min("value"), F.max("value")).collect()
+    found = {columns[r[0]]: (r[1], r[2]) for r in bounds}
+    return {c: found.get(c, (None, None)) for c in columns}
+
+
 def is_invalid_number(column: Column) -> Column:
     """Zero counts as invalid, as does a missing value."""
     return column.isNull() | (column == 0)
@@ -93,9 +117,9 @@ def row_invalid_share(df: DataFrame) -> Column:
 def column_invalid_shares(df: DataFrame) -> DataFrame:
     """(column, invalid rows, share) from a single pass over the data."""
     marks = _invalid_marks(df)
-    counted = df.agg(F.count("*").alias("_rows"), *[F.sum(m).alias(c) for c, m in marks.items()])
-    entries = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("invalid_count")) for c in marks])
-    return counted.select("_rows", F.inline(entries)).select(
+    melted = df.select(F.posexplode(F.array(*marks.values())).alias("place", "mark"))
+    counted = melted.groupBy("place").agg(F.count("*").alias("_rows"), F.sum("mark").alias("invalid_count"))
+    return named_places(counted, list(marks), "column_name").select(
         "column_name", "invalid_count", (F.col("invalid_count") / F.col("_rows")).alias("invalid_share")
     )
 
@@ -149,8 +173,15 @@ def constant_columns(df: DataFrame) -> list[str]:
 
     This avoids counting distinct values of every column, which would multiply the data.
     """
-    bounds = df.agg(F.struct(*[(F.min(c) == F.max(c)).alias(c) for c in df.columns]).alias("same")).first()["same"]
-    return [c for c in df.columns if bounds[c]]
+    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
+    others = [c for c in df.columns if c not in doubles]
+    same = F.min("value") == F.max("value")
+    found = melted_numbers(df, doubles).groupBy("place").agg(same.alias("same")).filter("same").collect() if doubles else []
+    constant = {doubles[r["place"]] for r in found}
+    if others:
+        bounds = df.agg(F.struct(*[(F.min(c) == F.max(c)).alias(c) for c in others]).alias("same")).first()["same"]
+        constant |= {c for c in others if bounds[c]}
+    return [c for c in df.columns if c in constant]
 
 
 def drop_constant_columns(df: DataFrame, ids: Sequence[str], labels: Sequence[str]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from returnscope.config import MAX_VOCABULARY, missing_columns
+from returnscope.operators.cleaning import number_ranges
 from returnscope.sources.columns import clean_name, refuse_clashes
 from returnscope.sources.tables import bounded_levels
 
@@ -32,8 +33,7 @@ class Encoder:
         levels = bounded_levels(train, categorical, limit)
         ranges = {}
         if numeric:
-            row = train.agg(*[F.struct(F.min(c).cast("double"), F.max(c).cast("double")).alias(c) for c in numeric]).first()
-            ranges = {c: (row[c][0], row[c][1]) for c in numeric}
+            ranges = number_ranges(train, numeric)
         refuse_clashes([clean_name(f"cat_{c}_{v}") for c in levels for v in levels[c]] + [clean_name(f"num_{c}") for c in ranges])
         return cls(levels, ranges)
 

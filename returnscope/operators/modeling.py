@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from returnscope.config import SPLIT_COLUMN, TRANSACTION_KEYS, ModelFamily, Split
 from returnscope.functions.hashing import row_hash
 from returnscope.operators import linear
+from returnscope.operators.cleaning import melted_numbers
 from returnscope.operators.search import run_trials
 from returnscope.sources.tables import stage, stage_path
 
@@ -372,8 +373,8 @@ def feature_importance(trained: TrainedModel, df: DataFrame) -> DataFrame:
         weights = trained.model.featureImportances.toArray()
         return spark.createDataFrame([(n, float(w)) for n, w in zip(names, weights, strict=True)], "feature string, attribution double")
     if trained.weights:
-        spread = df.agg(*[F.stddev_samp(F.col(f"`{n}`")).alias(n) for n in names]).first()
-        rows = [(n, abs(w) * float(spread[n] or 0.0)) for n, w in trained.weights.items()]
+        spread = {names[r[0]]: r[1] for r in melted_numbers(df, names).groupBy("place").agg(F.stddev_samp("value")).collect()}
+        rows = [(n, abs(w) * float(spread.get(n) or 0.0)) for n, w in trained.weights.items()]
         return spark.createDataFrame(rows, "feature string, attribution double")
     return permutation_importance(trained, df)
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from returnscope.config import LabelType, Labels, missing_columns
-from returnscope.operators.cleaning import feature_columns
+from returnscope.operators.cleaning import feature_columns, melted_numbers, named_places
 from returnscope.operators.ranking import value_ranks
 
 MIN_CORRELATION = 0.1
@@ -26,10 +26,13 @@ def pearson(x: Column, y: Column) -> Column:
 
 
 def correlations(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """(feature, correlation) with a numeric label, all features in one aggregation."""
-    row = df.agg(*[pearson(F.col(f).cast("double"), F.col(label).cast("double")).alias(f) for f in features])
-    entries = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"`{f}`").alias("correlation")) for f in features])
-    return row.select(F.inline(entries))
+    """(feature, correlation) with a numeric label, all features in one aggregation.
+
+    Values are melted and summed by feature: an aggregation with a column per feature is too wide to be compiled.
+    """
+    melted = melted_numbers(df, features, F.col(label).cast("double").alias("_label"))
+    found = melted.groupBy("place").agg(pearson(F.col("value"), F.col("_label")).alias("correlation"))
+    return named_places(found, features, "feature")
 
 
 def rank_test(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
@@ -40,15 +43,13 @@ def rank_test(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     p-value of the chi-square with one degree of freedom is ``erfc(sqrt(h / 2))``. Features that
     are constant, or a label with one class, give NULL.
     """
-    melted = df.select(
-        F.col(label).cast("int").alias("_class"),
-        F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features])),
-    ).filter(F.col("value").isNotNull() & F.col("_class").isin(0, 1))
-    ranks = value_ranks(melted, ["feature"], "value", extra=[F.sum("_class").alias("ones")])
+    melted = melted_numbers(df, features, F.col(label).cast("int").alias("_class"))
+    melted = melted.filter(F.col("value").isNotNull() & F.col("_class").isin(0, 1))
+    ranks = value_ranks(melted, ["place"], "value", extra=[F.sum("_class").alias("ones")])
     mid_rank = F.col("before") + (F.col("ties") + 1) / F.lit(2.0)
     ties = F.col("ties").cast("double")
     sums = (
-        ranks.groupBy("feature")
+        ranks.groupBy("place")
         .agg(
             F.max("total").cast("double").alias("n"),
             F.sum("ones").cast("double").alias("n1"),
@@ -61,7 +62,8 @@ def rank_test(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     spread = F.try_divide(F.col("r0") * F.col("r0"), n - n1) + F.try_divide(F.col("r1") * F.col("r1"), n1)
     raw = F.lit(12.0) / (n * (n + 1)) * spread - F.lit(3.0) * (n + 1)
     corrected = F.try_divide(raw, F.lit(1.0) - F.try_divide(F.col("tied"), n * n * n - n))
-    return sums.select("feature", corrected.alias("h")).withColumn("p_value", _erfc(F.sqrt(F.when(F.col("h") < 0, 0.0).otherwise(F.col("h")) / 2)))
+    of_place = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("place") + 1)
+    return sums.select(of_place.alias("feature"), corrected.alias("h")).withColumn("p_value", _erfc(F.sqrt(F.when(F.col("h") < 0, 0.0).otherwise(F.col("h")) / 2)))
 
 
 # Chebyshev coefficients of the complementary error function, relative error below 1.2e-7.

@@ -194,3 +194,26 @@ def test_tied_classes_keep_their_transaction(spark):
     rows = spark.createDataFrame([("a", "2024-01-01", 0.5), ("b", "2024-01-01", 0.25), ("c", "2024-01-01", 0.75)], "transaction_id string, transaction_date string, p double")
     scored = modeling.score_classifier(Fitted(), rows).select("transaction_id", "label").collect()
     assert sorted(map(tuple, scored)) == [("a", 1), ("b", 0), ("c", 1)]
+
+
+def test_sums_of_many_columns_are_one_compiled_aggregate(spark):
+    """A column with only nulls, a constant one, and rows whose value is missing; the plan doesn't grow with the columns."""
+    wide = spark.range(40).select(
+        (F.col("id") % 7).cast("double").alias("y"),
+        F.when(F.col("id") % 3 != 0, F.col("id") * 2.0).alias("gaps"),
+        F.lit(None).cast("double").alias("none"),
+        F.lit(4.0).alias("same"),
+        *[(F.col("id") * i % 11).cast("double").alias(f"f{i}") for i in range(60)],
+    )
+    features = wide.columns[1:]
+    for found, call in ((selection.correlations(wide, features, "y"), "covar_pop("), (cleaning.column_invalid_shares(wide), "sum(")):
+        assert found._jdf.queryExecution().analyzed().toString().count(call) == 1
+    rates = {r["feature"]: r["correlation"] for r in selection.correlations(wide, features, "y").collect()}
+    ids = np.array([i for i in range(40) if i % 3])
+    assert list(rates) == features
+    assert rates["gaps"] == pytest.approx(np.corrcoef(ids * 2.0, ids % 7)[0, 1])
+    assert rates["none"] is None and rates["same"] is None
+    assert [c for c in cleaning.constant_columns(wide) if not c.startswith("f")] == ["same"]
+    assert cleaning.number_ranges(wide, ["gaps", "none"]) == {"gaps": (2.0, 76.0), "none": (None, None)}
+    empty = selection.correlations(wide.limit(0), features, "y").collect()
+    assert [r["feature"] for r in empty] == features and not any(r["correlation"] for r in empty)
