@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,6 +157,48 @@ def test_repeated_ids_are_one_document_with_all_links(spark):
     assert sorted((str(r["id"]), str(r["component"])) for r in rows) == [("3", "3"), ("3", "3"), ("5", "3"), ("5", "3"), ("8", "8"), ("None", "None"), ("None", "None")]
 
 
+def test_a_star_leaves_only_its_rays_open(spark):
+    rng = random.Random(8)
+    texts = spark.createDataFrame([(i, sentence(rng, 60)) for i in range(5)], "id long, text string")
+    sketches = texts.mapInArrow(near_dedup._sketches("words", 4), "id long, n long, parity array<long>")
+    none = spark.createDataFrame([], "node long, component long")
+
+    def missed(rays, compared):
+        rays = spark.createDataFrame(rays, "bucket long, id long")
+        return near_dedup._missed(rays, none, spark.createDataFrame(compared, "a long, b long"), texts, sketches, "words", 4, 80)
+
+    # Buckets of two classes were compared whole, whatever their components.
+    assert missed([(1, 1), (2, 3)], [(1, 0), (3, 2)]) is None
+    assert missed([(1, 1), (1, 3)], [(1, 0), (3, 0)]).count() == 0
+
+
+def test_links_between_rays_are_found_behind_a_common_passage(spark):
+    rng = random.Random(9)
+    passage, ends = sentence(rng, 80, 10**6), [sentence(rng, 30, 10**6) for _ in range(12)]
+    texts = [f"{passage} {end}" for end in ends] + [f"{passage} {end} more" for end in ends]
+    got = {r["id"]: (r["size"], r["component"]) for r in near_dedup.near_groups(documents(spark, texts), k=4).collect()}
+    assert got == brute_groups(texts, 4, 80)
+
+
+def test_likely_pairs_keep_all_similar_ones(spark):
+    texts = [t for t in near_texts() if t]
+    table = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    sketches = table.mapInArrow(near_dedup._sketches("words", 4), "id long, n long, parity array<long>")
+    pairs = spark.createDataFrame([(a, b) for a in range(len(texts)) for b in range(a)], "a long, b long")
+    similar = {tuple(r) for r in near_dedup._confirmed(pairs, table, "words", 4, 80).collect()}
+    likely = {tuple(r) for r in near_dedup._likely(pairs, sketches, 80).collect()}
+    assert similar and similar <= likely and len(likely) < pairs.count() / 2
+
+
+def test_narrowed_keeps_every_key_and_drops_most_others(spark):
+    rows = spark.range(20000).select(F.expr("nullif(id, 7) * 977 - 3").alias("id"))
+    keys = rows.filter("pmod(id, 50) = 0")
+    left = common.narrowed(rows, keys, "id")
+    assert left.columns == ["id"] and left.join(keys, "id", "left_semi").count() == keys.count()
+    assert left.count() < 2 * keys.count()
+    assert common.narrowed(rows, keys.limit(0), "id").count() == 0
+
+
 # --- benchmark passages -----------------------------------------------------------------------
 
 
@@ -283,6 +326,16 @@ def test_toxicity_learns_insults_and_forgives_mentions(spark):
     assert toxicity.train(docs.limit(0), known.limit(0)).weights == {}
 
 
+def test_toxicity_holds_few_rows_as_objects():
+    texts = pa.array([f"word{i} and women" if i % 7 else None for i in range(2000)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000), pa.int32()), texts], ["y", "text"])
+    trained = list(toxicity._train_rows(toxicity.IDENTITY_TERMS)(iter([batch])))
+    scored = list(toxicity._scorer(toxicity.Model(0.0, {"word3": 2.0}))(iter([batch])))
+    for out, first in ((trained, "y"), (scored, "id")):
+        assert max(b.num_rows for b in out) <= 256
+        assert [v for b in out for v in b.column(first).to_pylist()] == list(range(2000))
+
+
 def test_quality_is_learnt_and_rises_with_scores(spark):
     rng = random.Random(7)
     texts = [sentence(rng, 60) if i % 3 else "!! ".join(sentence(rng, 30).upper().split()) for i in range(300)]
@@ -480,6 +533,13 @@ def similar_lines(a, b):
     return 100 * len(x & y) >= line_dedup.PERCENT * len(x | y)
 
 
+def test_lines_are_compared_with_single_spaces(spark):
+    raw = [None, "", "  ", "a b", " a b ", "a  b", "a\tb", "\ta", "a\r", "a \x0b\x0c b", "a\u00a0b", "\u2003a", "a\nb"]
+    rows = spark.createDataFrame([(r,) for r in raw], "raw string")
+    same = F.trim(F.regexp_replace("raw", common.SPACES, " "))
+    assert rows.filter(~same.eqNullSafe(line_dedup._compared("raw"))).count() == 0
+
+
 def test_lines_agree_with_all_pairs(spark):
     rng = random.Random(12)
     base = [sentence(rng, rng.randrange(6, 25), 300) for _ in range(12)]
