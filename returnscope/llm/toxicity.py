@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -52,6 +52,7 @@ MAX_ROWS = 20_000
 MAX_FEATURES = 500
 MIN_TEXTS = 5
 CACHE = 200_000
+PIECE = 256  # rows that are held as Python objects at a time
 
 
 def word_features(word: str) -> list[str]:
@@ -72,9 +73,15 @@ def features_of(words: Iterable[str]) -> set[str]:
     return {f for w in words for f in word_features(w)}
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first in range(0, batch.num_rows, PIECE):
+            yield batch.slice(first, PIECE)
+
+
 def _train_rows(terms: Sequence[Sequence[str]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             y, own, other = [], [], []
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = words_in(text)
@@ -170,23 +177,30 @@ def train(
     return Model(intercept, dict(zip(vocabulary, weights.tolist(), strict=True)))
 
 
+def _score_of(model: Model) -> Callable[[str | None], float]:
+    weights, cache = model.weights, {}
+
+    def of(text: str | None) -> float:
+        found: set[str] = set()
+        for word in words_in(text):
+            hit = cache.get(word)
+            if hit is None:
+                if len(cache) >= CACHE:
+                    cache.clear()
+                hit = cache[word] = tuple(f for f in word_features(word) if f in weights)
+            if hit:
+                found.update(hit)
+        z = model.intercept + sum(weights[f] for f in sorted(found))
+        return 1 / (1 + math.exp(-min(40.0, max(-40.0, z))))
+
+    return of
+
+
 def _scorer(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, cache = model.weights, {}
-        for batch in batches:
-            scores = []
-            for text in batch.column(1).to_pylist():
-                found: set[str] = set()
-                for word in words_in(text):
-                    hit = cache.get(word)
-                    if hit is None:
-                        if len(cache) >= CACHE:
-                            cache.clear()
-                        hit = cache[word] = tuple(f for f in word_features(word) if f in weights)
-                    if hit:
-                        found.update(hit)
-                z = model.intercept + sum(weights[f] for f in sorted(found))
-                scores.append(1 / (1 + math.exp(-min(40.0, max(-40.0, z)))))
+        of = _score_of(model)
+        for batch in _pieces(batches):
+            scores = [of(text) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["id", "score"])
 
     return run
@@ -201,11 +215,10 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
 def drop_toxic(docs: DataFrame, model: Model, cut: float = 0.5, text_column: str = "text") -> DataFrame:
     """The rows that score below ``cut``, with the input's columns."""
     at = docs.columns.index(text_column)
-    scorer = _scorer(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scored = next(scorer(iter([pa.RecordBatch.from_arrays([batch.column(at), batch.column(at)], ["id", "text"])])))
-            yield batch.filter(pa.array(scored.column(1).to_numpy() < cut))
+        of = _score_of(model)
+        for batch in _pieces(batches):
+            yield batch.filter(pa.array([of(text) < cut for text in batch.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
