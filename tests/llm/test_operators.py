@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -180,6 +181,39 @@ def test_links_between_rays_are_found_behind_a_common_passage(spark):
     assert got == brute_groups(texts, 4, 80)
 
 
+def test_mixed_buckets_are_settled_without_the_exact_join(spark, monkeypatch):
+    """Up to ``ASKERS`` classes meet their bucket's others, so only wider buckets are joined by shingles."""
+    rng = random.Random(9)
+    passage, ends = sentence(rng, 80, 10**6), [sentence(rng, 30, 10**6) for _ in range(4)]
+    texts = [f"{passage} {end}" for end in ends] + [f"{passage} {end} more" for end in ends]
+    monkeypatch.setattr(near_dedup, "_missed", lambda *args: pytest.fail("the exact join ran"))
+    got = {r["id"]: (r["size"], r["component"]) for r in near_dedup.near_groups(documents(spark, texts), k=4).collect()}
+    assert got == brute_groups(texts, 4, 80)
+
+
+def test_askers_meet_all_other_components_and_are_bounded(spark):
+    rays = spark.createDataFrame([(1, i, i % 3, 0 if i < 40 else i) for i in range(60)], "bucket long, id long, degree long, component long")
+    nodes = rays.filter("id != component").select(F.col("id").alias("node"), "component")
+    mixed = near_dedup._mixed(rays.drop("component"), nodes)
+    assert {r["top"] for r in mixed.collect()} == {0}
+    askers = near_dedup._askers(mixed)
+    asked = {r["id"] for r in askers.collect()}
+    assert asked == {41, 44, 47, 50, 53, 56, 59, 40}
+    pairs = {(r["a"], r["b"]) for r in near_dedup._asked(mixed, askers).collect()}
+    assert pairs == {(max(x, y), min(x, y)) for x in asked for y in range(60) if x != y}
+
+
+def test_entries_of_repeated_buckets_survive_the_packed_shuffle(spark):
+    rng = np.random.default_rng(3)
+    bands = rng.integers(-(2**63), 2**63, (500, 16))
+    bands[100:, 3] = rng.choice(bands[:100, 3], 400)
+    bands[7:9] = bands[5]
+    table = spark.createDataFrame([(i, row) for i, row in enumerate(bands.tolist())], "id long, bands array<long>")
+    got = sorted((r["bucket"], r["id"]) for r in near_dedup._repeated_buckets(table).collect())
+    counts = Counter(bands.reshape(-1).tolist())
+    assert got == sorted((b, i) for i, row in enumerate(bands.tolist()) for b in row if counts[b] > 1)
+
+
 def test_likely_pairs_keep_all_similar_ones(spark):
     texts = [t for t in near_texts() if t]
     table = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
