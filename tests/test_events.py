@@ -149,6 +149,14 @@ def test_item_stats(frames, lookups):
     assert lists["a"] == ("shoe,sock",)
 
 
+def test_a_basket_description_lists_its_items(frames, lookups):
+    """All four lists stand beside the counts, with a value as often as the basket holds it, in order."""
+    stats, prior = agg.transaction_item_stats(frames, lookups), history.past_global_history(frames, lookups)
+    described = features.basket_description(stats, features.past_product_history(stats, agg.product_daily(frames, lookups)), prior)
+    rows = keyed(described, "item_brands", "item_names", "item_variants", "item_categories", "unique_item_brand_count", "unique_item_category_count")
+    assert rows == {"a": ("B,B", "shoe,sock", "v,v", "unknown,unknown", 1, 1), "b": ("B", "shoe", "v", "unknown", 1, 1)}
+
+
 def test_assembly_keeps_one_row_per_transaction(frames):
     run = build_features(frames, WINDOW)
     rows = keyed(run.rows, "past_user_transaction_count", "customer_type", "item_count", "event_count_purchase")
