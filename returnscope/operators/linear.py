@@ -68,8 +68,11 @@ def _arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return flat.to_numpy().reshape(len(batch), -1), y.to_numpy(), batch.column("held").to_numpy()
 
 
-def _merged(parts: DataFrame, add: Callable[[list[dict]], dict]) -> list[dict]:
-    """Partitions' sums, merged in tasks by (held, bucket) and then by ``held``; at most two rows come, however many partitions there are."""
+def _merged(parts: DataFrame, add: Callable[[list[dict]], dict], few: bool = False) -> list[dict]:
+    """Partitions' sums, merged in tasks by (held, bucket) and then by ``held``; at most two rows come, however many partitions there are.
+
+    With ``few``, each partition is alone in its bucket, and the first step would change nothing.
+    """
     schema = parts.schema
     order = [f.name for f in schema.fields]
 
@@ -78,8 +81,10 @@ def _merged(parts: DataFrame, add: Callable[[list[dict]], dict]) -> list[dict]:
         whole = add(rows) | {"held": rows[0]["held"], "bucket": rows[0]["bucket"], "part": rows[0]["part"]}
         return pa.table({c: [whole[c]] for c in order}, schema=table.schema)
 
-    # The second step takes a row a bucket, so its two groups are small, too.
-    whole = parts.groupBy("held", "bucket").applyInArrow(merge, schema).groupBy("held").applyInArrow(merge, schema)
+    if not few:
+        parts = parts.groupBy("held", "bucket").applyInArrow(merge, schema)
+    # This step takes a row a bucket, so its two groups are small, too.
+    whole = parts.groupBy("held").applyInArrow(merge, schema)
     return sorted((r.asDict() for r in whole.collect()), key=lambda r: r["held"])
 
 
@@ -129,14 +134,51 @@ def quadratic(gram: np.ndarray, target: np.ndarray, l1: float, l2: float, free:
     w = np.zeros(len(target)) if start is None else start.copy()
     bound = np.where(free, 0.0, l1)
     curve = np.diag(ridge)
-    for _ in range(10_000):
+    movable = np.flatnonzero(curve > 0)
+
+    def swept(places: np.ndarray, left: np.ndarray) -> float:
+        """Largest move of a sweep; ``left`` is the target less what the weights explain, kept up to date."""
         largest = 0.0
-        for j in np.flatnonzero(curve > 0):
-            slope = target[j] - ridge[j] @ w + curve[j] * w[j]
+        for j in places:
+            old = w[j]
+            slope = left[j] + curve[j] * old
             new = np.sign(slope) * max(abs(slope) - bound[j], 0.0) / curve[j]
-            largest, w[j] = max(largest, abs(new - w[j])), new
-        if largest < TOLERANCE:
+            if new != old:
+                left -= ridge[j] * (new - old)
+                largest, w[j] = max(largest, abs(new - old)), new
+        return largest
+
+    # Between sweeps, the optimum among weights of the same signs is a linear system; only a sweep that rests ends the search.
+    for _ in range(10_000):
+        if swept(movable, target - ridge @ w) < TOLERANCE:
+            break
+        if l2 > 0:
+            w = _within_signs(ridge, target, bound, w)
+    return w
+
+
+def _within_signs(ridge: np.ndarray, target: np.ndarray, bound: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Weights moved towards the optimum for their signs. One that meets 0 on the way stays there, and the others go on."""
+    w = w.copy()
+    active = np.flatnonzero(w)
+    while len(active):
+        signs = np.where(bound[active] > 0, np.sign(w[active]), 0.0)
+        try:
+            best = np.linalg.solve(ridge[np.ix_(active, active)], target[active] - bound[active] * signs)
+        except np.linalg.LinAlgError:
+            break
+        if not np.isfinite(best).all():
+            break
+        crossing = np.flatnonzero(best * signs < 0)
+        if not len(crossing):
+            w[active] = best
             break
+        here = w[active]
+        shares = here[crossing] / (here[crossing] - best[crossing])
+        first = crossing[shares.argmin()]
+        w[active] = here + (best - here) * shares.min()
+        w[active[first]] = 0.0
+        active = active[w[active] != 0]
     return w
 
 
@@ -189,7 +231,8 @@ def newton_sums(rows: DataFrame, centre: np.ndarray, scale: np.ndarray, trials:
         return {"sums": np.sum([r["sums"] for r in some], axis=0).tolist()}
 
     found = {}
-    for row in _merged(rows.mapInArrow(run, "held int, bucket int, part int, sums array<double>"), add):
+    few = rows.rdd.getNumPartitions() <= BUCKETS  # the rows are staged, so this only plans their scan
+    for row in _merged(rows.mapInArrow(run, "held int, bucket int, part int, sums array<double>"), add, few):
         n, loss, slope, curve = np.split(np.array(row["sums"]), np.cumsum([1, count, count * size]))
         found[row["held"]] = {"n": n[0], "loss": loss, "slope": slope.reshape(count, size), "curve": curve.reshape(count, size, size)}
     return found

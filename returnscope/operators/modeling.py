@@ -26,7 +26,7 @@ from returnscope.functions.hashing import row_hash
 from returnscope.operators import linear
 from returnscope.operators.cleaning import melted_numbers
 from returnscope.operators.search import run_trials
-from returnscope.sources.tables import stage, stage_path
+from returnscope.sources.tables import side_by_side, stage, stage_path
 
 FEATURES = "features"
 HELD_OUT = "_held_out"
@@ -300,7 +300,9 @@ def train_two_step(
     space: SearchSpace | None = None,
 ) -> tuple[TrainedModel, TrainedModel]:
     """A classifier for "is there a refund", and a regressor fitted only on rows that have one."""
-    return train(flags, flag, classifier, space), train(values.filter(F.col(value) > 0), value, regressor, space)
+    steps = [lambda: train(flags, flag, classifier, space), lambda: train(values.filter(F.col(value) > 0), value, regressor, space)]
+    first, second = side_by_side(steps)
+    return first, second
 
 
 def save_model(model: PipelineModel, path: str) -> None:

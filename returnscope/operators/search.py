@@ -44,10 +44,16 @@ def run_trials(
             row = (number, text, float(loss) if fine else None, rounds, SUCCEEDED if fine else FAILED, None if fine else "loss is not a number")
         except Exception as error:  # any trial may fail for reasons of its own; the log says which
             row = (number, text, None, None, FAILED, f"{type(error).__name__}: {error}"[:500])
-        spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+        _logged(spark, row).write.mode("append").parquet(path)
     return with_optimal(read_log(spark, path))
 
 
+def _logged(spark: SparkSession, row: Sequence) -> DataFrame:
+    """One row of the log, from literals: a local list would start a Python worker for it."""
+    fields = [field.split() for field in LOG_SCHEMA.split(", ")]
+    return spark.range(1, numPartitions=1).select(*[F.lit(value).cast(kind).alias(name) for value, (name, kind) in zip(row, fields, strict=True)])
+
+
 def with_optimal(log: DataFrame) -> DataFrame:
     """``is_optimal``: whether no trial that succeeded has a smaller loss. A log has a row per trial."""
     fine = F.col("status") == SUCCEEDED

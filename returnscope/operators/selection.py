@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from returnscope.config import LabelType, Labels, missing_columns
 from returnscope.operators.cleaning import feature_columns, melted_numbers, named_places
 from returnscope.operators.ranking import value_ranks
+from returnscope.sources.tables import side_by_side
 
 MIN_CORRELATION = 0.1
 MAX_P_VALUE = 0.05
@@ -104,14 +105,14 @@ class FeatureSelector:
     @classmethod
     def fit(cls, df: DataFrame, ids: Sequence[str], labels: Labels, minimum: float = MIN_CORRELATION) -> FeatureSelector:
         numbers, strings = feature_columns(df, ids, labels.all)
-        chosen = {}
-        for label in labels.all:
+
+        def picked(label: str) -> list[str]:
             if labels.type_of(label) is LabelType.NUMERICAL:
-                picked = correlated_features(df, numbers, label, minimum)
-            else:
-                picked = discriminating_features(df, numbers, label)
-            chosen[label] = [*picked, label, *ids, *strings]
-        return cls(chosen)
+                return correlated_features(df, numbers, label, minimum)
+            return discriminating_features(df, numbers, label)
+
+        found = side_by_side([lambda label=label: picked(label) for label in labels.all])
+        return cls({label: [*some, label, *ids, *strings] for label, some in zip(labels.all, found, strict=True)})
 
     def transform(self, df: DataFrame) -> dict[str, DataFrame]:
         selected = {}

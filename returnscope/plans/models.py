@@ -23,6 +23,7 @@ from returnscope.operators.modeling import (
     train_two_step,
     two_step_merge,
 )
+from returnscope.sources.tables import side_by_side
 
 
 @dataclass(frozen=True)
@@ -81,15 +82,15 @@ def _test_regression(scores: DataFrame) -> DataFrame:
 
 
 def _report(models, tables, scores, metrics, tiers) -> TrainingReport:
-    return TrainingReport(
-        models,
-        scores,
-        metrics,
-        evaluation.split_metrics(scores),
-        evaluation.tier_comparison(scores, TRANSACTION_KEYS, tiers),
-        {name: best_trial(m.trials) for name, m in models.items()},
-        {name: evaluation.top_features(feature_importance(m, tables[m.label])) for name, m in models.items()},
+    errors, by_tier, best, importance = side_by_side(
+        [
+            lambda: evaluation.split_metrics(scores),
+            lambda: evaluation.tier_comparison(scores, TRANSACTION_KEYS, tiers),
+            lambda: {name: best_trial(m.trials) for name, m in models.items()},
+            lambda: {name: evaluation.top_features(feature_importance(m, tables[m.label])) for name, m in models.items()},
+        ],
     )
+    return TrainingReport(models, scores, metrics, errors, by_tier, best, importance)
 
 
 def predict_one_step(model: PipelineModel, table: DataFrame) -> DataFrame:

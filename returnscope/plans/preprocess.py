@@ -16,7 +16,7 @@ from returnscope.operators.resampling import Strategy, resample
 from returnscope.operators.selection import MIN_CORRELATION, FeatureSelector
 from returnscope.operators.splitting import split_ordered
 from returnscope.sources.columns import clean_column_names
-from returnscope.sources.tables import load_text, no_stage, save_text
+from returnscope.sources.tables import load_text, no_stage, save_text, side_by_side
 
 
 @dataclass(frozen=True)
@@ -83,9 +83,14 @@ def prepare_training(
         raise ValueError("training needs at least one numeric and one categorical label")
     cleaned = keep(clean(clean_column_names(df), ids, labels, True, row_threshold, column_threshold), "cleaned")
     useful = drop_constant_columns(cleaned, ids, labels.all)
-    selector = FeatureSelector.fit(useful, ids, labels, min_correlation)
     # One split and one fit serve all labels: both depend on the rows alone.
-    split = keep(split_ordered(useful, order_by, ids, test_share, latest_as_test), "split")
+    selector, split, described = side_by_side(
+        [
+            lambda: FeatureSelector.fit(useful, ids, labels, min_correlation),
+            lambda: keep(split_ordered(useful, order_by, ids, test_share, latest_as_test), "split"),
+            lambda: describe(cleaned, labels.all),
+        ],
+    )
     is_train = F.col(SPLIT_COLUMN) == Split.TRAIN.value
     chosen = {label: selector.columns[label] for label in labels.all}
     numbers, strings = feature_columns(useful, ids, labels.all)
@@ -100,7 +105,7 @@ def prepare_training(
             rows = resample(rows.filter(is_train), label, kind, ids, balance, always=False).unionByName(rows.filter(~is_train))
         tables[label] = encoders[label].transform(rows, [*ids, label, SPLIT_COLUMN])
     fitted = FittedPreprocessing(list(ids), labels, selector, encoders, list(vocabulary))
-    return TrainingData(tables, describe(cleaned, labels.all), fitted)
+    return TrainingData(tables, described, fitted)
 
 
 def prepare_prediction(df: DataFrame, fitted: FittedPreprocessing) -> dict[str, DataFrame]:

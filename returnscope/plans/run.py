@@ -21,7 +21,7 @@ from returnscope.plans.features import build_features, stage_frames
 from returnscope.plans.models import TrainingReport, predict_two_steps, train_two_steps
 from returnscope.plans.preprocess import FittedPreprocessing, prepare_prediction, prepare_training
 from returnscope.sources.export import EventFrames
-from returnscope.sources.tables import drop_tables, path_exists, stage, staging, table_exists, write_table
+from returnscope.sources.tables import drop_tables, path_exists, side_by_side, stage, staging, table_exists, write_table
 
 SEGMENTS = {"existing": existing_customers, "first_purchase": first_time_purchases}
 FLAG, VALUE = Target.FLAG.value, Target.VALUE.value
@@ -63,22 +63,25 @@ def training_run(
     threshold: float = 0.5,
 ) -> DataFrame:
     """Train both segments and store all results; returns the run log, a row per segment."""
-    spark, log = frames.events.sparkSession, []
+    spark = frames.events.sparkSession
     with staging(spark):
         run = build_features(stage_frames(frames), window)
         rows = stage(run.rows, "feature_rows")
-        for segment, cut in SEGMENTS.items():
+
+        def trained(segment: str) -> tuple:
             try:
-                data = prepare_training(cut(rows), TRANSACTION_KEYS, labels, vocabulary=run.vocabulary, keep=stage)
-                tables = {label: _stored(table, result_name(place, PipelineMode.TRAINING, segment, label, "ml_ready")) for label, table in data.tables.items()}
+                data = prepare_training(SEGMENTS[segment](rows), TRANSACTION_KEYS, labels, vocabulary=run.vocabulary, keep=stage)
+                stored = [lambda label=label, table=table: _stored(table, result_name(place, PipelineMode.TRAINING, segment, label, "ml_ready")) for label, table in data.tables.items()]
+                tables = dict(zip(data.tables, side_by_side(stored), strict=True))
                 write_table(data.label_distribution, result_name(place, PipelineMode.TRAINING, segment, "labels", "distribution"))
                 report = train_two_steps(tables[FLAG], tables[VALUE], FLAG, VALUE, classifier, regressor, space, threshold)
             except ValueError as reason:
-                log.append((segment, "SKIPPED", str(reason)[:500], 0))
-                continue
+                return segment, "SKIPPED", str(reason)[:500], 0
             _store(place, segment, report)
             data.fitted.save(spark, place.part(segment, "preprocessing"))
-            log.append((segment, "TRAINED", None, tables[VALUE].filter("train_test = 'train'").count()))
+            return segment, "TRAINED", None, tables[VALUE].filter("train_test = 'train'").count()
+
+        log = side_by_side([lambda segment=segment: trained(segment) for segment in SEGMENTS])
     done = spark.createDataFrame(log, LOG_SCHEMA)
     write_table(done, f"{place.name}_training_log")
     return training_log(spark, place)
@@ -99,13 +102,14 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def _store(place: Place, segment: str, report: TrainingReport) -> None:
+    steps = []
     for role, model in report.models.items():
         save_model(model.pipeline, place.part(segment, role))
-        label = model.label
         for kind, table in (("trials", model.trials), ("importance", report.importance[role]), ("test_metrics", report.test_metrics[role])):
-            write_table(table, result_name(place, PipelineMode.TRAINING, segment, label, kind, model.family))
+            steps.append((table, result_name(place, PipelineMode.TRAINING, segment, model.label, kind, model.family)))
     for kind, table in (("split_metrics", report.split_metrics), ("tiers", report.tiers)):
-        write_table(table, result_name(place, PipelineMode.TRAINING, segment, VALUE, kind))
+        steps.append((table, result_name(place, PipelineMode.TRAINING, segment, VALUE, kind)))
+    side_by_side([lambda table=table, name=name: write_table(table, name) for table, name in steps])
 
 
 def prediction_run(frames: EventFrames, window: RunWindow, place: Place, threshold: float = 0.5) -> DataFrame:
@@ -123,7 +127,7 @@ def prediction_run(frames: EventFrames, window: RunWindow, place: Place, thresho
         fitted = {s: FittedPreprocessing.load(spark, place.part(s, "preprocessing")) for s in trained}
         vocabulary = sorted({name for f in fitted.values() for name in f.vocabulary})
         rows = stage(build_features(stage_frames(frames), window, vocabulary).rows, "feature_rows")
-        parts = [_predicted(spark, place, s, SEGMENTS[s](rows), fitted[s], threshold) for s in trained]
+        parts = side_by_side([lambda s=s: _predicted(spark, place, s, SEGMENTS[s](rows), fitted[s], threshold) for s in trained])
         whole = parts[0]
         for part in parts[1:]:
             whole = whole.unionByName(part)
@@ -133,8 +137,8 @@ def prediction_run(frames: EventFrames, window: RunWindow, place: Place, thresho
 
 def _predicted(spark: SparkSession, place: Place, segment: str, rows: DataFrame, fitted: FittedPreprocessing, threshold: float) -> DataFrame:
     tables = prepare_prediction(rows, fitted)
-    models = {role: load_model(place.part(segment, role)) for role in ("classifier", "regressor")}
-    predicted = predict_two_steps(models["classifier"], models["regressor"], tables[FLAG], tables[VALUE], threshold)
+    classifier, regressor = side_by_side([lambda role=role: load_model(place.part(segment, role)) for role in ("classifier", "regressor")])
+    predicted = predict_two_steps(classifier, regressor, tables[FLAG], tables[VALUE], threshold)
     value = rows.select(*TRANSACTION_KEYS, "transaction_value")
     # Cleaning casts the keys, and so do the value's.
     keyed = value.select(*[F.col(k).cast(predicted.schema[k].dataType).alias(k) for k in TRANSACTION_KEYS], "transaction_value")

@@ -109,6 +109,30 @@ def test_models_are_saved_and_loaded(rows, tmp_path):
         assert again.transform(rows).select("prediction").exceptAll(model.pipeline.transform(rows).select("prediction")).count() == 0
 
 
+def test_weights_of_nearly_equal_features_are_at_their_optimum():
+    """Where features nearly repeat each other, sweeps alone hardly move: at the optimum no single weight would gain by moving."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(2000, 40))
+    x[:, 20:] = x[:, :20] + rng.normal(size=(2000, 20)) * 1e-2
+    y = x[:, :5].sum(axis=1) + rng.normal(size=2000)
+    gram, target, l1, l2 = x.T @ x / 2000, x.T @ y / 2000, 1e-4, 1e-5
+    free = np.zeros(40, bool)
+    free[-1] = True
+    w = linear.quadratic(gram, target, l1, l2, free)
+    slope = gram @ w - target + np.where(free, 0, l2) * w
+    bound = np.where(free, 0, l1)
+    off = np.where(w != 0, np.abs(slope + bound * np.sign(w)), np.maximum(np.abs(slope) - bound, 0))
+    assert off.max() < 1e-8 and 0 < np.count_nonzero(w) < 40
+
+
+def test_passes_merge_the_same_sums_whatever_the_number_of_partitions(spark):
+    rows = spark.range(4000).select(F.array(F.col("id") % 7 - 3.0, F.col("id") % 11 - 5.0).alias("x"), (F.col("id") % 2).cast("double").alias("y"), (F.col("id") % 5 == 0).cast("int").alias("held"))
+    one, many = (linear.newton_sums(rows.repartition(n), np.zeros(2), np.ones(2), np.array([[0.1, -0.2, 0.3], [0.0, 0.0, 0.0]])) for n in (3, linear.BUCKETS + 6))
+    assert set(one) == set(many) == {0, 1}
+    for side in one:
+        assert all(np.allclose(one[side][k], many[side][k]) for k in one[side])
+
+
 # --- the search -------------------------------------------------------------------------------
 
 
@@ -137,6 +161,14 @@ def test_a_failing_trial_is_logged_and_the_search_goes_on(spark, tmp_path):
     assert tried == [1, 2, 3, 4, 6, 5]
 
 
+def test_a_log_row_needs_no_python_worker(spark):
+    logged = search._logged(spark, (1, '{"x": 1.5}', 0.25, 3, "SUCCEEDED", None))
+    assert [f.simpleString() for f in logged.schema.fields] == [f.replace(" ", ":") for f in search.LOG_SCHEMA.split(", ")]
+    assert [tuple(r) for r in logged.collect()] == [(1, '{"x": 1.5}', 0.25, 3, "SUCCEEDED", None)]
+    plan = logged._jdf.queryExecution().executedPlan().toString()
+    assert "Range" in plan and "RDD" not in plan
+
+
 def test_an_interrupted_search_goes_on(spark, tmp_path):
     class Lost(BaseException):
         pass

@@ -1,5 +1,7 @@
 """Tables that are replaced, extended and dropped with their files."""
 
+from threading import Barrier
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,3 +68,30 @@ def test_what_a_run_stages_goes_with_it(spark):
         inside = [p for p in tables.staged_paths(spark) if "/inside-" in p][-1]
         raise RuntimeError
     assert not tables.path_exists(spark, inside) and before.count() == 2
+
+
+def test_steps_run_side_by_side(spark):
+    """Four meet each other, results come in the order of the steps, and staging leaves the session's setting as it was."""
+    met = Barrier(4, timeout=30)
+
+    def step(n):
+        met.wait()
+        return tables.stage(spark.range(n).groupBy("id").count(), f"step{n}").count()
+
+    spark.conf.unset(tables.CLEANUP_CONF)
+    earlier = spark.conf.get(tables.CLEANUP_CONF, None)
+    before = set(tables.staged_paths(spark))
+    assert tables.side_by_side([lambda n=n: step(n) for n in (5, 3, 4, 2)]) == [5, 3, 4, 2]
+    assert spark.conf.get(tables.CLEANUP_CONF, None) == earlier
+    assert len(tables.release_staged(spark, [p for p in tables.staged_paths(spark) if p not in before])) == 4
+
+
+def test_a_failing_step_is_raised_when_the_others_have_ended(spark):
+    ended = []
+
+    def fails():
+        raise ValueError("no luck")
+
+    with pytest.raises(ValueError, match="no luck"):
+        tables.side_by_side([fails, lambda: ended.append(spark.range(3).count())])
+    assert ended == [3]
