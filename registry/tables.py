@@ -18,7 +18,7 @@ from returnscope.plans.preprocess import FittedPreprocessing, prepare_prediction
 from returnscope.sources.bindings import order_lines, table
 from returnscope.sources.columns import clean_column_names, sink_safe_columns
 from returnscope.streaming.daily_scoring import arriving_rows, score_arrivals
-from returnscope.sources.tables import drop_tables, limited, read_csv, read_table, stage, stage_path, write_table
+from returnscope.sources.tables import drop_tables, limited, read_csv, read_table, side_by_side, stage, stage_path, write_table
 
 IDS = ["transaction_id", "transaction_date"]
 LABELS = Labels()
@@ -336,14 +336,17 @@ _FAMILIES = {
 
 def _families(s: SparkSession, d: str) -> DataFrame:
     """Per family: whether the held-out loss of the search is below that of always predicting the training mean."""
-    tables, rows = _training(s, d).tables, []
-    for family, label in _FAMILIES.items():
+    tables = _training(s, d).tables
+
+    def judged(family: ModelFamily, label: str) -> tuple:
         found = modeling.train(tables[label], label, family, modeling.SearchSpace())
         loss = modeling.best_trial(found.trials).first()["validation_metric"]
         mean = tables[label].filter(F.col(SPLIT_COLUMN) == "train").withColumn("_held", modeling.held_out(42))
         y, p = F.col(label), mean.filter("NOT _held").agg(F.avg(label)).first()[0]
         baseline = F.avg(-F.when(y == 1, F.log(F.lit(p))).otherwise(F.log(F.lit(1 - p)))) if family.is_classifier else F.sqrt(F.avg((y - p) * (y - p)))
-        rows.append((family.value, loss < mean.filter("_held").agg(baseline).first()[0], found.trials.count()))
+        return family.value, loss < mean.filter("_held").agg(baseline).first()[0], found.trials.count()
+
+    rows = side_by_side([lambda f=f, label=label: judged(f, label) for f, label in _FAMILIES.items()])
     return s.createDataFrame(rows, "family string, beats_mean boolean, trials long")
 
 

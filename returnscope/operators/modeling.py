@@ -1,7 +1,7 @@
 """Training, scoring and merging of refund models.
 
-Linear and logistic models are solved from sums over the rows (:mod:`returnscope.operators.linear`), boosted
-trees and networks by Spark ML with early stopping. All are searched for by the same logged loop. A fifth of
+Linear and logistic models are solved from sums over the rows (:mod:`returnscope.operators.linear`), networks by
+gradient steps (:mod:`returnscope.operators.network`), boosted trees by Spark ML, both with early stopping. All are searched for by the same logged loop. A fifth of
 the training rows, by hash of their keys, is held out of the trials and judges them: by root mean squared
 error, or by log loss for classifiers. The best trial's parameters are then fitted on all training rows.
 """
@@ -17,13 +17,14 @@ from pyspark.ml import Model, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from returnscope.config import SPLIT_COLUMN, TRANSACTION_KEYS, ModelFamily, Split
 from returnscope.functions.hashing import row_hash
-from returnscope.operators import linear
+from returnscope.operators import linear, network
 from returnscope.operators.cleaning import melted_numbers
 from returnscope.operators.search import run_trials
 from returnscope.sources.tables import side_by_side, stage, stage_path
@@ -252,35 +253,43 @@ def _trees(rows, label, family, features, space, log) -> TrainedModel:
 
 
 def _network(rows, label, family, features, space, log) -> TrainedModel:
-    """Each round goes on from the last one's weights, until the held-out loss does not fall."""
-    assembler, vectors = _vectors(rows, label, features, space.seed)
+    """Each round goes on from the last one's weights, until the held-out loss does not fall; every pass serves all trials."""
+    spark = rows.sparkSession
+    x = network.packed(linear.design(_dealt(rows), features, label, held_out(space.seed)))
+
+    def estimator(p: Mapping[str, float], **others):
+        return MultilayerPerceptronClassifier(
+            featuresCol=FEATURES, labelCol=label, seed=space.seed, solver="gd", layers=[len(features), p["hidden_units"], 2],
+            stepSize=p["learning_rate"], blockSize=p["batch_rows"], maxIter=space.network_steps,
+        ).setParams(**others)
 
-    def rounds_of(p: Mapping[str, float], data: DataFrame, most: int):
-        model = None
-        for _ in range(most):
-            est = MultilayerPerceptronClassifier(
-                featuresCol=FEATURES, labelCol=label, seed=space.seed, solver="gd", layers=[len(features), p["hidden_units"], 2],
-                stepSize=p["learning_rate"], blockSize=p["batch_rows"], maxIter=space.network_steps,
-            )
-            model = (est if model is None else est.setInitialWeights(model.weights)).fit(data)
-            yield model
+    def net(p: Mapping[str, float]) -> network.Net:
+        start = network.first_weights(spark, [len(features), p["hidden_units"], 2], space.seed)
+        return network.Net(len(features), p["hidden_units"], p["learning_rate"], p["batch_rows"], start)
+
+    draws = space.draws(family)
+    # Spark ML refuses some parameters, and so do the trials that have them.
+    nets = {json.dumps(p, sort_keys=True): net(p) for p in draws if p["learning_rate"] > 0 and p["batch_rows"] > 0 and p["hidden_units"] > 0}
 
     def attempt(p: Mapping[str, float]) -> tuple[float, int]:
-        least, best = float("inf"), 0
-        for n, model in enumerate(rounds_of(p, vectors.filter(~F.col(HELD_OUT)), space.network_rounds), 1):
-            loss = held_out_loss(model.transform(vectors.filter(HELD_OUT)), label, True)
-            if not loss < least * (1 - space.tolerance):
-                break
-            least, best = loss, n
-        if not best:
+        estimator(p)._transfer_params_to_java()
+        losses = nets[json.dumps(p, sort_keys=True)].losses
+        if not losses:
             raise ValueError("the held-out loss is not a number")
-        return least, best
+        return losses[-1], len(losses)
 
     try:
-        trials, best, rounds = _searched(rows.sparkSession, family, space, attempt, log)
-        *_, model = rounds_of(best, vectors, rounds)
+        if nets:
+            network.advance(x, list(nets.values()), space.network_rounds, space.network_steps, space.tolerance)
+        trials, best, rounds = _searched(spark, family, space, attempt, log)
+        found = net(best)
+        network.advance(x, [found], rounds, space.network_steps)
     finally:
-        vectors.unpersist()
+        x.unpersist()
+    # One step too small to move a weight makes a model of them.
+    row = spark.createDataFrame([(Vectors.dense([0.0] * len(features)), 0.0)], [FEATURES, label])
+    model = estimator(best, initialWeights=Vectors.dense(found.weights), maxIter=1, stepSize=1e-300).fit(row)
+    assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="error")
     return TrainedModel(family, label, features, PipelineModel([assembler, model]), trials)
 
 

@@ -2,13 +2,13 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from returnscope.config import SPLIT_COLUMN, ModelFamily
-from returnscope.operators import linear, modeling, search
+from returnscope.operators import linear, modeling, network, search
 
 PENALTIES = [(0.0, 0.0), (0.0, 0.7), (0.05, 0.0), (0.02, 0.3)]
 FEATURES = ["a", "b", "c", "same"]
@@ -251,6 +251,46 @@ def test_importance_keeps_no_block_beside_its_rows(spark):
     assert not [line for line in plan.splitlines() if "Generate" in line and "posexplode(rows" in line]
 
 
+def test_network_trials_share_their_passes_and_step_as_spark_ml(spark, monkeypatch):
+    """Whatever the number of trials, a pass serves all; weights and losses are those of Spark ML's rounds, partition by partition."""
+    key = F.col("id").cast("string")
+    made = spark.range(0, 900, 1, 3).select(
+        key.alias("transaction_id"), F.lit("2024-01-01").cast("date").alias("transaction_date"), F.lit("train").alias(SPLIT_COLUMN),
+        (F.col("id") % 7 / 7).alias("a"), (F.crc32(key) / 4.3e9).alias("b"), (F.col("id") % 7 > 3).cast("int").alias("flag"),
+    )
+    asked = []
+    passed = network.passed
+    monkeypatch.setattr(network, "passed", lambda rows, nets, *more: asked.append(len(nets)) or passed(rows, nets, *more))
+    space = modeling.SearchSpace(learning_rate=(0.0, 1.0), batch_rows=(8, 40), trials=4, network_rounds=2, network_steps=3, tolerance=-1e9)
+    model = modeling.train(made, "flag", ModelFamily.NEURAL_CLASSIFIER, space)
+    # Three trials can be fitted; then the best one is, on all rows.
+    assert asked == [3] * 7 + [1] * 6
+    log = {r["trial_id"]: r for r in model.trials.collect()}
+    assert log[1]["status"] == "FAILED" and "stepSize" in log[1]["message"]
+    vectors = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(made).withColumn("held", modeling.held_out(space.seed))
+
+    def by_spark(p, data):
+        fitted = None
+        for _ in range(2):
+            est = MultilayerPerceptronClassifier(labelCol="flag", seed=42, solver="gd", layers=[2, p["hidden_units"], 2], stepSize=p["learning_rate"], blockSize=p["batch_rows"], maxIter=3)
+            fitted = (est if fitted is None else est.setInitialWeights(fitted.weights)).fit(data)
+        return fitted
+
+    for trial, p in enumerate(space.draws(ModelFamily.NEURAL_CLASSIFIER)[1:], 2):
+        wanted = modeling.held_out_loss(by_spark(p, vectors.filter("NOT held")).transform(vectors.filter("held")), "flag", True)
+        assert log[trial]["validation_metric"] == pytest.approx(wanted, rel=1e-9)
+    best = next(p for n, p in enumerate(space.draws(ModelFamily.NEURAL_CLASSIFIER), 1) if log[n]["is_optimal"])
+    assert np.allclose(model.model.weights.toArray(), by_spark(best, vectors).weights.toArray(), rtol=1e-9)
+
+
+def test_a_network_without_rows_stays_as_it_is(spark):
+    x = network.packed(spark.createDataFrame([], "x array<double>, y double, held int"))
+    net = network.Net(2, 3, 0.5, 8, network.first_weights(spark, [2, 3, 2], 42))
+    before = net.weights.copy()
+    network.advance(x, [net], 2, 3, 0.01)
+    assert (net.weights == before).all() and not net.losses
+
+
 def test_the_driver_reads_a_row_a_side(rows, monkeypatch):
     """However many partitions there are; each row holds a matrix per trial."""
     read = []
