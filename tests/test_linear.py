@@ -251,6 +251,14 @@ def test_importance_keeps_no_block_beside_its_rows(spark):
     assert not [line for line in plan.splitlines() if "Generate" in line and "posexplode(rows" in line]
 
 
+def test_blocks_are_sorted_without_a_lambda(spark):
+    """A comparison through a lambda is interpreted."""
+    rows = spark.range(64).select(F.col("id").cast("string").alias("transaction_id"), F.lit("2024-01-01").cast("date").alias("transaction_date"), F.lit("train").alias("train_test"), (F.col("id") + 0.0).alias("x"), (F.col("id") * 2.0).alias("y"))
+    model = modeling.train(rows, "y", ModelFamily.LINEAR_REGRESSION, modeling.SearchSpace(l1=(0, 0), l2=(0, 0), trials=1))
+    plan = modeling.permutation_importance(model, rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array" in plan and "array_sort" not in plan
+
+
 def test_network_trials_share_their_passes_and_step_as_spark_ml(spark, monkeypatch):
     """Whatever the number of trials, a pass serves all; weights and losses are those of Spark ML's rounds, partition by partition."""
     key = F.col("id").cast("string")
